@@ -11,7 +11,6 @@ from trafficlake.operators.columns import q
 from trafficlake.operators.quality import require_unique
 
 BROADCAST_ROWS = 200_000
-HOT_KEYS = 1_000
 _SPREAD = 8_192
 
 
@@ -20,7 +19,7 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def most_frequent(counts: DataFrame, keys: Sequence[str], count: str, n: int = HOT_KEYS) -> DataFrame:
+def most_frequent(counts: DataFrame, keys: Sequence[str], count: str, n: int) -> DataFrame:
     """The ``n`` most frequent non-NULL keys of a table of key counts.
 
     Any other key holds at most 1/(n+1) of the counted rows.
@@ -37,38 +36,41 @@ def lookup(
     keys: Sequence[str],
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join of ``rows`` to a dimension that is unique on ``keys``.
-
-    ``hot`` lists the most frequent keys (see ``most_frequent``). Their dimension rows,
-    at most as many as ``hot`` has, are broadcast; rows they match, and rows with a NULL
-    key, are spread over all tasks of the shuffled join, where they match nothing. What
-    is left has no key of weight. Without ``hot`` the plain join is left to the optimizer.
-    Every row of ``rows`` comes out exactly once.
+    """Left join of ``rows`` to a dimension that is unique on ``keys``, by a shuffle.
+
+    Rows with a NULL key match nothing; they are spread over all tasks instead of sharing
+    one. A key with very many rows makes one large shuffle partition, which adaptive
+    execution cuts into pieces (``spark.sql.adaptive.skewJoin``). Where that is not
+    available, ``hot`` lists the most frequent keys (see ``most_frequent``): their
+    dimension rows, at most as many as ``hot`` has, are broadcast and the rows they match
+    are spread like those without a key. Every row of ``rows`` comes out exactly once.
     """
     keys = list(keys)
-    if hot is None:
-        return rows.join(dimension, keys, "left")
-
     values = [c for c in dimension.columns if c not in keys]
-    hot_part = F.broadcast(dimension.join(F.broadcast(hot), keys, "left_semi"))
-    first = rows.join(
-        hot_part.select(*[q(k) for k in keys], F.struct(*[q(v) for v in values]).alias("__hot")),
-        keys,
-        "left",
-    )
-    settled = F.col("__hot").isNotNull()
+    settled = F.lit(False)
     for k in keys:
         settled = settled | q(k).isNull()
+    left = rows
+    if hot is not None:
+        hot_part = dimension.join(F.broadcast(hot), keys, "left_semi").select(
+            *[q(k) for k in keys], F.struct(*[q(v) for v in values]).alias("__hot")
+        )
+        left = rows.join(F.broadcast(hot_part), keys, "left")
+        settled = settled | F.col("__hot").isNotNull()
     salt = F.pmod(F.xxhash64(*[q(c) for c in rows.columns]), F.lit(_SPREAD)) + 1
-    first = first.withColumn("__spread", F.when(settled, salt).otherwise(F.lit(0).cast("bigint")))
+    left = left.withColumn("__spread", F.when(settled, salt).otherwise(F.lit(0).cast("bigint")))
     # 0 for every row, yet not a constant the optimizer could take out of the join key
-    rest = dimension.select(
-        *[q(k) for k in keys],
-        F.struct(*[q(v) for v in values]).alias("__rest"),
-        F.pmod(F.xxhash64(*[q(k) for k in keys]), F.lit(1)).alias("__spread"),
+    right = dimension.withColumn(
+        "__spread", F.pmod(F.xxhash64(*[q(k) for k in keys]), F.lit(1))
+    )
+    if hot is None:
+        return left.join(right, [*keys, "__spread"], "left").select(
+            *[q(c) for c in rows.columns], *[q(v) for v in values]
+        )
+    right = right.select(
+        *[q(k) for k in keys], "__spread", F.struct(*[q(v) for v in values]).alias("__rest")
     )
-    both = first.join(rest, [*keys, "__spread"], "left")
-    return both.select(
+    return left.join(right, [*keys, "__spread"], "left").select(
         *[q(c) for c in rows.columns],
         *[F.coalesce(F.col("__hot")[v], F.col("__rest")[v]).alias(v) for v in values],
     )
@@ -85,19 +87,23 @@ def many_to_one(
     keys: Sequence[str],
     validate: bool = True,
     small_rows: int = BROADCAST_ROWS,
-    hot_keys: int = HOT_KEYS,
+    hot_keys: int = 0,
 ) -> DataFrame:
     """Left join, dimension keys checked to be unique.
 
-    A dimension of at most ``small_rows`` rows is broadcast. A larger one is shuffled,
-    with the most frequent keys of ``rows`` counted first and treated apart.
+    A dimension of at most ``small_rows`` rows is broadcast, a larger one shuffled.
+    ``hot_keys`` > 0 counts the keys of ``rows`` first and treats that many of the most
+    frequent ones apart; it reads ``rows`` twice, so it is meant for stored rows.
     """
     if validate:
         require_unique(dimension, keys, "dimension")
     if is_small(dimension, small_rows):
         return lookup_small(rows, dimension, keys)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return lookup(rows, dimension, keys, most_frequent(counts, keys, "__n", hot_keys))
+    hot = None
+    if hot_keys:
+        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        hot = most_frequent(counts, keys, "__n", hot_keys)
+    return lookup(rows, dimension, keys, hot)
 
 
 def new_by_key(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficlake.operators.columns import q
-from trafficlake.operators.joins import HOT_KEYS, lookup, most_frequent
+from trafficlake.operators.joins import lookup
 
 GAP_SECONDS = 30 * 60
 _NO_TIME = -(2**62)
@@ -24,7 +24,7 @@ def time_bin(ts: Column, seconds: int) -> Column:
 def session_numbers(
     events: DataFrame, group: Sequence[str], ts: str, gap_seconds: int = GAP_SECONDS
 ) -> DataFrame:
-    """Session number of each (group, time bin), with the number of events in it.
+    """Session number of each (group, time bin).
 
     A new session starts where the pause is strictly longer than the gap. Two events of
     one bin of gap length are always closer than the gap, so a bin lies in one session and
@@ -36,7 +36,6 @@ def session_numbers(
     ).agg(
         F.min(F.unix_micros(F.col(ts).cast("timestamp"))).alias("__first"),
         F.max(F.unix_micros(F.col(ts).cast("timestamp"))).alias("__last"),
-        F.count(F.lit(1)).alias("__events"),
     )
     w = Window.partitionBy(*[q(g) for g in group]).orderBy("__bin")
     pause = F.col("__first") - F.lag("__last").over(w)
@@ -44,7 +43,6 @@ def session_numbers(
     return bins.withColumn("__starts", starts).select(
         *[q(g) for g in group],
         "__bin",
-        "__events",
         (
             F.sum("__starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + 1
         ).alias("session_number"),
@@ -57,19 +55,18 @@ def with_sessions(
     ts: str = "timestamp",
     partition: str = "partition_key",
     gap_seconds: int = GAP_SECONDS,
-    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Add ``session_id`` = ``<partition>-s<number>``; NULL where the user is unknown.
 
     Numbers start at 1 for each user and partition. The numbers go back to the events by
-    a join on (partition, user, bin); bins with very many events are treated apart there.
+    a join on (partition, user, bin), so no task ever holds all events of a user, and
+    adaptive execution can cut up a bin with very many events.
     """
     group = [partition, user]
     known = events.where(q(user).isNotNull())
     numbers = session_numbers(known, group, ts, gap_seconds)
     keys = [*group, "__bin"]
-    hot = most_frequent(numbers, keys, "__events", hot_keys)
     binned = events.withColumn("__bin", time_bin(F.col(ts), gap_seconds))
-    joined = lookup(binned, numbers.drop("__events"), keys, hot)
+    joined = lookup(binned, numbers, keys)
     label = F.concat(q(partition), F.lit("-s"), F.col("session_number").cast("string"))
     return joined.withColumn("session_id", label).drop("__bin", "session_number")

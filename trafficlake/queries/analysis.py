@@ -35,19 +35,26 @@ def topk_value_share(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("share", F.round("share", 9))
 
 
+def _activity(spark: SparkSession, d: str) -> DataFrame:
+    """Orders and events on one time line; the years between them have no rows."""
+    orders = read(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("moment"), F.col("o_totalprice").alias("size")
+    )
+    events = read(spark, d, "events").select(
+        F.col("event_id").alias("id"), F.col("ts").alias("moment"), F.col("value").alias("size")
+    )
+    return orders.unionByName(events)
+
+
 def resample_weekly(spark: SparkSession, d: str) -> DataFrame:
-    orders = read(spark, d, "orders")
     out = reports.resample_weekly(
-        orders, "o_orderdate", F.sum("o_totalprice").alias("total"), F.count("o_orderkey").alias("n")
+        _activity(spark, d), "moment", F.sum("size").alias("total"), F.count("id").alias("n")
     )
     return out.withColumn("total", F.round(numbers.megabytes(F.col("total")), 6))
 
 
 def resample_monthly(spark: SparkSession, d: str) -> DataFrame:
-    """Monthly sums over the urgent orders of some customers, so that months are missing."""
-    orders = read(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    busy = orders.where(F.month("o_orderdate").isin(1, 2, 6, 12))
-    out = reports.resample_monthly(busy, "o_orderdate", F.sum("o_totalprice").alias("total"))
+    out = reports.resample_monthly(_activity(spark, d), "moment", F.sum("size").alias("total"))
     return out.withColumn("total", F.round(numbers.gigabytes(F.col("total")), 9))
 
 
@@ -95,6 +102,9 @@ _PROFILE = [
     ("toxic", "int"), ("nothing", "string"),
 ]
 
+_ACTIVITY = """activity as (select o_orderkey as id, o_orderdate as moment, o_totalprice as size from orders
+  union all select event_id, ts, value from events)"""
+
 ORACLE = {
     "topk_value_counts": f"""with {ACCESS_LOG_SQL}
 (select key, count(*) as n, 'top' as report from access_log where key is not null
@@ -105,13 +115,15 @@ union all (select key, count(*), 'words' from access_log
 s as (select event_type, n, n / (select sum(n) from c) as share from c order by n desc, event_type limit 3)
 select event_type, n, round(cast(share as double), 9) as share from s
 union all select '(top 3)', null, round(cast(sum(share) as double), 9) from s""",
-    "resample_weekly": """with w as (select cast(date_trunc('week', o_orderdate) as date) + 6 as period,
-    sum(o_totalprice) as total, count(o_orderkey) as n from orders group by 1),
-days as (select cast(unnest(generate_series(min(period)::timestamp, max(period)::timestamp, interval 7 day)) as date) as period from w)
+    "resample_weekly": f"""with {_ACTIVITY},
+w as (select cast(date_trunc('week', moment) as date) + 6 as period,
+    sum(size) as total, count(id) as n from activity group by 1),
+days as (select cast(unnest(generate_series(min(period)::timestamp, max(period)::timestamp,
+  interval 7 day)) as date) as period from w)
 select days.period, round(coalesce(total, 0) / 1e6, 6) as total, coalesce(n, 0) as n
 from days left join w on days.period = w.period""",
-    "resample_monthly": """with m as (select last_day(o_orderdate) as period, sum(o_totalprice) as total from orders
-  where o_orderpriority = '1-URGENT' and month(o_orderdate) in (1, 2, 6, 12) group by 1),
+    "resample_monthly": f"""with {_ACTIVITY},
+m as (select last_day(moment) as period, sum(size) as total from activity group by 1),
 months as (select last_day(unnest(generate_series(date_trunc('month', min(period))::timestamp,
   max(period)::timestamp, interval 1 month))) as period from m)
 select months.period, round(coalesce(total, 0) / 1e9, 9) as total
