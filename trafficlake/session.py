@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,18 +56,34 @@ def checkpoint_folder(spark: SparkSession) -> str | None:
     return folder
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+class Staging:
+    """Frames kept as Parquet in the shared checkpoint folder while a load needs them.
 
-    The result survives the loss of executors, so a frame that feeds a check and
-    several outputs is computed once. On a cluster without a shared folder the frame
-    is returned as it is: results are equal, the work is repeated per output.
+    A staged frame survives the loss of executors, has its lineage cut, and is columnar:
+    a key check reads the key columns only. On a cluster without a shared folder frames
+    are handed back as they are; results are equal, the work is repeated per use.
+
+        with Staging(spark) as stage:
+            rows = stage.keep(rows)
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = checkpoint_folder(spark)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        folder = checkpoint_folder(self.spark)
         if folder is None:
             return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+        path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,7 +10,7 @@ from trafficlake.operators.columns import conform
 from trafficlake.operators.joins import new_by_key
 from trafficlake.operators.quality import require_unique
 from trafficlake.schemas import PARTITION_KEY, Table, table
-from trafficlake.session import staged
+from trafficlake.session import Staging
 from trafficlake.sinks.parquet import table_path
 
 log = logging.getLogger(__name__)
@@ -37,16 +37,19 @@ def append_new(df: DataFrame, base: str, to: str | Table) -> int:
     if path_exists(spark, path):
         stored = spark.read.schema(target.schema).parquet(path)
         rows = new_by_key(rows, stored, target.key)
-    rows = staged(rows)
-    count = rows.count()
-    if count == 0:
-        log.warning("%s: nothing new, no data written", target.name)
-        return 0
-    require_unique(rows, target.key, target.name)
-    writer = rows.write.mode("append")
-    if target.partitioned:
-        writer = rows.hint("rebalance", PARTITION_KEY).write.mode("append").partitionBy(PARTITION_KEY)
-    writer.parquet(path)
+    with Staging(spark) as stage:
+        rows = stage.keep(rows)
+        count = rows.count()
+        if count == 0:
+            log.warning("%s: nothing new, no data written", target.name)
+            return 0
+        require_unique(rows, target.key, target.name)
+        if target.partitioned:
+            rows.hint("rebalance", PARTITION_KEY).write.mode("append").partitionBy(
+                PARTITION_KEY
+            ).parquet(path)
+        else:
+            rows.write.mode("append").parquet(path)
     return count
 
 
@@ -64,10 +67,14 @@ def append_new_jdbc(df: DataFrame, to: str | Table, options: dict[str, str]) ->
         .option("dbtable", f'(select {keys} from "{target.name}") stored_keys')
         .load()
     )
-    rows = staged(new_by_key(conform(df, target), stored, target.key))
-    count = rows.count()
-    if count == 0:
-        log.warning("%s: nothing new, no data written", target.name)
-        return 0
-    rows.write.format("jdbc").options(**options).option("dbtable", target.name).mode("append").save()
+    with Staging(spark) as stage:
+        rows = stage.keep(new_by_key(conform(df, target), stored, target.key))
+        count = rows.count()
+        if count == 0:
+            log.warning("%s: nothing new, no data written", target.name)
+            return 0
+        require_unique(rows, target.key, target.name)
+        rows.write.format("jdbc").options(**options).option("dbtable", target.name).mode(
+            "append"
+        ).save()
     return count

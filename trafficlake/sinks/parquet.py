@@ -20,6 +20,15 @@ def _resolve(to: str | Table) -> Table:
     return table(to) if isinstance(to, str) else to
 
 
+def file_names(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files in a folder; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return set()
+    return {status.getPath().getName() for status in system.listStatus(path)}
+
+
 def write_table(
     df: DataFrame, base: str, to: str | Table, days: Sequence[str] | None = None
 ) -> None:
@@ -31,11 +40,14 @@ def write_table(
     small days share a task, a heavy day is cut into several files.
     """
     target = _resolve(to)
+    spark = df.sparkSession
     rows = conform(df, target)
     path = table_path(base, target.name)
     if not target.partitioned:
         rows.write.mode("overwrite").parquet(path)
         return
+    folders = {day: f"{path}/{PARTITION_KEY}={day}" for day in days or ()}
+    before = {day: file_names(spark, folder) for day, folder in folders.items()}
     (
         rows.hint("rebalance", PARTITION_KEY)
         .write.mode("overwrite")
@@ -43,19 +55,11 @@ def write_table(
         .partitionBy(PARTITION_KEY)
         .parquet(path)
     )
-    if days:
-        _empty_missing_days(rows, path, target, days)
-
-
-def _empty_missing_days(rows: DataFrame, path: str, target: Table, days: Sequence[str]) -> None:
-    spark = rows.sparkSession
-    wanted = rows.select(PARTITION_KEY).where(rows[PARTITION_KEY].isin(*days)).distinct()
-    present = {r[0] for r in wanted.collect()}  # at most len(days) values
     schema = T.StructType([f for f in target.schema.fields if f.name != PARTITION_KEY])
-    for day in days:
-        if day not in present:
-            empty = spark.createDataFrame([], schema)
-            empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{PARTITION_KEY}={day}")
+    for day, folder in folders.items():
+        # a folder this write did not touch holds no rows of this run
+        if file_names(spark, folder) == before[day]:
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
 
 
 def read_table(
