@@ -28,11 +28,7 @@ NUMERIC_FIELDS = {
 
 
 def typed_rows(raw: DataFrame) -> DataFrame:
-    """Raw fields as typed columns, life-cycle rows left out, repeated rows dropped.
-
-    De-duplication comes before the address lookup: the looked-up columns depend on the
-    address alone, so the result is the same and far less data is shuffled.
-    """
+    """Raw fields as typed columns with measures and an id, life-cycle rows left out."""
     typed = raw.where(~F.col("operation").eqNullSafe(LIFECYCLE_OPERATION)).withColumns(
         {
             "time": times.access_log_time(F.col("time"), F.col("timezone")),
@@ -43,18 +39,26 @@ def typed_rows(raw: DataFrame) -> DataFrame:
     typed = typed.withColumns(
         {c: numbers.number_or_null(F.col(c), kind) for c, kind in NUMERIC_FIELDS.items()}
     )
-    return distinct_rows(C.drop(typed, ["timezone", "aws_region"]))
+    return C.drop(typed, ["timezone", "aws_region"])
 
 
-def build_core_s3_logs(raw: DataFrame, ip_records: DataFrame, **join_options) -> DataFrame:
-    """Typed access log with address details, one row per request."""
-    rows = typed_rows(raw).withColumns(
+def measured(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
         {
             "normalized_file_downloads": numbers.share(F.col("bytes_sent"), F.col("object_size")),
             "megabytes_sent": numbers.megabytes(F.col("bytes_sent")),
             "id": text.joined_id(F.col("request_id"), F.col("operation"), F.col("key")),
         }
     )
+
+
+def build_core_s3_logs(raw: DataFrame, ip_records: DataFrame, **join_options) -> DataFrame:
+    """Typed access log with address details; repeated rows are kept once.
+
+    De-duplication comes before the address lookup: the looked-up columns depend on the
+    address alone, so the result is the same and far less data is shuffled.
+    """
+    rows = measured(distinct_rows(typed_rows(raw)))
     return C.conform(with_ip_details(rows, ip_records, **join_options), "core_s3_logs")
 
 

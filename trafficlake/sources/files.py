@@ -126,30 +126,45 @@ def _file_day() -> Column:
     return times.date_in_text(F.col(FILE_NAME))
 
 
-def object_log(spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
-    """Access-log lines of files whose name starts with a wanted day.
+def _object_log_schema() -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in (*OBJECT_LOG_FIELDS, _SURPLUS)])
 
-    Space-delimited, quoted, without header. Shorter lines get NULLs; a line with more
-    fields than known fails the job instead of being shifted or cut.
-    """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*OBJECT_LOG_FIELDS, _SURPLUS)])
-    if not path_exists(spark, root):
-        return _no_rows(spark, schema, PARTITION_KEY).drop(_SURPLUS)
+
+def _object_log_lines(reader, root: str, glob: str) -> DataFrame:
+    """Lines through a batch or a streaming reader; a line with unknown fields fails the job."""
     lines = (
-        spark.read.schema(schema)
+        reader.schema(_object_log_schema())
         .option("sep", " ")
         .option("quote", '"')
         .option("escape", '"')
-        .option("pathGlobFilter", _days_glob(days, "*"))
+        .option("pathGlobFilter", glob)
         .csv(root)
         .withColumn(PARTITION_KEY, _file_day())
     )
+    message = F.concat(F.lit("access-log line with unknown fields: "), F.col(_SURPLUS))
     known_width = F.when(F.col(_SURPLUS).isNull(), F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("access-log line with unknown fields: "), F.col(_SURPLUS))).cast("boolean")
+        F.raise_error(message).cast("boolean")
     )
     return lines.where(known_width).drop(_SURPLUS)
 
 
+def object_log(spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
+    """Access-log lines of files whose name starts with a wanted day.
+
+    Space-delimited, quoted, without header. Shorter lines get NULLs; a line with more
+    fields than known fails the job instead of being shifted or cut.
+    """
+    if not path_exists(spark, root):
+        return _no_rows(spark, _object_log_schema(), PARTITION_KEY).drop(_SURPLUS)
+    return _object_log_lines(spark.read, root, _days_glob(days, "*"))
+
+
+def object_log_stream(spark: SparkSession, root: str, files_per_batch: int = 10_000) -> DataFrame:
+    """The same lines as a stream of newly arrived files."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return _object_log_lines(reader, root, "*")
+
+
 def viewer_log(spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
     """JSON lines below ``<root>/YYYY/MM/DD``; broken lines are kept in ``unreadable``."""
     paths = [root]
