@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trafficlake.operators import columns as C
 from trafficlake.operators import dedup, joins, quality
@@ -12,7 +11,7 @@ from trafficlake.operators.enrich import with_ip_details
 from trafficlake.operators.sessions import with_sessions
 from trafficlake.operators.summaries import mode_per_group as mode_of
 from trafficlake.queries.bindings import ACCESS_LOG_SQL, access_log, read
-from trafficlake.schemas import Table
+from trafficlake.schemas import Table, struct_of
 
 
 def sessionize(spark: SparkSession, d: str) -> DataFrame:
@@ -135,7 +134,7 @@ def validate_records(spark: SparkSession, d: str) -> DataFrame:
 
 EVENT_TABLE = Table(
     "typed_events",
-    T.StructType.fromDDL("event_id bigint, kind int, doi string, absent string"),
+    struct_of("event_id:l kind:i doi absent"),
     ("event_id",),
 )
 

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trafficlake.functions import times
 from trafficlake.operators import columns as C
@@ -14,7 +13,7 @@ from trafficlake.operators.dedup import keep_first, latest
 from trafficlake.operators.joins import new_by_key
 from trafficlake.operators.reports import load_report as report
 from trafficlake.queries.bindings import read
-from trafficlake.schemas import Table
+from trafficlake.schemas import Table, struct_of
 from trafficlake.session import checkpoint_folder
 from trafficlake.sinks.parquet import read_table, write_table
 from trafficlake.sources.tables import day_range, time_range
@@ -74,10 +73,7 @@ def union_by_name(spark: SparkSession, d: str) -> DataFrame:
 
 HITS = Table(
     "event_hits",
-    T.StructType.fromDDL(
-        "insert_id string, timestamp timestamp, name string, score double, tags string, "
-        "rank int, partition_key string"
-    ),
+    struct_of("insert_id timestamp:T name score:d tags rank:i partition_key"),
     ("insert_id",),
 )
 

@@ -47,7 +47,8 @@ class UnknownTableError(KeyError):
     """A table that is not in the registry was asked for."""
 
 
-def _struct(text: str, key: tuple[str, ...]) -> T.StructType:
+def struct_of(text: str, key: tuple[str, ...] = ()) -> T.StructType:
+    """Schema from ``name:type`` words; no type means string. Needs no session."""
     fields = []
     for word in text.split():
         name, _, code = word.partition(":")
@@ -204,7 +205,7 @@ def _build() -> dict[str, Table]:
     tables = {}
     for name, (key, text) in _TABLES.items():
         keys = tuple(key.split())
-        tables[name] = Table(name, _struct(text, keys), keys)
+        tables[name] = Table(name, struct_of(text, keys), keys)
     return tables
 
 

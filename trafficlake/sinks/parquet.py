@@ -71,11 +71,9 @@ def read_table(
     input. Asking for days of an unpartitioned table is an error.
     """
     target = _resolve(to)
-    df = spark.read.schema(target.schema).parquet(table_path(base, target.name))
-    if first is None and last is None:
-        return df
-    if not target.partitioned:
+    if not target.partitioned and (first is not None or last is not None):
         raise ValueError(f"{target.name} is not partitioned")
+    df = spark.read.schema(target.schema).parquet(table_path(base, target.name))
     if first is not None:
         df = df.where(df[PARTITION_KEY] >= first)
     if last is not None:
