@@ -32,8 +32,13 @@ def lift(df: DataFrame, inner: str, *outer: str) -> DataFrame:
 
 
 def explode_array(df: DataFrame, array: str, *keep: str) -> DataFrame:
-    """One row per element of an array of structs; NULL and empty arrays give none."""
-    return df.select(*keep, F.inline(array))
+    """One row per element of an array of structs; NULL and empty arrays give none.
+
+    The outer form keeps the optimizer from testing the array in a filter of its own,
+    which would parse JSON-derived arrays a second time.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias("__pos", "__item"))
+    return rows.where(F.col("__pos").isNotNull()).select(*keep, "__item.*")
 
 
 def unpack_json(df: DataFrame, text: str, schema: str, prefix: str = "") -> DataFrame:

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def number_or_null(c: Column, as_type: str = "double") -> Column:
-    """Text as a number; text that is none becomes NULL."""
-    return F.trim(c).try_cast(as_type)
+    """Text as a number; text that is none becomes NULL.
+
+    The log's NULL mark ``-`` is taken out first: a failing cast is costly and ``-`` is the
+    one bad value that is common.
+    """
+    return F.when(c != "-", F.trim(c)).try_cast(as_type)
 
 
 def dash_to_zero(c: Column) -> Column:

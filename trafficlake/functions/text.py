@@ -34,7 +34,7 @@ def dash_or_blank_to_null(c: Column) -> Column:
 
 def version_of(key: Column) -> Column:
     """Part of an object key before the first ``/``; ``-`` and empty are NULL."""
-    return dash_or_blank_to_null(F.get(F.split(key, "/", 2), F.lit(0)))
+    return dash_or_blank_to_null(F.substring_index(key, "/", 1))
 
 
 def table_of(key: Column) -> Column:
@@ -94,32 +94,40 @@ def joined_id(*parts: Column) -> Column:
     return F.concat(*columns)
 
 
-def replace_in_strings(df: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
-    """Regex replacements applied to every string column of the frame."""
+def replace_in_strings(
+    df: DataFrame, pairs: Iterable[tuple[str, str]], containing: str | None = None
+) -> DataFrame:
+    """Regex replacements, one after the other, in every string column of the frame.
+
+    ``containing`` names a text that every match holds: values without it, usually nearly
+    all, then cost a substring search instead of one regex pass per pair.
+    """
     pairs = list(pairs)
     changed = {}
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
-            c = F.col(f"`{field.name}`")
-            for pattern, new in pairs:
-                c = F.regexp_replace(c, pattern, new)
-            changed[field.name] = c
+            c = new = F.col(f"`{field.name}`")
+            for pattern, replacement in pairs:
+                new = F.regexp_replace(new, pattern, replacement)
+            if containing is not None:
+                new = F.when(F.contains(c, F.lit(containing)), new).otherwise(c)
+            changed[field.name] = new
     return df.withColumns(changed)
 
 
-def any_suffix(c: Column, suffixes: Iterable[str]) -> Column:
-    """True where ``c`` ends with any of ``suffixes``; NULL text counts as False."""
-    hit = F.lit(False)
-    for suffix in suffixes:
-        hit = hit | F.endswith(c, F.lit(suffix))
-    return F.coalesce(hit, F.lit(False))
+def any_affix(c: Column, prefixes: Iterable[str] = (), suffixes: Iterable[str] = ()) -> Column:
+    """True where ``c`` starts or ends with any of the texts; NULL counts as False.
+
+    One pattern for all of them, so that ``c`` is evaluated once also where the optimizer
+    moves this test below the projection that computes ``c``.
+    """
 
+    def quoted(texts: Iterable[str]) -> str:
+        return "|".join(rf"\Q{t}\E" for t in texts)
 
-def any_prefix(c: Column, prefixes: Iterable[str]) -> Column:
-    hit = F.lit(False)
-    for prefix in prefixes:
-        hit = hit | F.startswith(c, F.lit(prefix))
-    return F.coalesce(hit, F.lit(False))
+    starts, ends = quoted(prefixes), quoted(suffixes)
+    pattern = "|".join(([rf"\A(?:{starts})"] if starts else []) + ([rf"(?:{ends})\z"] if ends else []))
+    return F.coalesce(F.rlike(c, F.lit(pattern)), F.lit(False)) if pattern else F.lit(False)
 
 
 def any_pattern(c: Column, patterns: Iterable[str]) -> Column:

@@ -17,6 +17,7 @@ from trafficlake.site import Site
 LIFECYCLE_OPERATION = "S3.TRANSITION_INT.OBJECT"
 GET_OPERATIONS = ("REST.GET.BUCKET", "REST.GET.OBJECT")
 SAME_FORMAT = (("sqlite.gz", "sqlite"), ("sqlite.zip", "sqlite"))
+SAME_FORMAT_TEXT = "sqlite"
 NOT_IN_USAGE_LOG = ("bucket_owner", "requester", "operation", "bucket")
 NUMERIC_FIELDS = {
     "bytes_sent": "double",
@@ -74,10 +75,9 @@ def usage_rows(core: DataFrame, site: Site) -> DataFrame:
         {"version": text.version_of(F.col("key")), "table": text.table_of(F.col("key"))}
     )
     kept = split.where(
-        ~text.any_prefix(F.col("table"), site.dropped_prefixes)
-        & ~text.any_suffix(F.col("table"), site.dropped_suffixes)
+        ~text.any_affix(F.col("table"), site.dropped_prefixes, site.dropped_suffixes)
     )
-    cleaned = text.replace_in_strings(kept, SAME_FORMAT)
+    cleaned = text.replace_in_strings(kept, SAME_FORMAT, SAME_FORMAT_TEXT)
     table = F.col("table")
     for part, new_name in site.renamed_tables:
         table = F.when(F.contains(table, F.lit(part)), new_name).otherwise(table)

@@ -84,8 +84,7 @@ def filter_not_in(spark: SparkSession, d: str) -> DataFrame:
 def filter_text_affix(spark: SparkSession, d: str) -> DataFrame:
     log = access_log(spark, d).withColumn("table", text.table_of(F.col("key")))
     return log.where(
-        ~text.any_prefix(F.col("table"), SITE.dropped_prefixes)
-        & ~text.any_suffix(F.col("table"), SITE.dropped_suffixes)
+        ~text.any_affix(F.col("table"), SITE.dropped_prefixes, SITE.dropped_suffixes)
     ).select("id", "table")
 
 
@@ -113,7 +112,9 @@ def classify_usage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def replace_all_strings(spark: SparkSession, d: str) -> DataFrame:
-    return text.replace_in_strings(access_log(spark, d), objectlog.SAME_FORMAT)
+    return text.replace_in_strings(
+        access_log(spark, d), objectlog.SAME_FORMAT, objectlog.SAME_FORMAT_TEXT
+    )
 
 
 def coerce_numeric(spark: SparkSession, d: str) -> DataFrame:
