@@ -10,7 +10,7 @@ from trafficlake.operators.quality import DataQualityError
 from trafficlake.plans import objectlog, repository, requests, snapshots, viewer
 from trafficlake.plans.run import Load, load_client_log, run
 from trafficlake.schemas import REGISTRY
-from trafficlake.sinks.parquet import read_table
+from trafficlake.sinks.parquet import read_table, write_table
 from trafficlake.site import Site
 from trafficlake.sources import files
 
@@ -140,6 +140,15 @@ def test_line_with_too_many_fields_fails(spark, tmp_path):
         files.object_log(spark, root).collect()
 
 
+def test_different_rows_under_one_id_fail_the_write(spark, tmp_path, ips):
+    root, out = str(tmp_path / "log"), str(tmp_path / "out")
+    put(f"{root}/2026-03-01-00", line() + line(agent='"other"'))
+    core = objectlog.build_core_s3_logs(files.object_log(spark, root), ips)
+    with pytest.raises(PySparkException, match="different rows share a key"):
+        write_table(core, out, "core_s3_logs")
+    assert not os.path.exists(f"{out}/core_s3_logs/partition_key=2026-03-01")
+
+
 def test_days_select_files_by_name(spark, object_log):
     days = files.object_log(spark, object_log, ["2025-12-31", "2026-02-26"])
     assert [r.request_id for r in days.collect()] == ["R20"]

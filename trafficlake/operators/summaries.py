@@ -47,15 +47,33 @@ def summary_by_table(logs: DataFrame, partition: str | None = None) -> DataFrame
 def summary_by_user(logs: DataFrame, partition: str | None = None) -> DataFrame:
     """Per day, address, table, organisation and country, with the usual usage type.
 
-    The mode keeps one counter per usage type (five at most) in its partial state.
+    Rows are summed per usage type first, by hash and on the map side, and the usual type
+    is found among those few sums; a mode over the rows would sort all of them.
     """
-    return by_day(
+    keys = [*_extra(partition), "remote_ip", "table", "remote_ip_org", "remote_ip_country_name"]
+    per_type = by_day(
         parquet_only(logs),
-        [*_extra(partition), "remote_ip", "table", "remote_ip_org", "remote_ip_country_name"],
-        [*usage_measures(), F.mode("usage_type", True).alias("usage_type")],
+        [*keys, "usage_type"],
+        [
+            F.sum("normalized_file_downloads").alias("downloads"),
+            F.count("request_uri").alias("requests"),
+            F.sum("megabytes_sent").alias("megabytes"),
+            F.count("usage_type").alias("__n"),
+        ],
+    )
+    return per_type.groupBy("time", *[q(k) for k in keys]).agg(
+        F.sum("downloads").alias("normalized_file_downloads"),
+        F.sum("requests").alias("request_count"),
+        F.round(F.sum("megabytes"), 3).alias("megabytes_sent"),
+        _most_frequent("usage_type").alias("usage_type"),
     )
 
 
+def _most_frequent(column: str) -> Column:
+    """Of values counted in ``__n``: the most frequent, the smallest on ties."""
+    return F.min(F.struct(-F.col("__n"), q(column)))[column]
+
+
 def summary_by_db(logs: DataFrame, partition: str | None = None) -> DataFrame:
     """Per day, usage type, database and version; folders are left out."""
     files = logs.where(~F.endswith(F.col("table"), F.lit("/")))
@@ -73,5 +91,4 @@ def mode_per_group(df: DataFrame, keys: Sequence[str], column: str, name: str |
     matter how many distinct values a group has.
     """
     counts = df.groupBy(*[q(k) for k in keys], q(column)).agg(F.count(column).alias("__n"))
-    best = F.min(F.struct(-F.col("__n"), q(column)))
-    return counts.groupBy(*[q(k) for k in keys]).agg(best[column].alias(name or column))
+    return counts.groupBy(*[q(k) for k in keys]).agg(_most_frequent(column).alias(name or column))

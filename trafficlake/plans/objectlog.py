@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trafficlake.functions import numbers, text, times
 from trafficlake.operators import columns as C
 from trafficlake.operators import summaries
-from trafficlake.operators.dedup import distinct_rows
+from trafficlake.operators.dedup import distinct_by_key
 from trafficlake.operators.enrich import with_ip_details
 from trafficlake.schemas import PARTITION_KEY
 from trafficlake.site import Site
@@ -54,12 +54,12 @@ def measured(rows: DataFrame) -> DataFrame:
 
 
 def build_core_s3_logs(raw: DataFrame, ip_records: DataFrame, **join_options) -> DataFrame:
-    """Typed access log with address details; repeated rows are kept once.
+    """Typed access log with address details; repeated rows once, ids unique per partition.
 
     De-duplication comes before the address lookup: the looked-up columns depend on the
     address alone, so the result is the same and far less data is shuffled.
     """
-    rows = measured(distinct_rows(typed_rows(raw)))
+    rows = distinct_by_key(measured(typed_rows(raw)), [PARTITION_KEY, "id"])
     return C.conform(with_ip_details(rows, ip_records, **join_options), "core_s3_logs")
 
 

@@ -64,15 +64,13 @@ def ip_records(load: Load) -> DataFrame:
 
 
 def load_object_log(load: Load) -> list[str]:
-    """Typed log, usage log, then the three summaries from the stored usage log.
+    """Typed log, usage log from the stored typed log, summaries from the stored usage log.
 
-    The typed rows are staged once: the key check and the write read the staged copy.
+    Reading back what was written is columnar and pruned, so no step repeats another's
+    work; ids are checked while the typed log is written.
     """
     raw = files.object_log(load.spark, f"{load.source}/object_log", load.days)
-    with Staging(load.spark) as stage:
-        core = stage.keep(objectlog.build_core_s3_logs(raw, ip_records(load)))
-        require_unique(core, ["id", PARTITION_KEY], "core_s3_logs")
-        done = load.write({"core_s3_logs": core})
+    done = load.write({"core_s3_logs": objectlog.build_core_s3_logs(raw, ip_records(load))})
     done += load.write({"out_s3_logs": _usage_input(load)})
     return done + load.write(objectlog.build_daily_summaries(load.stored("out_s3_logs")))
 
