@@ -31,7 +31,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.9g}"
+        return "nan" if math.isnan(v) else repr(v)
     if isinstance(v, decimal.Decimal):
         return f"{float(v):.9g}"
     if isinstance(v, dt.datetime):

@@ -93,7 +93,8 @@ def drop_nested(df: DataFrame, column: str, *paths: str) -> DataFrame:
     present = [p for p in paths if has(schema, p.split("."))]
     if not present:
         return df
-    return df.withColumn(column, F.col(column).dropFields(*present))
+    quoted = [".".join(f"`{part}`" for part in p.split(".")) for p in present]
+    return df.withColumn(column, F.col(column).dropFields(*quoted))
 
 
 def drop_in_array(df: DataFrame, column: str, *fields: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,35 +116,76 @@ def load_report(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def _kth_values(numbers: DataFrame, ranks: list[int], bins: int, exact_rows: int) -> dict[int, float]:
-    """Values at 0-based ranks of a one-column double frame ``v``, by narrowing.
+@dataclass(frozen=True)
+class _Interval:
+    """Closed value interval, its number of rows, and the wanted ranks counted within it."""
+
+    low: float
+    high: float
+    n: int
+    ranks: dict[int, int]
+
+    def holds(self) -> Column:
+        return F.col("v").between(F.lit(self.low), F.lit(self.high))
+
+
+def _narrowed(numbers: DataFrame, intervals: list[_Interval], bins: int) -> list[_Interval]:
+    """The bins of a bounded histogram of each interval that hold wanted ranks: one pass."""
+    which, slot = F.lit(None).cast("int"), F.lit(None).cast("bigint")
+    for i, part in enumerate(intervals):
+        width = part.high / bins - part.low / bins
+        at = F.least(F.floor((F.col("v") - F.lit(part.low)) / F.lit(width)), F.lit(bins - 1))
+        which = F.when(part.holds(), F.lit(i)).otherwise(which)
+        slot = F.when(part.holds(), at).otherwise(slot)
+    counted = (
+        numbers.select("v", which.alias("i"), slot.alias("slot"))
+        .where("i is not null")
+        .groupBy("i", "slot")
+        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()  # at most bins rows per interval
+    )
+    out = []
+    for i, part in enumerate(intervals):
+        before = 0
+        for row in sorted((r for r in counted if r["i"] == i), key=lambda r: r["slot"]):
+            inside = {
+                rank: at - before
+                for rank, at in part.ranks.items()
+                if before <= at < before + row["n"]
+            }
+            if inside:
+                out.append(_Interval(row["low"], row["high"], row["n"], inside))
+            before += row["n"]
+    return out
+
+
+def _kth_values(
+    numbers: DataFrame, whole: _Interval, bins: int, exact_rows: int
+) -> dict[int, float]:
+    """Values at the wanted 0-based ranks of a one-column double frame ``v``.
 
-    Each pass counts a bounded histogram of the interval that holds the rank and keeps one
-    bin, until few rows or one value are left. Only histogram bins reach the driver.
+    Every pass narrows all ranks together; intervals with few rows are sorted at the end,
+    in one pass more.
     """
-    found = {}
-    for rank in ranks:
-        part, left = numbers, rank
-        while True:
-            lo, hi, n = part.agg(F.min("v"), F.max("v"), F.count("v")).first()
-            if lo == hi:
-                found[rank] = lo
-                break
-            width = hi / bins - lo / bins
-            if n <= exact_rows or not 0 < width < float("inf"):
-                found[rank] = part.orderBy("v").offset(left).limit(1).first()[0]
-                break
-            slot = F.least(
-                F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)
-            )
-            counted = part.groupBy(slot.alias("slot")).agg(
-                F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-            )
-            for row in sorted(counted.collect(), key=lambda r: r["slot"]):
-                if left < row["n"]:
-                    part = numbers.where(F.col("v").between(F.lit(row["lo"]), F.lit(row["hi"])))
-                    break
-                left -= row["n"]
+    found: dict[int, float] = {}
+    small: list[_Interval] = []
+    open_parts = [whole]
+    while open_parts:
+        large = []
+        for part in open_parts:
+            if part.low == part.high:
+                found.update(dict.fromkeys(part.ranks, part.low))
+            elif part.n <= exact_rows or not part.high / bins - part.low / bins > 0:
+                small.append(part)
+            else:
+                large.append(part)
+        open_parts = _narrowed(numbers, large, bins) if large else []
+    if small:
+        picks = []
+        for part in small:
+            ordered = F.sort_array(F.collect_list(F.when(part.holds(), F.col("v"))))
+            picks += [F.get(ordered, F.lit(at)).alias(str(rank)) for rank, at in part.ranks.items()]
+        found.update({int(k): v for k, v in numbers.agg(*picks).first().asDict().items()})
     return found
 
 
@@ -156,20 +198,21 @@ def quantiles(
 ) -> list[float | None]:
     """Exact quantiles, linear between neighbours, of a column with any number of rows.
 
-    The built-in exact percentile keeps every distinct value in one task; it is used only
-    once the interval that holds the wanted rank is down to ``exact_rows`` rows.
+    The built-in exact percentile keeps every distinct value in one task. Here bounded
+    histograms narrow the value range of the wanted ranks until it holds ``exact_rows``
+    rows at most or a single value.
     """
     numbers = df.select(q(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
-    n = numbers.count()
+    low, high, n = numbers.agg(F.min("v"), F.max("v"), F.count("v")).first()
     if n == 0:
         return [None] * len(probabilities)
     positions = [p * (n - 1) for p in probabilities]
-    wanted = sorted({int(x) for x in positions} | {min(int(x) + 1, n - 1) for x in positions})
-    at = _kth_values(numbers, wanted, bins, exact_rows)
+    wanted = {int(x) for x in positions} | {min(int(x) + 1, n - 1) for x in positions}
+    at = _kth_values(numbers, _Interval(low, high, n, {r: r for r in wanted}), bins, exact_rows)
     out = []
     for x in positions:
-        low, high = at[int(x)], at[min(int(x) + 1, n - 1)]
-        out.append(low + (high - low) * (x - int(x)))
+        below, above = at[int(x)], at[min(int(x) + 1, n - 1)]
+        out.append(below + (above - below) * (x - int(x)))
     return out
 
 
