@@ -245,36 +245,37 @@ def forks(spark: SparkSession, root: str) -> DataFrame:
     return newest_document(spark, root, FORKS)
 
 
-def dataset_snapshots(
-    spark: SparkSession, root: str, days: Sequence[str] | None = None
-) -> DataFrame:
-    """Snapshots in any of the three layouts the archive has used.
-
-    The schema holds all of them: fields at the top level, with an ``info.`` name prefix,
-    or inside an ``info`` object with ``xNullable``/``hasX`` twins.
-    """
-
-    def twins(name: str) -> list[T.StructField]:
-        text, flag = T.StringType(), T.BooleanType()
-        return [
+def snapshot_schema() -> T.StructType:
+    """All layouts of a snapshot at once: fields at the top level, with an ``info.`` name
+    prefix, or inside an ``info`` object, each with ``xNullable``/``hasX`` twins."""
+    text, flag = T.StringType(), T.BooleanType()
+    flat = [
+        field
+        for name in SNAPSHOT_FIELDS
+        for field in (
             T.StructField(name, text),
             T.StructField(f"{name}Nullable", text),
             T.StructField(f"has{name[0].upper()}{name[1:]}", flag),
-        ]
-
-    flat = [f for name in SNAPSHOT_FIELDS for f in twins(name)]
+        )
+    ]
     dotted = [T.StructField(f"info.{f.name}", f.dataType) for f in flat]
-    schema = T.StructType(
+    return T.StructType(
         [
-            T.StructField("metrics_date", T.StringType()),
-            T.StructField("hasErrorMessage", T.BooleanType()),
-            T.StructField("errorMessage", T.StringType()),
+            T.StructField("metrics_date", text),
+            T.StructField("hasErrorMessage", flag),
+            T.StructField("errorMessage", text),
             T.StructField("info", T.StructType(flat)),
             *flat,
             *dotted,
         ]
     )
-    return _documents(spark, root, schema, _days_glob(days, ".json"))
+
+
+def dataset_snapshots(
+    spark: SparkSession, root: str, days: Sequence[str] | None = None
+) -> DataFrame:
+    """Snapshots in any of the three layouts the archive has used."""
+    return _documents(spark, root, snapshot_schema(), _days_glob(days, ".json"))
 
 
 def archive_stats(
@@ -294,15 +295,25 @@ def archive_stats(
     else:
         docs = _documents(spark, root, ARCHIVE_STATS, _days_glob(wanted, "-*.json"))
         docs = docs.where(F.rlike(FILE_NAME, F.lit(r"^\d{4}-\d{2}-\d{2}-\d+\.json$")))
-    records = docs.select(F.col(PARTITION_KEY).alias("metrics_date"), F.inline("hits.hits"))
-    flat = nested.flatten(records, ".")
+    keyed = archive_records(docs, window_days)
+    return keyed if days is None else keyed.where(F.col(PARTITION_KEY).isin(*days))
+
+
+def archive_records(docs: DataFrame, window_days: int) -> DataFrame:
+    """Flattened records of documents, once per partition whose window holds their day."""
+    records = nested.explode_array(
+        docs.select(F.col(PARTITION_KEY).alias("metrics_date"), F.col("hits.hits").alias("records")),
+        "records",
+        "metrics_date",
+    )
     back = F.explode(F.sequence(F.lit(0), F.lit(window_days - 1)))
-    keyed = flat.withColumn("__back", back).withColumn(
-        PARTITION_KEY, F.date_format(F.date_sub(F.to_date("metrics_date"), F.col("__back")), "yyyy-MM-dd")
+    day = F.date_sub(F.to_date("metrics_date"), F.col("__back"))
+    return (
+        nested.flatten(records, ".")
+        .withColumn("__back", back)
+        .withColumn(PARTITION_KEY, F.date_format(day, "yyyy-MM-dd"))
+        .drop("__back")
     )
-    if days is not None:
-        keyed = keyed.where(F.col(PARTITION_KEY).isin(*days))
-    return keyed.drop("__back")
 
 
 def client_log(
