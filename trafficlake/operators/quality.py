@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,33 +50,41 @@ def require_mapped(df: DataFrame, column: str, mapping: DataFrame, key: str) ->
         raise DataQualityError(f"no mapping for {column}: {[r[0] for r in found]}")
 
 
-def check_records(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Add the names of the broken rules of each row as an array column.
+def _holds(rule: Column) -> Column:
+    """A rule states what must hold; NULL counts as broken."""
+    return F.coalesce(rule, F.lit(False))
 
-    A rule states what must hold; NULL counts as broken.
-    """
-    broken = [
-        F.when(F.coalesce(rule, F.lit(False)), F.lit(None).cast("string")).otherwise(F.lit(name))
-        for name, rule in rules.items()
-    ]
-    return df.withColumn(VIOLATIONS, F.array_compact(F.array(*broken)))
+
+def all_hold(rules: Mapping[str, Column]) -> Column:
+    """One condition for all rules; it stops at the first broken one."""
+    return functools.reduce(operator.and_, [_holds(rule) for rule in rules.values()])
 
 
-def accepted(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+def broken_rules(rules: Mapping[str, Column]) -> Column:
+    """Names of the broken rules of a row, as an array."""
+    names = [F.when(~_holds(rule), F.lit(name)) for name, rule in rules.items()]
+    return F.array_compact(F.array(*names))
 
 
-def quarantined(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size(VIOLATIONS) > 0)
+def accepted(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Rows that keep all rules."""
+    return df.where(all_hold(rules))
 
 
-def accepted_or_fail(checked: DataFrame) -> DataFrame:
-    """All rows, with a job failure at the first row that breaks a rule (no extra pass)."""
-    message = F.concat(F.lit("record breaks rules: "), F.array_join(VIOLATIONS, ", "))
-    passes = F.when(F.size(VIOLATIONS) == 0, F.lit(True)).otherwise(
+def quarantined(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """The other rows, with the names of the rules they break."""
+    return df.where(~all_hold(rules)).withColumn(VIOLATIONS, broken_rules(rules))
+
+
+def accepted_or_fail(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """All rows; the job fails at the first one that breaks a rule (no extra pass)."""
+    message = F.concat(
+        F.lit("record breaks rules: "), F.array_join(broken_rules(rules), ", ")
+    )
+    passes = F.when(all_hold(rules), F.lit(True)).otherwise(
         F.raise_error(message).cast("boolean")
     )
-    return checked.where(passes).drop(VIOLATIONS)
+    return df.where(passes)
 
 
 def rule_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

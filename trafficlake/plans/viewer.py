@@ -44,20 +44,26 @@ TABLES = {
 }
 
 
-def without_bad_payloads(raw: DataFrame) -> DataFrame:
-    """Drop the payload, not the row, of unknown events and half-filled query parameters."""
+def payload_dropped() -> Column:
+    """Payloads of unknown events, or with half-filled query parameters: the payload is
+    dropped, not the row."""
     event, params = F.col("jsonPayload.event"), F.col("jsonPayload.params")
     unknown = event.isNotNull() & (event != "") & ~event.isin(*EVENTS)
     half_filled = params["name"].isNotNull() & params["page"].isNull()
-    return raw.withColumn("jsonPayload", F.when(~(unknown | half_filled), F.col("jsonPayload")))
+    return F.coalesce(unknown, F.lit(False)) | F.coalesce(half_filled, F.lit(False))
+
+
+def filter_list() -> Column:
+    return nested.json_list(F.col("jsonPayload.params.filters"), FILTER)
 
 
 def record_rules() -> dict[str, Column]:
-    """What must hold for each record once bad payloads are gone."""
+    """What must hold for a record; the last four rules look at kept payloads only."""
     payload = F.col("jsonPayload")
-    params, listed = payload["params"], F.col("filter_list")
-    good_filter = F.forall(
-        listed,
+    params = payload["params"]
+    absent = payload.isNull() | payload_dropped()
+    filters_fine = F.forall(
+        filter_list(),
         lambda f: f["fieldName"].isNotNull()
         & F.coalesce(f["fieldType"].isin(*FILTER_TYPES), F.lit(False))
         & F.coalesce(f["operation"].isin(*FILTER_OPERATIONS), F.lit(False)),
@@ -70,25 +76,21 @@ def record_rules() -> dict[str, Column]:
         "resource": F.col("resource").isNotNull(),
         "timestamp": times.iso_time(F.col("timestamp")).isNotNull(),
         "receive timestamp": times.iso_time(F.col("receiveTimestamp")).isNotNull(),
-        "event": payload.isNull() | payload["event"].isin(*EVENTS),
-        "payload timestamp": payload.isNull() | times.iso_time(payload["timestamp"]).isNotNull(),
-        "params": payload.isNull()
+        "event": absent | payload["event"].isin(*EVENTS),
+        "payload timestamp": absent | times.iso_time(payload["timestamp"]).isNotNull(),
+        "params": absent
         | params.isNull()
         | (params["name"].isNotNull() & params["page"].isNotNull() & params["perPage"].isNotNull()),
-        "filters": params["filters"].isNull() | (listed.isNotNull() & good_filter),
+        # NULL, so broken, where the text is no list
+        "filters": absent | params["filters"].isNull() | filters_fine,
     }
 
 
-def checked_records(raw: DataFrame) -> DataFrame:
-    """Records with the names of the rules they break."""
-    listed = without_bad_payloads(raw).withColumn(
-        "filter_list", nested.json_list(F.col("jsonPayload.params.filters"), FILTER)
-    )
-    return quality.check_records(listed, record_rules())
-
-
 def event_rows(records: DataFrame) -> DataFrame:
     """Accepted records as flat rows: payload fields, filter slots, log-ins marked."""
+    records = records.withColumn(
+        "jsonPayload", F.when(~payload_dropped(), F.col("jsonPayload"))
+    ).withColumn("filter_list", filter_list())
     payload = F.col("jsonPayload")
     fields = {
         "field_name": "fieldName",
@@ -125,14 +127,13 @@ def event_rows(records: DataFrame) -> DataFrame:
 def build_viewer_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     """All events with session ids. ``strict`` fails the job on a record that breaks a
     rule; otherwise such records are left out here and found by ``build_quarantine``."""
-    checked = checked_records(raw)
-    records = quality.accepted_or_fail(checked) if strict else quality.accepted(checked)
-    return with_sessions(event_rows(records))
+    keep = quality.accepted_or_fail if strict else quality.accepted
+    return with_sessions(event_rows(keep(raw, record_rules())))
 
 
 def build_quarantine(raw: DataFrame) -> DataFrame:
     """Records that break rules, as JSON text with the rules."""
-    bad = quality.quarantined(checked_records(raw))
+    bad = quality.quarantined(raw, record_rules())
     whole = F.struct(*[c for c in raw.columns if c != PARTITION_KEY])
     return bad.select(
         PARTITION_KEY, F.array_join(quality.VIOLATIONS, ", ").alias("rules"), F.to_json(whole).alias("record")

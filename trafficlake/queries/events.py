@@ -124,9 +124,9 @@ def _rules() -> dict:
 
 
 def validate_records(spark: SparkSession, d: str) -> DataFrame:
-    checked = quality.check_records(read(spark, d, "events"), _rules())
-    good = quality.accepted(checked).select("event_id", F.lit("").alias("broken"))
-    bad = quality.quarantined(checked).select(
+    events = read(spark, d, "events")
+    good = quality.accepted(events, _rules()).select("event_id", F.lit("").alias("broken"))
+    bad = quality.quarantined(events, _rules()).select(
         "event_id", F.array_join(quality.VIOLATIONS, ", ").alias("broken")
     )
     return good.unionByName(bad)
