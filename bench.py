@@ -1,7 +1,7 @@
 """Wall time of every bound query: noop sink, median of several runs on a warm session.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3), BENCH_ONLY (comma-separated query names). Prints one JSON line.
+BENCH_RUNS (default 1, after a warm-up run), BENCH_ONLY (comma-separated query names). Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from trafficlake.session import local_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     only = {n for n in os.environ.get("BENCH_ONLY", "").split(",") if n}
     spark = local_session(cpus, "trafficlake-bench", **{"spark.sql.shuffle.partitions": cpus})
     spark.sparkContext.setLogLevel("ERROR")

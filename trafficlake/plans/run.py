@@ -1,6 +1,6 @@
 """Whole loads: one source, all daily sources, all full-history sources.
 
-    spark-submit -m trafficlake.plans.run --input s3a://logs --output s3a://tables --day 2024-01-05
+    spark-submit run_load.py --input s3a://logs --output s3a://tables --day 2024-01-05
 """
 
 from __future__ import annotations
