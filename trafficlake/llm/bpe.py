@@ -5,8 +5,8 @@ up again and again (the leftmost of equal ones), the boundary there is deleted a
 refreshed. Short words are what texts consist of, and for them scanning a short list beats any heap. A word of more
 than ``SHORT`` parts goes through a heap instead, which gives the same merges without quadratic time.
 
-Words repeat, so each Python worker keeps the ids of words it has met. That memory is bounded: it is emptied when
-full, which changes speed only. Whole texts are encoded; a NULL text counts as empty and has no ids. Rows repeat,
+Words repeat, so each Python worker keeps the ids of words it has met, packed in bytes. That memory is bounded: it is
+emptied when full, which changes speed only. Whole texts are encoded; a NULL text counts as empty and has no ids. Rows repeat,
 tie or share ids freely: each row is encoded on its own, and there is no shuffle.
 """
 
@@ -14,28 +14,39 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlake.llm.frames import with_results
 
 SHORT = 64
-KEPT_WORDS = 400_000
-NO_RANK = 1 << 60
+KEPT_WORDS = 250_000
+ROWS_PER_BATCH = 256
+BITS = 24
+LOW = (1 << BITS) - 1
+NO_RANK = 1 << 62
 
-# White space and the word pattern of this vocabulary's normaliser and splitter.
-WHITE_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + WHITE_SPACE + r"\p{L}\p{N}]+"
-# Characters whose properties no Unicode version has changed; texts with others are split by the library, whose
-# tables decide what counts as a letter.
-OTHER = regex.compile(r"[^\x00-\u052f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
+# Characters whose properties no Unicode version has changed; texts with others are split by the library, whose tables
+# decide what counts as a letter.
+COMMON = [*range(0x530), *range(0x2010, 0x2028), *range(0x2030, 0x205F), *range(0x20A0, 0x20C0)]
+OTHER = re.compile(r"[^\x00-\u052f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
+# Fixed value: what this vocabulary's normaliser takes as white space, within the common characters.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0"
+
+
+def _word_pattern() -> re.Pattern:
+    """A run of letters, one number, the endings 's 't 'm 'd 're 've 'll, or a run of anything else but white space."""
+    of = lambda kind: "".join(re.escape(chr(c)) for c in COMMON if unicodedata.category(chr(c))[0] == kind)
+    letters, numbers = of("L"), of("N")
+    return re.compile(f"[{letters}]+|[{numbers}]|'(?:[stmd]|re|ve|ll)|[^{letters}{numbers}{WHITE_SPACE}]+")
 
 
 def byte_symbols() -> list[str]:
@@ -45,6 +56,10 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
+def _pack(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 class WordBpe:
     """Encoder and decoder of one vocabulary file of the ``tokenizers`` library with word ends."""
 
@@ -55,9 +70,11 @@ class WordBpe:
         model = self.spec["model"]
         vocab = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
+        # both sides of a pair in one number, and its rank with what it merges to in another: they compare fast
         self.merges = {}
         for rank, (left, right) in enumerate(model["merges"]):
-            self.merges.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
+            pair = vocab[left] << BITS | vocab[right]
+            self.merges.setdefault(pair, rank << BITS | vocab[left + right])
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + self.end] for s in symbols]
@@ -66,10 +83,9 @@ class WordBpe:
         self.tokens = [""] * size
         for token, i in chain(vocab.items(), self.special.items()):
             self.tokens[i] = token
-        self.space = regex.compile(f"[{WHITE_SPACE}]+")
-        self.word = regex.compile(WORD)
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.known: dict[str, list[int]] = {}
+        self.word = _word_pattern()
+        self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
+        self.known: dict[str, bytes] = {}
         self._library = None
 
     # -- words ---------------------------------------------------------------------------------------------------
@@ -81,19 +97,16 @@ class WordBpe:
         return self._scan(parts) if len(parts) <= SHORT else self._heap(parts)
 
     def _scan(self, parts: list[int]) -> list[int]:
-        merges, none = self.merges, (NO_RANK, -1)
-        pairs = [merges.get(p, none) for p in zip(parts, parts[1:], strict=False)]
-        while pairs:
-            best = min(pairs)
-            if best is none or best[0] == NO_RANK:
-                break
-            i = pairs.index(best)
-            parts[i] = best[1]
-            del parts[i + 1], pairs[i]
+        rank_of = self.merges.get
+        ranks = [rank_of(a << BITS | b, NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := min(ranks)) != NO_RANK:
+            i = ranks.index(best)
+            parts[i] = merged = best & LOW
+            del parts[i + 1], ranks[i]
             if i:
-                pairs[i - 1] = merges.get((parts[i - 1], parts[i]), none)
-            if i < len(pairs):
-                pairs[i] = merges.get((parts[i], parts[i + 1]), none)
+                ranks[i - 1] = rank_of(parts[i - 1] << BITS | merged, NO_RANK)
+            if i < len(ranks):
+                ranks[i] = rank_of(merged << BITS | parts[i + 1], NO_RANK)
         return parts
 
     def _heap(self, parts: list[int]) -> list[int]:
@@ -104,17 +117,17 @@ class WordBpe:
 
         def push(i: int) -> None:
             j = after[i]
-            if j < n and (found := merges.get((parts[i], parts[j]))):
-                heapq.heappush(heap, (found[0], i, parts[i], parts[j], found[1]))
+            if j < n and (found := merges.get(parts[i] << BITS | parts[j])) is not None:
+                heapq.heappush(heap, (found, i, parts[i], parts[j]))
 
         for i in range(n):
             push(i)
         while heap:
-            _, i, left, right, merged = heapq.heappop(heap)
+            found, i, left, right = heapq.heappop(heap)
             j = after[i]
             if not alive[i] or j >= n or parts[i] != left or parts[j] != right:
                 continue
-            parts[i], alive[j], after[i] = merged, False, after[j]
+            parts[i], alive[j], after[i] = found & LOW, False, after[j]
             if after[j] < n:
                 before[after[j]] = i
             if before[i] >= 0:
@@ -132,27 +145,32 @@ class WordBpe:
                 self._library = Tokenizer.from_file(self.path)
             plain = self._library.normalizer.normalize_str(text)
             return [plain[a:b] for _, (a, b) in self._library.pre_tokenizer.pre_tokenize_str(plain)]
-        plain = self.space.sub(" ", unicodedata.normalize("NFC", text))
+        plain = unicodedata.normalize("NFC", text)
         # lower case goes by characters: no other form of sigma at the end of a word
         lower = "".join([c.lower() for c in plain]) if "Σ" in plain else plain.lower()
         return self.word.findall(lower)
 
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text as 32-bit numbers in a row."""
+        text = text or ""
+        if not any(s in text for s in self.special):
+            return self._packed_words(text)
+        parts = self.specials.split(text)
+        return b"".join([_pack([self.special[p]]) if p in self.special else self._packed_words(p) for p in parts])
+
+    def _packed_words(self, text: str) -> bytes:
+        words, known = self.words(text), self.known
+        try:
+            return b"".join(map(known.__getitem__, words))
+        except KeyError:
+            if len(known) > KEPT_WORDS:
+                known.clear()
+            for word in set(words).difference(known):
+                known[word] = _pack(self.encode_word(word))
+        return b"".join(map(known.__getitem__, words))
+
     def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
-        for part in self.specials.split(text or "") if self.specials else [text or ""]:
-            if part in self.special:
-                ids.append(self.special[part])
-            elif part:
-                ids.extend(chain.from_iterable(self._ids_of(self.words(part))))
-        return ids
-
-    def _ids_of(self, words: list[str]) -> Iterable[list[int]]:
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        known = self.known
-        for word in set(words).difference(known):
-            known[word] = self.encode_word(word)
-        return map(known.__getitem__, words)
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by a space, as the vocabulary names no decoder; special tokens stay."""
@@ -169,13 +187,6 @@ def load(path: str) -> WordBpe:
     return _loaded[path]
 
 
-def _lists(rows: list[np.ndarray]) -> pa.Array:
-    offsets = np.zeros(len(rows) + 1, dtype=np.int32)
-    np.cumsum([len(r) for r in rows], out=offsets[1:])
-    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
-
-
 def encode_column(text: Column, path: str) -> Column:
     """Token ids of each text, as array<int>; never NULL."""
 
@@ -183,7 +194,11 @@ def encode_column(text: Column, path: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
         for batch in batches:
-            yield _lists([np.array(bpe.encode(t.as_py()), dtype=np.int32) for t in batch])
+            rows = [bpe.packed(t.as_py()) for t in batch]
+            offsets = np.zeros(len(rows) + 1, dtype=np.int32)
+            np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
+            flat = np.frombuffer(b"".join(rows), np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
 
     return encode(text)
 
@@ -195,17 +210,26 @@ def decode_column(ids: Column, path: str) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
         for batch in batches:
-            yield pa.array([bpe.decode(i.as_py() or ()) for i in batch], type=pa.string())
+            flat, sizes = batch.flatten().to_numpy(), pc.fill_null(pc.list_value_length(batch), 0).to_numpy()
+            ends = np.cumsum(sizes)
+            yield pa.array([bpe.decode(flat[e - n : e].tolist()) for e, n in zip(ends, sizes, strict=True)], type=pa.string())
 
     return decode(ids)
 
 
+def _small_batches(df: DataFrame) -> None:
+    """Texts may be long, so few of them go to Python at once."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+
+
 def encode_documents(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` plus ``ids``, ``n_tokens``. Columns of these names are replaced."""
+    _small_batches(df)
     ids = with_results(df, ids=encode_column(F.col(f"`{text}`"), path))
     return ids.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 def decode_documents(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``df`` plus ``decoded``, the text of the ids."""
+    _small_batches(df)
     return with_results(df, decoded=decode_column(F.col(f"`{ids}`"), path))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlake.llm import bpe
+from trafficlake.llm import bpe, linedup, quality
 from trafficlake.llm.frames import pick, read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -24,5 +24,17 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op6_bpe": op6_bpe}
-ORACLE: dict[str, str] = {}
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    model = quality.train(documents, read(spark, sf_dir, "labels"))
+    scored = quality.score_documents(pick(documents, doc_id="doc_id", text="text"), model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = pick(read(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    return linedup.dedup_lines(texts)
+
+
+QUERIES = {"op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_line_dedup": op8_line_dedup}
+ORACLE = {"op8_line_dedup": linedup.ORACLE}
