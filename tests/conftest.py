@@ -12,7 +12,7 @@ from trafficlake.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        8, "trafficlake-tests", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint"))}
+        int(os.environ.get("TEST_CPUS", "8")), "trafficlake-tests", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint"))}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
