@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlake.llm import bpe, forest, linedup, quality
+from trafficlake.llm import bpe, decontaminate, forest, linedup, quality
 from trafficlake.llm.frames import pick, read
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
@@ -40,5 +44,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup_lines(texts)
 
 
-QUERIES = {"op4_ngram_jaccard_join": op4_ngram_jaccard_join, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_line_dedup": op8_line_dedup}
+QUERIES = {
+    f.__name__: f
+    for f in (op3_decontamination, op4_ngram_jaccard_join, op6_bpe, op7_quality, op8_line_dedup)
+}
 ORACLE = {"op8_line_dedup": linedup.ORACLE}

@@ -52,7 +52,11 @@ def _chunk_hashes(data: bytes) -> np.ndarray:
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    data = (text or "").encode("utf-8", "surrogatepass")
+    return byte_hashes((text or "").encode("utf-8", "surrogatepass"))
+
+
+def byte_hashes(data: bytes) -> np.ndarray:
+    """Word hashes of UTF-8 text, in pieces that end at a blank, so memory beside the result is bounded."""
     if len(data) <= CHUNK:
         return _chunk_hashes(data)
     out, at = [], 0
