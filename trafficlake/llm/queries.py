@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlake.llm import bpe, decontaminate, forest, linedup, quality
+from trafficlake.llm import bpe, decontaminate, fingerprint, forest, linedup, quality
 from trafficlake.llm.frames import pick, read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -44,8 +44,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup_lines(texts)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op3_decontamination, op4_ngram_jaccard_join, op6_bpe, op7_quality, op8_line_dedup)
+    for f in (op3_decontamination, op4_ngram_jaccard_join, op6_bpe, op7_quality, op8_line_dedup, op9_fingerprints)
 }
 ORACLE = {"op8_line_dedup": linedup.ORACLE}
