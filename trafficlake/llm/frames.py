@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,15 @@ def with_results(df: DataFrame, **results: Column) -> DataFrame:
     return df.select(*kept, *[c.alias(name) for name, c in results.items()])
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it.
+
+    An expression of the outer row that stands inside a lambda is worked out again for every element; a lambda's
+    variable is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name under the one that the cluster shares (``spark.checkpoint.dir``).
 

@@ -6,7 +6,7 @@ the whole corpus; all others are later ones. The positions that later occurrence
 lines are removed; the other lines stay in order.
 
 Windows of one document may repeat each other too: of ``a a a a a a`` the lines before the first later window stay.
-Lines are compared as they are, case and blanks included. Documents of under three lines have no window and stay as
+Lines are compared as they are, case and blanks included; lines of blanks alone count as empty. Documents of under three lines have no window and stay as
 they are, as do NULL and empty texts. Documents are ordered by their key, then by the hash of their text; rows with the
 same key and text are one document and get the same result. A NULL key sorts first.
 
@@ -24,20 +24,21 @@ from trafficlake.llm.frames import with_results
 WINDOW = 3
 
 
-def _windows(lines: Column) -> Column:
-    """Array of (pos, a, b), one for each window of ``lines`` with a line that is not blank."""
-    hashes = F.transform(lines, lambda x: F.xxhash64(x))
-    blank = F.transform(lines, lambda x: F.trim(x) == "")
-    last = F.size(lines) - WINDOW
-    at = lambda column, i: F.get(column, i)
-    window = lambda h, i: F.struct(
-        i.alias("pos"),
-        F.xxhash64(at(h, i), at(h, i + 1), at(h, i + 2)).alias("a"),
-        F.xxhash64(F.lit("again"), at(h, i + 2), at(h, i), at(h, i + 1)).alias("b"),
-    )
-    all_blank = lambda i: at(blank, i) & at(blank, i + 1) & at(blank, i + 2)
-    positions = F.filter(F.sequence(F.lit(0), last), lambda i: ~all_blank(i))
-    return F.when(last >= 0, F.transform(positions, lambda i: window(hashes, i)))
+def _windows(docs: DataFrame) -> DataFrame:
+    """(doc, pos, a, b), one row for each window of the ``text`` of ``docs`` with a line that is not blank."""
+    line = lambda x: F.xxhash64(F.when(F.trim(x) == "", F.lit("")).otherwise(x))
+    # a column of its own, so that windows look lines up and do not hash them again
+    hashed = docs.select("doc", F.transform(F.split("text", "\n"), line).alias("h"))
+    blank = F.xxhash64(F.lit(""))
+
+    def window(x: Column, i: Column) -> Column:
+        y, z = F.get("h", i + 1), F.get("h", i + 2)
+        empty = (x == blank) & (y == blank) & (z == blank)
+        a, b = F.xxhash64(x, y, z).alias("a"), F.xxhash64(F.lit("again"), z, x, y).alias("b")
+        return F.when(z.isNotNull() & ~empty, F.struct(i.alias("pos"), a, b))
+
+    windows = F.filter(F.transform("h", window), lambda w: w.isNotNull())
+    return hashed.where(F.size("h") >= WINDOW).select("doc", F.explode(windows).alias("w")).select("doc", "w.*")
 
 
 def kept_runs(starts: Column, n: Column) -> Column:
@@ -60,7 +61,7 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     doc = F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("hash"))
     row = F.struct(*[F.col(f"`{c}`") for c in columns])
     docs = df.select(doc.alias("doc"), F.col(f"`{text}`").alias("text"))
-    windows = docs.select("doc", F.explode(_windows(F.split("text", "\n"))).alias("w")).select("doc", "w.*")
+    windows = _windows(docs)
     where = F.struct("doc", "pos")
     repeated = windows.groupBy("a", "b").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = (
@@ -89,11 +90,12 @@ ORACLE = """with lines as (
   select doc_id, i as pos, ls[i + 1] as line, len(ls) as n
   from (select doc_id, string_split(text, chr(10)) as ls, unnest(range(len(string_split(text, chr(10))))) as i
         from documents)),
+plain as (select doc_id, pos, case when trim(line, ' ') = '' then '' else line end as line from lines),
 windows as (
   select a.doc_id, a.pos, a.line || chr(10) || b.line || chr(10) || c.line as w
-  from lines a join lines b on a.doc_id = b.doc_id and b.pos = a.pos + 1
-    join lines c on a.doc_id = c.doc_id and c.pos = a.pos + 2
-  where trim(a.line, ' ') <> '' or trim(b.line, ' ') <> '' or trim(c.line, ' ') <> ''),
+  from plain a join plain b on a.doc_id = b.doc_id and b.pos = a.pos + 1
+    join plain c on a.doc_id = c.doc_id and c.pos = a.pos + 2
+  where a.line <> '' or b.line <> '' or c.line <> ''),
 later as (
   select doc_id, pos from (
     select doc_id, pos, row_number() over (partition by w order by doc_id, pos) as k from windows) where k > 1),
