@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlake.llm import bpe, decontaminate, fingerprint, forest, linedup, quality
+from trafficlake.llm import bpe, decontaminate, fingerprint, forest, linedup, pii, quality
 from trafficlake.llm.frames import pick, read
 
 WORD_BPE = "word_bpe_49k.json"
+PII_KEY = "for these queries only"  # a job names its own, secret key
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = pick(read(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    return pii.pseudonymise(texts, key=PII_KEY)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     texts = pick(read(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
@@ -50,6 +56,6 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_decontamination, op4_ngram_jaccard_join, op6_bpe, op7_quality, op8_line_dedup, op9_fingerprints)
+    for f in (op3_decontamination, op4_ngram_jaccard_join, op5_pii, op6_bpe, op7_quality, op8_line_dedup, op9_fingerprints)
 }
 ORACLE = {"op8_line_dedup": linedup.ORACLE}
