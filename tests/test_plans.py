@@ -3,11 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from trafficlake.operators import dedup, joins, sessions
+from trafficlake.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = queries()
+QUERIES = all_queries()
 
 
 def plan(df):
@@ -32,6 +32,15 @@ def test_scans_read_needed_columns_only(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in text
 
 
+def test_object_log_dedup_hashes_in_one_shuffle(spark):
+    df = spark.createDataFrame([("a", "k", 1)], "id string, partition_key string, n int").repartition(3)
+    out = dedup.distinct_by_key(df, ["partition_key", "id"])
+    text = plan(out)
+    # the one value of the check's subquery aside, all aggregates hash
+    assert text.count("SortAggregate(") == text.count("SortAggregate(key=[],") and "SortMergeJoin" not in text
+    assert "HashAggregate(keys=[" in text or "HashAggregate(key" in text
+
+
 def test_keep_first_limits_before_the_shuffle(spark):
     df = spark.range(10).withColumn("k", F.col("id") % 2)
     text = plan(dedup.keep_first(df, ["k"], [F.col("id")]))
@@ -68,7 +77,7 @@ def test_hot_key_of_a_lookup_is_split(spark, skew_conf):
     rows = spark.range(0, 200_000, 1, 16).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"))
     dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    out = joins.many_to_one(rows, dim, ["k"], small_rows=0)
+    out = joins.many_to_one(rows, dim, ["k"])
     text, got = final_plan(out)
     assert "skew=true" in text
     assert len(got) == 200_000 and all(r.v == r.k * 2 for r in got)
@@ -77,7 +86,7 @@ def test_hot_key_of_a_lookup_is_split(spark, skew_conf):
 def test_null_keys_are_spread(spark, skew_conf):
     rows = spark.range(0, 100_000, 1, 8).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"))
     dim = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    out = joins.many_to_one(rows, dim, ["k"], small_rows=0)
+    out = joins.many_to_one(rows, dim, ["k"])
     sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert sum(sizes) == 100_000 and max(sizes) < 2 * 100_000 / len(sizes)
 

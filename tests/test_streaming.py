@@ -17,7 +17,7 @@ def test_incremental_load_equals_batch(spark, tmp_path, object_log, ips):  # noq
     out, check = str(tmp_path / "out"), str(tmp_path / "check")
 
     def load():
-        stream = incremental.core_stream(spark, object_log, ips, "20 years")
+        stream = incremental.core_stream(spark, object_log, ips)
         incremental.append_available(stream, out, "core_s3_logs", check).awaitTermination()
         return read_table(spark, out, "core_s3_logs")
 
@@ -32,10 +32,10 @@ def test_incremental_load_equals_batch(spark, tmp_path, object_log, ips):  # noq
 def test_summary_stream_emits_closed_days(spark, tmp_path, object_log, ips):  # noqa: F811
     put(f"{object_log}/2026-03-09-00", line("R50", time="09/Mar/2026:00:00:00"))
     found = []
-    core = incremental.core_stream(spark, object_log, ips, "1 hour")
+    core = incremental.core_stream(spark, object_log, ips)
     usage = incremental.usage_stream(core, SITE)
     query = incremental.load_available(
-        incremental.summary_stream(usage),
+        incremental.summary_stream(usage, "1 hour"),
         lambda batch, _: found.extend(batch.collect()), str(tmp_path / "check"))
     query.awaitTermination()
     batch = summary_by_table(objectlog.usage_rows(

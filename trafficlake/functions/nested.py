@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,12 +58,13 @@ def is_bad_json_list(text: Column, element: str) -> Column:
     return text.isNotNull() & json_list(text, element).isNull()
 
 
-def widen(array: Column, fields: Sequence[str], slots: int, name) -> dict[str, Column]:
-    """Fields of the first ``slots`` array elements as text columns ``name(field, slot)``."""
+def widen(array: Column, fields: Mapping[str, str], slots: int, name) -> dict[str, Column]:
+    """Fields of the first ``slots`` array elements as text columns ``name(ours, slot)``; ``fields``
+    maps our name of a field to the element's. Keep the array too: it may be longer."""
     return {
-        name(field, slot): F.get(array, F.lit(slot))[field].cast("string")
+        name(ours, slot): F.get(array, F.lit(slot))[theirs].cast("string")
         for slot in range(slots)
-        for field in fields
+        for ours, theirs in fields.items()
     }
 
 

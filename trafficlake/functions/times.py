@@ -27,6 +27,12 @@ def iso_date(text: Column) -> Column:
     return F.to_date(F.try_to_timestamp(text))
 
 
+def readable(text: Column, value: Column, kind: str = "timestamp") -> Column:
+    """``value``, read from ``text``; the job fails where there is a text that gave none."""
+    message = F.concat(F.lit(f"unreadable {kind}: "), text)
+    return F.when(value.isNotNull() | text.isNull(), value).otherwise(F.raise_error(message).cast(kind))
+
+
 def day_start(text: Column, fmt: str = "yyyy-MM-dd") -> Column:
     """Midnight UTC of a day given as text."""
     return F.try_to_timestamp(text, F.lit(fmt))

@@ -88,14 +88,33 @@ def _as(df: DataFrame, field: T.StructField) -> Column:
         return c
     if isinstance(have, T.StructType | T.ArrayType | T.MapType):
         return F.to_json(c)
-    return c.try_cast(field.dataType)
+    value = c.try_cast(field.dataType)
+    if isinstance(field.dataType, T.StringType):
+        return value
+    message = F.concat(F.lit(f"{field.name} takes no value like: "), c.cast("string"))
+    return F.when(value.isNotNull() | c.isNull(), value).otherwise(F.raise_error(message).cast(field.dataType))
+
+
+def failed_casts(df: DataFrame, to: str | Table) -> DataFrame:
+    """(column, n_failed) of the values that ``conform`` would fail on, counted in one pass."""
+    target = table(to) if isinstance(to, str) else to
+    nested = T.StructType | T.ArrayType | T.MapType
+    cast = [
+        f for f in target.schema.fields
+        if f.name in df.columns and not isinstance(df.schema[f.name].dataType, nested)
+    ]
+    counts = [
+        F.count(F.when(q(f.name).isNotNull() & q(f.name).try_cast(f.dataType).isNull(), 1)).alias(f.name) for f in cast
+    ]
+    pairs = ", ".join(f"'{f.name}', `{f.name}`" for f in cast)
+    return df.agg(*counts).select(F.expr(f"stack({len(cast)}, {pairs}) as (column, n_failed)"))
 
 
 def conform(df: DataFrame, to: str | Table, partition: Column | str | None = None) -> DataFrame:
     """Exactly the registered columns, in order and type.
 
     Missing columns are typed NULLs and extra columns vanish; an unregistered table is
-    an error. ``partition`` stamps the partition key of a partitioned table.
+    an error. A value that does not fit its stored type fails the job; ``failed_casts`` counts those. ``partition`` stamps the partition key of a partitioned table.
     """
     target = table(to) if isinstance(to, str) else to
     have = set(df.columns)

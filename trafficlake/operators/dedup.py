@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trafficlake.operators.columns import q
+from trafficlake.operators.quality import unique_or_fail
 
 _RANK = "__rank"
 
@@ -29,23 +29,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 
 
 def distinct_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Repeated rows once, with the key checked on the way.
+    """Repeated rows once, compared by value, with the key checked on the way.
 
-    As ``distinct_rows`` followed by a uniqueness check, in one aggregate and without a
-    second pass: the job fails, and a write publishes nothing, when two different rows
-    share a key. Rows are told apart by a 64-bit hash of all other columns.
+    Repeats are combined before the one shuffle of rows. The job fails, and a write publishes
+    nothing, when two different rows share a key: the check counts the keys of the shuffled
+    rows, which both sides of the plan share.
     """
-    rest = [c for c in df.columns if c not in keys]
-    values = F.struct(*[q(c) for c in rest])
-    mark = F.xxhash64(*[q(c) for c in rest])
-    groups = df.groupBy(*[q(k) for k in keys]).agg(
-        F.first(values).alias("__row"), F.min(mark).alias("__low"), F.max(mark).alias("__high")
-    )
-    message = F.concat(F.lit("different rows share a key: "), F.to_json(F.struct(*[q(k) for k in keys])))
-    same = F.when(F.col("__low") == F.col("__high"), F.lit(True)).otherwise(
-        F.raise_error(message).cast("boolean")
-    )
-    return groups.where(same).select(*[q(k) for k in keys], "__row.*")
+    return unique_or_fail(distinct_rows(df), keys, "different rows share a key")
 
 
 def latest(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = ()) -> DataFrame:

@@ -8,17 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlake.operators.columns import q
-from trafficlake.operators.quality import require_unique
+from trafficlake.operators.quality import unique_or_fail
 
-BROADCAST_ROWS = 200_000
 _SPREAD = 8_192
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most ``rows`` rows. Counts no further than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def most_frequent(counts: DataFrame, keys: Sequence[str], count: str, n: int) -> DataFrame:
     """The ``n`` most frequent non-NULL keys of a table of key counts.
 
@@ -76,29 +70,22 @@ def lookup(
     )
 
 
-def lookup_small(rows: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join to a dimension whose size was checked with ``is_small``: broadcast."""
-    return rows.join(F.broadcast(dimension), list(keys), "left")
-
-
 def many_to_one(
     rows: DataFrame,
     dimension: DataFrame,
     keys: Sequence[str],
     validate: bool = True,
-    small_rows: int = BROADCAST_ROWS,
     hot_keys: int = 0,
 ) -> DataFrame:
-    """Left join, dimension keys checked to be unique.
+    """Left join, dimension keys checked to be unique by the job itself.
 
-    A dimension of at most ``small_rows`` rows is broadcast, a larger one shuffled.
-    ``hot_keys`` > 0 counts the keys of ``rows`` first and treats that many of the most
-    frequent ones apart; it reads ``rows`` twice, so it is meant for stored rows.
+    No side is forced: adaptive execution sends a dimension to all tasks when its measured
+    bytes allow it and shuffles otherwise. ``hot_keys`` > 0 counts the keys of ``rows`` first
+    and treats that many of the most frequent ones apart; it reads ``rows`` twice, so it is
+    meant for stored rows where adaptive execution is not available.
     """
     if validate:
-        require_unique(dimension, keys, "dimension")
-    if is_small(dimension, small_rows):
-        return lookup_small(rows, dimension, keys)
+        dimension = unique_or_fail(dimension, keys, "dimension key repeats")
     hot = None
     if hot_keys:
         counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))

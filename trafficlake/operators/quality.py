@@ -30,12 +30,28 @@ def key_violations(df: DataFrame, keys: Sequence[str], count: str = "n_rows") ->
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> None:
-    """Fail when a key repeats. Reads key columns only; brings back at most three keys."""
+    """Fail when a key repeats, naming three of them; ``key_violations`` lists all. For stored rows."""
     found = key_violations(df.select(*[q(k) for k in keys]), keys).limit(3).collect()
     if found:
         raise DataQualityError(f"{what}: key {tuple(keys)} repeats, e.g. {found}")
 
 
+def unique_or_fail(df: DataFrame, keys: Sequence[str], what: str = "key repeats") -> DataFrame:
+    """All rows; a job that uses them fails, naming a key, when a key repeats.
+
+    The check is part of the job, so nothing runs while the plan is built and nothing is
+    published when it fails. It counts key columns only.
+    """
+    key = F.to_json(F.struct(*[q(k) for k in keys]))
+    repeated = key_violations(df.select(*[q(k) for k in keys]), keys, "__n").agg(F.max(key)).scalar()
+    message = F.concat(F.lit(f"{what}: "), repeated)
+    # in a column instead of a filter, which would be pushed below a de-duplication
+    last = keys[-1]
+    kind = df.schema[last].dataType
+    checked = F.when(repeated.isNull(), q(last)).otherwise(F.raise_error(message).cast(kind))
+    return df.withColumn(last, checked)
+
+
 def unmapped(df: DataFrame, column: str, mapping: DataFrame, key: str) -> DataFrame:
     """Distinct values of ``column``, NULL included, that the mapping does not list."""
     values = df.select(q(column).alias(column)).distinct()
@@ -43,11 +59,10 @@ def unmapped(df: DataFrame, column: str, mapping: DataFrame, key: str) -> DataFr
     return values.join(known, column, "left_anti")
 
 
-def require_mapped(df: DataFrame, column: str, mapping: DataFrame, key: str) -> None:
-    """Fail when a value has no mapping; at most twenty values are named."""
-    found = unmapped(df, column, mapping, key).limit(20).collect()
-    if found:
-        raise DataQualityError(f"no mapping for {column}: {[r[0] for r in found]}")
+def mapped_or_fail(value: Column, mapped: Column, what: str) -> Column:
+    """``mapped``; the job fails where a value, NULL included, has none. ``unmapped`` lists all of them."""
+    message = F.concat(F.lit(f"no mapping for {what}: "), F.coalesce(value.cast("string"), F.lit("NULL")))
+    return F.coalesce(mapped, F.raise_error(message).cast("string"))
 
 
 def _holds(rule: Column) -> Column:

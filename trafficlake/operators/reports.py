@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +11,7 @@ from pyspark.sql import types as T
 from trafficlake.functions import times
 from trafficlake.operators.columns import q
 
-EXACT_ROWS = 1_000_000
-HISTOGRAM_BINS = 4_096
+RADIX_BITS = 16
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
@@ -26,22 +24,26 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
     return counts.orderBy(F.col("n").desc(), q(column)).limit(top)
 
 
-def value_shares(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
-    """As ``value_counts`` with each count's share of all non-NULL rows.
+def shares_of(counts: DataFrame, top: int | None = None) -> DataFrame:
+    """A table of counts (``n``) with each count's share of their sum.
 
     The total is one scalar of the counts; no window brings all values into one task.
     """
-    counts = value_counts(df, column)
     total = counts.agg(F.sum("n").alias("total")).scalar()
     shares = counts.withColumn("share", F.col("n") / total)
     if top is None:
         return shares
-    return shares.orderBy(F.col("n").desc(), q(column)).limit(top)
+    return shares.orderBy(F.col("n").desc(), *[q(c) for c in counts.columns if c != "n"]).limit(top)
+
 
+def value_shares(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
+    """As ``value_counts`` with each count's share of all non-NULL rows."""
+    return shares_of(value_counts(df, column), top)
 
-def covered_share(df: DataFrame, column: str, top: int) -> DataFrame:
-    """Share of all non-NULL rows that the ``top`` values cover together."""
-    return value_shares(df, column, top).agg(F.sum("share").alias("covered"))
+
+def covered_share(shares: DataFrame) -> DataFrame:
+    """Share of all counted rows that the given (top) values cover together."""
+    return shares.agg(F.sum("share").alias("covered"))
 
 
 def matching(df: DataFrame, column: str, words: Sequence[str]) -> DataFrame:
@@ -116,107 +118,73 @@ def load_report(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class _Interval:
-    """Closed value interval, its number of rows, and the wanted ranks counted within it."""
-
-    low: float
-    high: float
-    n: int
-    ranks: dict[int, int]
-
-    def holds(self) -> Column:
-        return F.col("v").between(F.lit(self.low), F.lit(self.high))
-
-
-def _narrowed(numbers: DataFrame, intervals: list[_Interval], bins: int) -> list[_Interval]:
-    """The bins of a bounded histogram of each interval that hold wanted ranks: one pass."""
-    which, slot = F.lit(None).cast("int"), F.lit(None).cast("bigint")
-    for i, part in enumerate(intervals):
-        width = part.high / bins - part.low / bins
-        at = F.least(F.floor((F.col("v") - F.lit(part.low)) / F.lit(width)), F.lit(bins - 1))
-        which = F.when(part.holds(), F.lit(i)).otherwise(which)
-        slot = F.when(part.holds(), at).otherwise(slot)
-    counted = (
-        numbers.select("v", which.alias("i"), slot.alias("slot"))
-        .where("i is not null")
-        .groupBy("i", "slot")
-        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        .collect()  # at most bins rows per interval
-    )
-    out = []
-    for i, part in enumerate(intervals):
-        before = 0
-        for row in sorted((r for r in counted if r["i"] == i), key=lambda r: r["slot"]):
-            inside = {
-                rank: at - before
-                for rank, at in part.ranks.items()
-                if before <= at < before + row["n"]
-            }
-            if inside:
-                out.append(_Interval(row["low"], row["high"], row["n"], inside))
-            before += row["n"]
-    return out
+def _image(v: Column) -> Column:
+    """A double's 64 bits as a number in the same order; both zeros are one value."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), v + F.lit(0.0)).cast("bigint")
+    return F.when(bits < 0, F.bitwise_not(bits).bitwiseXOR(F.lit(-(2**63)))).otherwise(bits)
 
 
-def _kth_values(
-    numbers: DataFrame, whole: _Interval, bins: int, exact_rows: int
-) -> dict[int, float]:
-    """Values at the wanted 0-based ranks of a one-column double frame ``v``.
+def _kth_values(numbers: DataFrame, ranks: Sequence[int]) -> dict[int, float]:
+    """Values at the wanted 0-based ranks of a frame (v, image).
 
-    Every pass narrows all ranks together; intervals with few rows are sorted at the end,
-    in one pass more.
+    Each pass counts the rows by the next ``RADIX_BITS`` bits below each prefix that holds a
+    wanted rank, so there are at most four passes, whatever the values. A pass brings back
+    at most 2^16 counts for each such prefix. A bucket of one value ends its ranks early.
     """
     found: dict[int, float] = {}
-    small: list[_Interval] = []
-    open_parts = [whole]
+    open_parts: dict[int | None, dict[int, int]] = {None: {r: r for r in ranks}}
+    shift = 64
     while open_parts:
-        large = []
-        for part in open_parts:
-            if part.low == part.high:
-                found.update(dict.fromkeys(part.ranks, part.low))
-            elif part.n <= exact_rows or not part.high / bins - part.low / bins > 0:
-                small.append(part)
-            else:
-                large.append(part)
-        open_parts = _narrowed(numbers, large, bins) if large else []
-    if small:
-        picks = []
-        for part in small:
-            ordered = F.sort_array(F.collect_list(F.when(part.holds(), F.col("v"))))
-            picks += [F.get(ordered, F.lit(at)).alias(str(rank)) for rank, at in part.ranks.items()]
-        found.update({int(k): v for k, v in numbers.agg(*picks).first().asDict().items()})
+        above, shift = shift, shift - RADIX_BITS
+        rows = numbers
+        if None not in open_parts:
+            rows = rows.where(F.shiftright("image", above).isin(*open_parts))
+        counted = (
+            rows.groupBy(F.shiftright("image", shift).alias("slot"))
+            .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .collect()
+        )
+        narrowed: dict[int | None, dict[int, int]] = {}
+        for prefix, wanted in open_parts.items():
+            before = 0
+            inside = [r for r in counted if prefix is None or r["slot"] >> RADIX_BITS == prefix]
+            for row in sorted(inside, key=lambda r: r["slot"]):
+                here = {k: at - before for k, at in wanted.items() if before <= at < before + row["n"]}
+                if here and row["low"] == row["high"]:
+                    found.update(dict.fromkeys(here, row["low"]))
+                elif here:
+                    narrowed[row["slot"]] = here
+                before += row["n"]
+        open_parts = narrowed
     return found
 
 
 def quantiles(
-    df: DataFrame,
-    column: str,
-    probabilities: Sequence[float] = (0.25, 0.5, 0.75),
-    exact_rows: int = EXACT_ROWS,
-    bins: int = HISTOGRAM_BINS,
+    df: DataFrame, column: str, probabilities: Sequence[float] = (0.25, 0.5, 0.75)
 ) -> list[float | None]:
     """Exact quantiles, linear between neighbours, of a column with any number of rows.
 
-    The built-in exact percentile keeps every distinct value in one task. Here bounded
-    histograms narrow the value range of the wanted ranks until it holds ``exact_rows``
-    rows at most or a single value.
+    The built-in exact percentile keeps every distinct value in one task; here the ranks are
+    found by counting, in at most four passes, the same way at every size. NULL and NaN
+    are left out; infinities are values like others.
     """
     numbers = df.select(q(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
-    low, high, n = numbers.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    numbers = numbers.withColumn("image", _image(F.col("v")))
+    n = numbers.count()
     if n == 0:
         return [None] * len(probabilities)
     positions = [p * (n - 1) for p in probabilities]
     wanted = {int(x) for x in positions} | {min(int(x) + 1, n - 1) for x in positions}
-    at = _kth_values(numbers, _Interval(low, high, n, {r: r for r in wanted}), bins, exact_rows)
+    at = _kth_values(numbers, sorted(wanted))
     out = []
     for x in positions:
         below, above = at[int(x)], at[min(int(x) + 1, n - 1)]
-        out.append(below + (above - below) * (x - int(x)))
+        part = x - int(x)
+        out.append(below if part == 0 or below == above else below + (above - below) * part)
     return out
 
 
-def describe(df: DataFrame, column: str, exact_rows: int = EXACT_ROWS) -> DataFrame:
+def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, min, quartiles and max of a numeric column, as one row."""
     base = df.select(q(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
     measures = [
@@ -225,12 +193,9 @@ def describe(df: DataFrame, column: str, exact_rows: int = EXACT_ROWS) -> DataFr
         F.min("v").alias("min"),
         F.max("v").alias("max"),
     ]
-    if base.limit(exact_rows + 1).count() <= exact_rows:
-        quarter = [F.percentile("v", F.lit(p)).alias(name) for p, name in _QUARTILES]
-    else:
-        values = quantiles(df, column, [p for p, _ in _QUARTILES], exact_rows)
-        quarter = [F.lit(v).cast(T.DoubleType()).alias(n) for v, (_, n) in zip(values, _QUARTILES)]
-    return base.agg(*measures, *quarter)
+    values = quantiles(df, column, [p for p, _ in _QUARTILES])
+    quarter = [F.lit(v).cast(T.DoubleType()).alias(n) for v, (_, n) in zip(values, _QUARTILES, strict=True)]
+    return base.agg(*measures).select("*", *quarter).select("n", "mean", "min", *[n for _, n in _QUARTILES], "max")
 
 
 _QUARTILES = ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))

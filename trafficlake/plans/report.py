@@ -23,12 +23,13 @@ def build_request_report(logs: DataFrame, top: int = 20) -> dict[str, DataFrame]
     weekly = reports.resample_weekly(
         logs, "timestamp", size.alias("bytes"), F.count("insert_id").alias("requests")
     )
+    paths = reports.value_shares(logs, "request_url_path", top)
     return {
         "monthly_egress": monthly.select("period", numbers.gigabytes(F.col("bytes")).alias("gigabytes")),
         "weekly_egress": weekly.select("period", numbers.megabytes(F.col("bytes")).alias("megabytes")),
         "weekly_requests": weekly.select("period", "requests"),
-        "top_paths": reports.value_shares(logs, "request_url_path", top),
-        "top_paths_share": reports.covered_share(logs, "request_url_path", top),
+        "top_paths": paths,
+        "top_paths_share": reports.covered_share(paths),
         "top_organisations": reports.value_counts(logs, "remote_ip_org", 10),
         "academic_organisations": reports.value_counts(
             reports.matching(logs, "remote_ip_org", ACADEMIC_WORDS), "remote_ip_org"

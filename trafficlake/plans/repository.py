@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlake.functions import times
 from trafficlake.operators import columns as C
 from trafficlake.operators.dedup import keep_first
-from trafficlake.operators.quality import require_unique
+from trafficlake.operators.quality import unique_or_fail
 from trafficlake.schemas import PARTITION_KEY, table
 
 # New names of counts, and columns left out.
@@ -28,14 +28,20 @@ def _checked(df: DataFrame, name: str) -> DataFrame:
     """Keys are unique within a partition: a day may be part of several of them."""
     target = table(name)
     keys = [*target.key, PARTITION_KEY] if target.partitioned else list(target.key)
-    out = C.conform(df, target)
-    require_unique(out, keys, name)
-    return out
+    return unique_or_fail(C.conform(df, target), keys, f"{name}: key repeats")
+
+
+def _time(column: str) -> Column:
+    return times.readable(F.col(column), times.iso_time(F.col(column)))
+
+
+def _day(column: str) -> Column:
+    return times.readable(F.col(column), times.iso_date(F.col(column)), "date")
 
 
 def build_popular(raw: DataFrame, name: str) -> DataFrame:
     renamed = C.rename(raw, POPULAR_NAMES[name])
-    day = times.iso_date(F.col("metrics_date"))
+    day = _day("metrics_date")
     return _checked(renamed.withColumn("metrics_date", day), name)
 
 
@@ -48,7 +54,7 @@ def build_series(raw: DataFrame, name: str, window_days: int = 7) -> DataFrame:
     renamed = C.rename(raw, SERIES_NAMES[name])
     counts = [F.col(c) for c in SERIES_NAMES[name].values()]
     once = keep_first(renamed, [PARTITION_KEY, "timestamp"], counts)
-    dated = once.withColumn("metrics_date", times.iso_date(F.col("timestamp")))
+    dated = once.withColumn("metrics_date", _day("timestamp"))
     first = F.to_date(PARTITION_KEY)
     inside = F.col("metrics_date").between(first, F.date_add(first, window_days - 1))
     return _checked(dated.where(inside), name)
@@ -59,12 +65,12 @@ def build_forks(raw: DataFrame) -> DataFrame:
         C.rename(raw, {"size": "size_kb"}), lambda c: "_url" in c or c in NOT_IN_FORKS
     )
     dated = kept.withColumns(
-        {c: times.iso_time(F.col(c)) for c in ("created_at", "updated_at", "pushed_at")}
+        {c: _time(c) for c in ("created_at", "updated_at", "pushed_at")}
     )
     return _checked(dated, "core_github_forks")
 
 
 def build_stargazers(raw: DataFrame) -> DataFrame:
     kept = C.drop(raw, NOT_IN_STARGAZERS)
-    dated = kept.withColumn("starred_at", times.iso_time(F.col("starred_at")))
+    dated = kept.withColumn("starred_at", _time("starred_at"))
     return _checked(dated, "core_github_stargazers")

@@ -9,7 +9,7 @@ from trafficlake.functions import nested, text, times
 from trafficlake.operators import columns as C
 from trafficlake.operators.dedup import keep_first
 from trafficlake.operators.enrich import with_ip_details
-from trafficlake.operators.quality import require_unique
+from trafficlake.operators.quality import unique_or_fail
 from trafficlake.schemas import PARTITION_KEY
 from trafficlake.site import Site
 
@@ -83,15 +83,16 @@ def build_intake_logs(
     raw: DataFrame, ip_records: DataFrame, partition: Column | str | None = None, **join
 ) -> DataFrame:
     """Object downloads made by the Python client, with tag, object path and address details."""
-    rows = renamed_client_log(raw)
-    require_unique(rows, ["insert_id"], "client log")
+    rows = unique_or_fail(renamed_client_log(raw), ["insert_id"], "client log: key repeats")
     asked = rows.where(
         F.contains(F.lower("request_user_agent"), F.lit(CLIENT_AGENT))
         & (F.col("request_operation") == CLIENT_OPERATION)
     )
     named = C.drop(asked, ["remote_ip_region", PARTITION_KEY]).withColumns(
         {
-            "timestamp": times.micros_to_time(F.col("timestamp").try_cast("bigint")),
+            "timestamp": times.readable(
+                F.col("timestamp"), times.micros_to_time(F.col("timestamp").try_cast("bigint"))
+            ),
             "object_path": text.object_path_of(F.col("request_object")),
             "tag": text.tag_of(F.col("request_object")),
         }

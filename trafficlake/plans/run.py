@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from trafficlake.functions import times
-from trafficlake.operators.quality import require_unique
+from trafficlake.operators.quality import DataQualityError, require_unique
 from trafficlake.plans import objectlog, repository, requests, snapshots, viewer
 from trafficlake.schemas import FIRST_PARTITION, PARTITION_KEY, table
 from trafficlake.session import Staging, tune
@@ -80,12 +80,22 @@ def _usage_input(load: Load) -> DataFrame:
 
 
 def load_viewer(load: Load) -> list[str]:
-    """Six event tables of one staged frame."""
+    """Six event tables and the rejected records of one staged parse.
+
+    Records are parsed and judged once. Events are staged by kind, so each table's write
+    reads its own folder. ``strict`` fails the load before anything is written.
+    """
     raw = files.viewer_log(load.spark, f"{load.source}/viewer_log", load.days)
     with Staging(load.spark) as stage:
-        events = stage.keep(viewer.build_viewer_events(raw, load.strict))
+        records = stage.keep(viewer.judged(raw))
+        rejected = viewer.quarantine_of(records)
+        bad = rejected.count()
+        log.info("viewer log: %s records break rules", bad)
+        if load.strict and bad:
+            raise DataQualityError(f"{bad} records break rules, e.g. {rejected.first().rules}")
+        events = stage.keep(viewer.events_of(records), "event")
         require_unique(events, ["insert_id", PARTITION_KEY], "viewer events")
-        return load.write(viewer.build_event_tables(events))
+        return load.write({"core_viewer_quarantine": rejected, **viewer.build_event_tables(events)})
 
 
 def load_repository(load: Load) -> list[str]:

@@ -76,14 +76,13 @@ def build_core_kaggle_logs(raw: DataFrame) -> DataFrame:
     message = F.concat_ws(" ", F.lit("snapshot contains an error:"), "errorMessage")
     fine = F.when(~failed, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     picked = raw.where(fine).select(
-        times.iso_time(F.col("metrics_date")).alias("metrics_date"),
+        times.readable(F.col("metrics_date"), times.iso_time(F.col("metrics_date"))).alias("metrics_date"),
         PARTITION_KEY,
         *[_snapshot_value(c).alias(SNAPSHOT_NAMES.get(c, c)) for c in SNAPSHOT_FIELDS],
     )
     named = picked.withColumn("is_private", F.initcap("is_private"))
     out = C.conform(named, "core_kaggle_logs")
-    quality.require_unique(out, ["metrics_date", PARTITION_KEY], "core_kaggle_logs")
-    return out
+    return quality.unique_or_fail(out, ["metrics_date", PARTITION_KEY], "core_kaggle_logs: key repeats")
 
 
 def build_core_zenodo_logs(raw: DataFrame, site: Site) -> DataFrame:
@@ -100,9 +99,11 @@ def build_core_zenodo_logs(raw: DataFrame, site: Site) -> DataFrame:
     rows = C.rename(hashed, ARCHIVE_NAMES).withColumns(
         {
             "metrics_date": F.to_date("metrics_date"),
-            "version_publication_date": times.iso_date(F.col("version_publication_date")),
+            "version_publication_date": times.readable(
+                F.col("version_publication_date"), times.iso_date(F.col("version_publication_date")), "date"
+            ),
             **{
-                c: times.iso_time(F.col(c))
+                c: times.readable(F.col(c), times.iso_time(F.col(c)))
                 for c in (
                     "version_creation_date",
                     "version_last_modified_date",
@@ -112,9 +113,7 @@ def build_core_zenodo_logs(raw: DataFrame, site: Site) -> DataFrame:
         }
     )
     slugs = site.all_dataset_slugs
-    known = raw.sparkSession.createDataFrame([(k,) for k in slugs], "known_id string")
-    quality.require_mapped(rows, "concept_record_id", known, "known_id")
-    slug = map_values(F.col("concept_record_id"), slugs)
+    concept = F.col("concept_record_id")
+    slug = quality.mapped_or_fail(concept, map_values(concept, slugs), "concept_record_id")
     out = C.conform(rows.withColumn("dataset_slug", slug), "core_zenodo_logs")
-    quality.require_unique(out, ["metrics_date", "version_id", PARTITION_KEY], "core_zenodo_logs")
-    return out
+    return quality.unique_or_fail(out, ["metrics_date", "version_id", PARTITION_KEY], "core_zenodo_logs: key repeats")

@@ -30,6 +30,8 @@ FILTER_OPERATIONS = (
     "false",
     "true",
 )
+# stored name of a filter's field -> its name in the record
+FILTER_FIELD_NAMES = {"field_name": "fieldName", "field_type": "fieldType", "operation": "operation", "value": "value"}
 FILTER = "struct<fieldName: string, fieldType: string, operation: string, value: string>"
 LOG_IN = "log_in"
 
@@ -92,17 +94,7 @@ def event_rows(records: DataFrame) -> DataFrame:
         "jsonPayload", F.when(~payload_dropped(), F.col("jsonPayload"))
     ).withColumn("filter_list", filter_list())
     payload = F.col("jsonPayload")
-    fields = {
-        "field_name": "fieldName",
-        "field_type": "fieldType",
-        "operation": "operation",
-        "value": "value",
-    }
-    filters = {
-        filter_column(ours, slot): F.get("filter_list", F.lit(slot))[theirs]
-        for slot in range(FILTER_SLOTS)
-        for ours, theirs in fields.items()
-    }
+    filters = nested.widen(F.col("filter_list"), FILTER_FIELD_NAMES, FILTER_SLOTS, filter_column)
     rows = records.select(
         F.col("insertId").alias("insert_id"),
         times.iso_time(F.col("timestamp")).alias("timestamp"),
@@ -115,6 +107,8 @@ def event_rows(records: DataFrame) -> DataFrame:
         payload["params"]["page"].alias("params_page"),
         payload["params"]["perPage"].alias("params_per_page"),
         *[c.alias(name) for name, c in filters.items()],
+        # every entry, also beyond the last slot
+        payload["params"]["filters"].alias("params_filters"),
         *[payload[c].alias(c) for c in ("accepted", "newsletter", "outreach")],
         PARTITION_KEY,
     )
@@ -124,6 +118,24 @@ def event_rows(records: DataFrame) -> DataFrame:
     return rows.withColumn("log_in_query", query).where(F.col("event").isNotNull())
 
 
+def judged(raw: DataFrame) -> DataFrame:
+    """All records with the rules they break: to be staged, so that a line is parsed once."""
+    return raw.withColumn(quality.VIOLATIONS, quality.broken_rules(record_rules()))
+
+
+def events_of(records: DataFrame) -> DataFrame:
+    """Events with session ids of the judged records that keep all rules."""
+    return with_sessions(event_rows(records.where(F.size(quality.VIOLATIONS) == 0)))
+
+
+def quarantine_of(records: DataFrame) -> DataFrame:
+    """The other judged records, whole, with the rules they break."""
+    whole = F.struct(*[c for c in records.columns if c not in (PARTITION_KEY, quality.VIOLATIONS)])
+    return records.where(F.size(quality.VIOLATIONS) > 0).select(
+        PARTITION_KEY, F.array_join(quality.VIOLATIONS, ", ").alias("rules"), F.to_json(whole).alias("record")
+    )
+
+
 def build_viewer_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     """All events with session ids. ``strict`` fails the job on a record that breaks a
     rule; otherwise such records are left out here and found by ``build_quarantine``."""
@@ -133,11 +145,7 @@ def build_viewer_events(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 def build_quarantine(raw: DataFrame) -> DataFrame:
     """Records that break rules, as JSON text with the rules."""
-    bad = quality.quarantined(raw, record_rules())
-    whole = F.struct(*[c for c in raw.columns if c != PARTITION_KEY])
-    return bad.select(
-        PARTITION_KEY, F.array_join(quality.VIOLATIONS, ", ").alias("rules"), F.to_json(whole).alias("record")
-    )
+    return quarantine_of(judged(raw))
 
 
 def build_event_tables(events: DataFrame) -> dict[str, DataFrame]:

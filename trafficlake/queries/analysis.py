@@ -24,7 +24,7 @@ def topk_value_share(spark: SparkSession, d: str) -> DataFrame:
     """Top 3 event types with their share, and the share they cover together."""
     events = read(spark, d, "events")
     top = reports.value_shares(events, "event_type", 3)
-    covered = reports.covered_share(events, "event_type", 3)
+    covered = reports.covered_share(top)
     rows = top.unionByName(
         covered.select(
             F.lit("(top 3)").alias("event_type"),

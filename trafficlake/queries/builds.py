@@ -50,8 +50,8 @@ def object_log_build(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def viewer_events_build(spark: SparkSession, d: str) -> DataFrame:
-    """JSON log lines through validation, flattening, log-in marking and sessions."""
+def _viewer_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Viewer log records of all kinds, some of them broken, parsed from JSON lines."""
     event_id, kind = F.col("event_id"), F.col("event_type")
     at = F.date_format("ts", ISO)
     filters = F.transform(
@@ -92,14 +92,29 @@ def viewer_events_build(spark: SparkSession, d: str) -> DataFrame:
     )
     options = {"columnNameOfCorruptRecord": "unreadable"}
     # through a generator, so that a line is parsed once however many rules look at it
-    lines = read(spark, d, "events").select(
+    return read(spark, d, "events").select(
         F.date_format("ts", DAY).alias("partition_key"),
         F.inline(F.array(F.from_json(line, files.VIEWER_LOG, options))),
     )
-    events = viewer.build_viewer_events(lines)
+
+
+def viewer_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """Records read, accepted and rejected per day, judged in one parse; the two kinds add up to all."""
+    records = viewer.judged(_viewer_lines(spark, d))
+    broken = F.size("violations") > 0
+    return records.groupBy("partition_key").agg(
+        F.count(F.lit(1)).alias("n_read"),
+        F.count_if(~broken).alias("n_accepted"),
+        F.count_if(broken).alias("n_rejected"),
+    )
+
+
+def viewer_events_build(spark: SparkSession, d: str) -> DataFrame:
+    """JSON log lines through validation, flattening, log-in marking and sessions."""
+    events = viewer.build_viewer_events(_viewer_lines(spark, d))
     return events.select(
         "insert_id", "event", "user_id", "score", "params_page", "params_filters_value",
-        "params_filters_field_name_6", "log_in_query", "session_id",
+        "params_filters_field_name_6", "params_filters", "log_in_query", "session_id",
     )
 
 
@@ -256,7 +271,7 @@ def client_log_build(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        object_log_build, viewer_events_build, viewer_tables_build, traffic_series_build,
+        object_log_build, viewer_rejected, viewer_events_build, viewer_tables_build, traffic_series_build,
         popular_build, stargazers_build, forks_build, dataset_snapshot_build,
         archive_stats_build, client_log_build,
     )
@@ -281,6 +296,12 @@ select id, time, sent / 1e6 as megabytes_sent, http_status,
   object_size, total_time, cast(null as double) as turn_around_time, remote_ip,
   asn as remote_ip_asn, org as remote_ip_org, location as remote_ip_full_location, partition_key
 from typed left join ips on remote_ip = ip""",
+    "viewer_rejected": """with judged as (select strftime(ts, '%Y-%m-%d') as partition_key,
+    event_type not in ('error', 'signup') and not (event_type = 'purchase' and event_id % 7 = 0)
+    and (event_id % 50 = 0 or (event_type = 'purchase' and event_id % 9 > 0 and event_id % 101 = 0)) as bad
+  from events)
+select partition_key, count(*) as n_read, count(*) filter (not bad) as n_accepted,
+  count(*) filter (bad) as n_rejected from judged group by 1""",
     "viewer_events_build": """with kept as (select *, strftime(ts, '%Y-%m-%d') as pk,
     event_type = 'signup' or (event_type = 'purchase' and event_id % 7 = 0) as dropped from events),
 flat as (select event_id, ts, pk,
@@ -291,6 +312,9 @@ flat as (select event_id, ts, pk,
     case when event_type = 'purchase' then 1 end as params_page,
     case when event_type = 'purchase' and event_id % 9 > 0 then cast(event_id + 1 as varchar) end as params_filters_value,
     case when event_type = 'purchase' and event_id % 9 > 6 then 'f7' end as params_filters_field_name_6,
+    case when event_type = 'purchase' then '[' || array_to_string(list_transform(range(1, event_id % 9 + 1),
+      lambda i: '{"fieldName":"f' || i || '","fieldType":"number","operation":"equals","value":' || (event_id + i) || '}'),
+      ',') || ']' end as params_filters,
     case when event_type = 'error' then 'k ' || event_id end as log_in_query
   from kept where not dropped
     and (event_type = 'error' or (event_id % 50 > 0
@@ -300,7 +324,7 @@ gaps as (select *, case when ts - lag(ts) over (partition by pk, user_id order b
 numbered as (select *, 1 + sum(gap) over (partition by pk, user_id order by ts, event_id
     rows between unbounded preceding and current row) as number from gaps)
 select cast(event_id as varchar) as insert_id, event, user_id, score, params_page, params_filters_value,
-  params_filters_field_name_6, log_in_query,
+  params_filters_field_name_6, params_filters, log_in_query,
   case when user_id is not null then pk || '-s' || cast(number as bigint) end as session_id from numbered""",
     "viewer_tables_build": """select strftime(ts, '%Y-%m-%d') as partition_key, count(*) as n,
   case event_type when 'view' then 'searches' when 'click' then 'hits' when 'purchase' then 'previews'

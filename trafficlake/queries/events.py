@@ -72,7 +72,7 @@ def enrich_large_dimension(spark: SparkSession, d: str) -> DataFrame:
     log = access_log(spark, d).select(
         "id", F.when(F.col("remote_ip") != "-", F.col("remote_ip")).alias("remote_ip")
     )
-    return with_ip_details(log, _ip_records(spark, d), small_rows=0, hot_keys=8)
+    return with_ip_details(log, _ip_records(spark, d), hot_keys=8)
 
 
 SLUGS = {str(n): f"slug_{n}" for n in range(20)}

@@ -15,7 +15,8 @@ from trafficlake.operators.reports import load_report as report
 from trafficlake.queries.bindings import read
 from trafficlake.schemas import Table, struct_of
 from trafficlake.session import checkpoint_folder
-from trafficlake.sinks.parquet import read_table, write_table
+from trafficlake.sinks.append import append_new
+from trafficlake.sinks.parquet import file_names, read_table, table_path, write_table
 from trafficlake.sources.tables import day_range, time_range
 
 
@@ -83,50 +84,85 @@ def _hits(spark: SparkSession, d: str) -> DataFrame:
         {"event_id": "insert_id", "ts": "timestamp", "event_type": "name", "value": "score"}
     )
     day = F.date_format("timestamp", "yyyy-MM-dd")
-    return C.conform(events.withColumn("rank", F.col("name")), HITS, day)
+    return C.conform(events.withColumn("rank", F.col("name").try_cast("int")), HITS, day)
 
 
 def conform_schema(spark: SparkSession, d: str) -> DataFrame:
     return _hits(spark, d).withColumn("timestamp", times.without_zone(F.col("timestamp")))
 
 
+class _Scratch:
+    """A folder for tables that a query writes, gone once its result is checkpointed."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = checkpoint_folder(spark)
+        if self.root is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        self.path = f"{self.root.rstrip('/')}/query-{uuid.uuid4().hex}"
+
+    def finish(self, result: DataFrame) -> DataFrame:
+        context = self.spark.sparkContext
+        if not context._jsc.sc().getCheckpointDir().isDefined():
+            context.setCheckpointDir(self.root)
+        kept = result.checkpoint()
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        return kept
+
+
+def scan_stored_partition(spark: SparkSession, d: str) -> DataFrame:
+    """One day of a stored, partitioned table: other days are not listed as input."""
+    scratch = _Scratch(spark)
+    write_table(_hits(spark, d), scratch.path, HITS)
+    day = read_table(spark, scratch.path, HITS, "2024-01-05", "2024-01-05")
+    return scratch.finish(day.select("insert_id", "name", "score", "partition_key"))
+
+
 def empty_partition(spark: SparkSession, d: str) -> DataFrame:
-    """Rows per day of the table, with the empty day before the first one written out."""
-    hits = _hits(spark, d)
-    none = C.conform(
-        hits.where(F.lit(False)).select("insert_id"), HITS, F.lit("2023-12-31")
-    )
-    every = C.union_all(none, hits)
-    counts = every.groupBy("partition_key").agg(F.count(F.lit(1)).alias("n_rows"))
-    bounds = counts.agg(
-        F.date_sub(F.to_date(F.min("partition_key")), 1).alias("first"),
-        F.to_date(F.max("partition_key")).alias("last"),
-    )
-    days = times.calendar(bounds, "first", "last", "1 day").select(
-        F.date_format("day", "yyyy-MM-dd").alias("partition_key")
-    )
-    return days.join(counts, "partition_key", "left").select(
-        "partition_key", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+    """Rows per day of a written table, with an empty day that was written before the first one."""
+    scratch = _Scratch(spark)
+    write_table(_hits(spark, d), scratch.path, HITS, days=["2023-12-31"])
+    folder = table_path(scratch.path, HITS.name)
+    days = [n.partition("=")[2] for n in file_names(spark, folder) if n.startswith("partition_key=")]
+    # the typed empty file is read as any other partition
+    none = spark.read.parquet(f"{folder}/partition_key=2023-12-31")
+    if none.columns != [c for c in HITS.columns if c != "partition_key"] or none.count():
+        raise AssertionError("the empty day was not stored as an empty partition")
+    counts = read_table(spark, scratch.path, HITS).groupBy("partition_key").agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = spark.createDataFrame([(x,) for x in days], "partition_key string")
+    return scratch.finish(
+        listed.join(counts, "partition_key", "left").select(
+            "partition_key", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+        )
     )
 
 
 def write_partition_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Write all days, write one of them again with other scores, read the table back."""
-    folder = checkpoint_folder(spark)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    base = f"{folder.rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    scratch = _Scratch(spark)
     hits = _hits(spark, d)
-    write_table(hits, base, HITS)
+    write_table(hits, scratch.path, HITS)
     again = hits.where(F.col("partition_key") == "2024-01-10").withColumn("score", -F.col("score"))
-    write_table(again, base, HITS, days=["2024-01-10", "2024-03-01"])
-    return read_table(spark, base, HITS).select("insert_id", "name", "score", "partition_key")
+    write_table(again, scratch.path, HITS, days=["2024-01-10", "2024-03-01"])
+    stored = read_table(spark, scratch.path, HITS).select("insert_id", "name", "score", "partition_key")
+    return scratch.finish(stored)
 
 
 def append_new_by_key(spark: SparkSession, d: str) -> DataFrame:
+    """What an append of all orders adds to a table of the finished ones; a second append adds nothing."""
+    scratch = _Scratch(spark)
     orders = read(spark, d, "orders")
-    stored = orders.where(F.col("o_orderstatus") == "F")
-    return new_by_key(orders, stored, ["o_orderkey"])
+    target = Table("orders_log", orders.schema, ("o_orderkey",))
+    finished = orders.where(F.col("o_orderstatus") == "F")
+    append_new(finished, scratch.path, target)
+    added = append_new(orders, scratch.path, target)
+    again = append_new(orders, scratch.path, target)
+    stored = spark.read.parquet(table_path(scratch.path, target.name))
+    new = new_by_key(stored, finished, ["o_orderkey"])
+    if again or stored.count() != orders.count():
+        raise AssertionError(f"{added} rows added, then {again} again")
+    return scratch.finish(new)
 
 
 def load_report(spark: SparkSession, d: str) -> DataFrame:
@@ -178,12 +214,15 @@ QUERIES = {
     for f in (
         scan_partition, scan_week_window, scan_time_range, latest_snapshot, date_from_text,
         coalesce_legacy_column, union_by_name, conform_schema, empty_partition,
-        write_partition_roundtrip, append_new_by_key, load_report, timestamp_normalize,
+        scan_stored_partition, write_partition_roundtrip, append_new_by_key, load_report, timestamp_normalize,
         parse_timestamps, filter_date_window,
     )
 }
 
 ORACLE = {
+    "scan_stored_partition": """select cast(event_id as varchar) as insert_id, event_type as name, value as score,
+  strftime(ts, '%Y-%m-%d') as partition_key from events
+where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-06'""",
     "scan_partition": """select * from events
 where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-06'""",
     "scan_week_window": """select event_id, cast(ts as date) as day, event_type from events
@@ -204,11 +243,8 @@ union all select c_custkey, c_name, null, c_mktsegment from customer""",
     "conform_schema": """select cast(event_id as varchar) as insert_id, ts as timestamp,
   event_type as name, value as score, cast(null as varchar) as tags, cast(null as integer) as rank,
   strftime(ts, '%Y-%m-%d') as partition_key from events""",
-    "empty_partition": """with counts as (select cast(ts as date) as day, count(*) as n from events group by 1),
-days as (select cast(unnest(generate_series(min(day) - interval 1 day, max(day)::timestamp, interval 1 day))
-  as date) as day from counts)
-select strftime(days.day, '%Y-%m-%d') as partition_key, coalesce(n, 0) as n_rows
-from days left join counts on days.day = counts.day""",
+    "empty_partition": """select strftime(ts, '%Y-%m-%d') as partition_key, count(*) as n_rows from events group by 1
+union all select '2023-12-31', 0""",
     "write_partition_roundtrip": """select cast(event_id as varchar) as insert_id, event_type as name,
   case when cast(ts as date) = date '2024-01-10' then -value else value end as score,
   strftime(ts, '%Y-%m-%d') as partition_key from events""",

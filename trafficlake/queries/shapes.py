@@ -9,6 +9,7 @@ from trafficlake.functions import nested, text
 from trafficlake.operators import columns as C
 from trafficlake.operators.reports import null_profile
 from trafficlake.plans.requests import build_datasette_request_logs
+from trafficlake.plans.viewer import FILTER_FIELD_NAMES
 from trafficlake.queries.bindings import SITE, read
 from trafficlake.schemas import FILTER_FIELDS, FILTER_SLOTS, filter_column
 
@@ -128,7 +129,6 @@ def json_unpack(spark: SparkSession, d: str) -> DataFrame:
 
 
 FILTER = "fieldName: string, fieldType: string, operation: string, value: string"
-JSON_NAMES = dict(zip(FILTER_FIELDS, ("fieldName", "fieldType", "operation", "value")))
 _LINE_FIELDS = (
     ("l_orderkey", "number", "equals"), ("l_partkey", "number", "greaterThan"),
     ("l_suppkey", "number", "lessThan"), ("l_linenumber", "number", "notEqual"),
@@ -138,7 +138,7 @@ _LINE_FIELDS = (
 
 
 def json_array_to_wide(spark: SparkSession, d: str) -> DataFrame:
-    """Filter lists of 0 to 8 entries as JSON text, widened to the stored slots."""
+    """Filter lists of 0 to 8 entries as JSON text: the stored slots, and the whole list beside them."""
     items = F.array(
         *[
             F.struct(
@@ -153,14 +153,11 @@ def json_array_to_wide(spark: SparkSession, d: str) -> DataFrame:
         "filters", F.to_json(F.slice(items, 1, size.cast("int")))
     )
     parsed = lines.withColumn("list", nested.json_list(F.col("filters"), f"struct<{FILTER}>"))
-    wide = {
-        f"params_filters_{field}" + (f"_{slot}" if slot else ""): F.get("list", F.lit(slot))[JSON_NAMES[field]]
-        for slot in range(FILTER_SLOTS)
-        for field in FILTER_FIELDS
-    }
+    wide = nested.widen(F.col("list"), FILTER_FIELD_NAMES, FILTER_SLOTS, filter_column)
     return parsed.withColumns(wide).select(
-        "l_orderkey", "l_linenumber", F.size("list").alias("filters_total"), *wide
-    )
+        "l_orderkey", "l_linenumber", F.size("list").alias("filters_total"),
+        F.to_json("list").alias("params_filters"), *wide,
+    )
 
 
 def nested_to_string(spark: SparkSession, d: str) -> DataFrame:
@@ -268,6 +265,15 @@ def _wide_sql() -> str:
     return ",\n  ".join(cols)
 
 
+def _list_sql() -> str:
+    """The first entries of the list as compact JSON text."""
+    entries = ", ".join(
+        f"""'{{"fieldName":"{c}","fieldType":"{kind}","operation":"{op}","value":"' || cast({c} as varchar) || '"}}'"""
+        for c, kind, op in _LINE_FIELDS
+    )
+    return f"'[' || array_to_string(([{entries}])[1:cast((l_orderkey + l_linenumber) % 9 as integer)], ',') || ']'"
+
+
 _URL_SQL = r"""nullif(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1), '') as request_url_scheme,
   nullif(regexp_extract(url, '^[^:/?#]+://([^/?#]*)', 1), '') as request_url_netloc,
   nullif(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '') as request_url_path,
@@ -300,6 +306,7 @@ from customer left join nation on c_nationkey = n_nationkey""",
   cast(null as varchar) as props_absent from events""",
     "json_array_to_wide": f"""select l_orderkey, l_linenumber,
   cast((l_orderkey + l_linenumber) % 9 as integer) as filters_total,
+  {_list_sql()} as params_filters,
   {_wide_sql()}
 from lineitem""",
     "nested_to_string": """select c_custkey,

@@ -22,7 +22,7 @@ _TYPES = {
 
 PARTITION_KEY = "partition_key"
 FIRST_PARTITION = "2023-08-16"
-FILTER_SLOTS = 7
+FILTER_SLOTS = 7  # columns of their own; ``params_filters`` holds the whole list
 FILTER_FIELDS = ("field_name", "field_type", "operation", "value")
 
 
@@ -75,7 +75,7 @@ _IP_LEGACY = """remote_ip_city remote_ip_loc remote_ip_org remote_ip_hostname
 _VIEWER_QUERY = (
     "insert_id user_id user_domain timestamp:T url params_name params_page:i params_per_page:i "
     + " ".join(filter_column(f, slot) for slot in range(FILTER_SLOTS) for f in FILTER_FIELDS)
-    + " session_id partition_key"
+    + " params_filters session_id partition_key"
 )
 
 _TABLES: dict[str, tuple[str, str]] = {
@@ -181,6 +181,8 @@ _TABLES: dict[str, tuple[str, str]] = {
         """insert_id user_id user_domain timestamp:T accepted:b newsletter:b outreach:b
  partition_key""",
     ),
+    # records that broke a rule, whole, as JSON text
+    "core_viewer_quarantine": ("record", "rules record partition_key"),
     # request logs of the two older services
     "datasette_request_logs": (
         "insert_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -54,6 +56,7 @@ def checkpoint_folder(spark: SparkSession) -> str | None:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None and spark.sparkContext.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="trafficlake-")
+        atexit.register(shutil.rmtree, folder, True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -62,8 +65,7 @@ class Staging:
     """Frames kept as Parquet in the shared checkpoint folder while a load needs them.
 
     A staged frame survives the loss of executors, has its lineage cut, and is columnar:
-    a key check reads the key columns only. On a cluster without a shared folder frames
-    are handed back as they are; results are equal, the work is repeated per use.
+    a key check reads the key columns only. A cluster that names no shared folder is an error.
 
         with Staging(spark) as stage:
             rows = stage.keep(rows)
@@ -76,13 +78,14 @@ class Staging:
     def __enter__(self) -> Staging:
         return self
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, *by: str) -> DataFrame:
+        """``df`` read back from the staged files, in folders of the columns ``by`` if any."""
         folder = checkpoint_folder(self.spark)
         if folder is None:
-            return df
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
         self.paths.append(path)
-        df.write.parquet(path)
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __exit__(self, *_) -> None:

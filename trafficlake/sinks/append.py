@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trafficlake.operators.columns import conform
 from trafficlake.operators.joins import new_by_key
@@ -16,34 +17,45 @@ from trafficlake.sinks.parquet import table_path
 log = logging.getLogger(__name__)
 
 
-def _resolve(to: str | Table) -> Table:
-    return table(to) if isinstance(to, str) else to
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def stored_keys(target: Table) -> list[str]:
+    """What makes a row of a table one: its key, within its partition if it has any."""
+    return [*dict.fromkeys([PARTITION_KEY, *target.key])] if target.partitioned else list(target.key)
+
+
+def new_rows(rows: DataFrame, base: str, to: str | Table) -> DataFrame:
+    """Those of the (staged) rows whose key is not stored. Only partitions that ``rows`` have are read."""
+    target = table(to) if isinstance(to, str) else to
+    spark = rows.sparkSession
+    path = table_path(base, target.name)
+    if not path_exists(spark, path):
+        return rows
+    stored = spark.read.schema(target.schema).parquet(path)
+    if target.partitioned:
+        days = [r[0] for r in rows.select(PARTITION_KEY).distinct().collect()]
+        stored = stored.where(F.col(PARTITION_KEY).isin(*days)) if days else stored.where(F.lit(False))
+    return new_by_key(rows, stored, stored_keys(target))
+
+
 def append_new(df: DataFrame, base: str, to: str | Table) -> int:
     """Append the rows whose key is new to a Parquet table; returns how many.
 
-    The new rows are staged once: they are counted, checked and written from there.
+    The input is evaluated once and staged; what is new is staged again, counted, checked and
+    written from there.
     """
-    target = _resolve(to)
-    spark = df.sparkSession
+    target = table(to) if isinstance(to, str) else to
     path = table_path(base, target.name)
-    rows = conform(df, target)
-    if path_exists(spark, path):
-        stored = spark.read.schema(target.schema).parquet(path)
-        rows = new_by_key(rows, stored, target.key)
-    with Staging(spark) as stage:
-        rows = stage.keep(rows)
+    with Staging(df.sparkSession) as stage:
+        rows = stage.keep(new_rows(stage.keep(conform(df, target)), base, target))
         count = rows.count()
         if count == 0:
             log.warning("%s: nothing new, no data written", target.name)
             return 0
-        require_unique(rows, target.key, target.name)
+        require_unique(rows, stored_keys(target), target.name)
         if target.partitioned:
             rows.hint("rebalance", PARTITION_KEY).write.mode("append").partitionBy(
                 PARTITION_KEY
@@ -58,9 +70,9 @@ def append_new_jdbc(df: DataFrame, to: str | Table, options: dict[str, str]) ->
 
     Only the key columns are selected in the database.
     """
-    target = _resolve(to)
+    target = table(to) if isinstance(to, str) else to
     spark = df.sparkSession
-    keys = ", ".join(f'"{k}"' for k in target.key)
+    keys = ", ".join(f'"{k}"' for k in stored_keys(target))
     stored = (
         spark.read.format("jdbc")
         .options(**options)
@@ -68,12 +80,12 @@ def append_new_jdbc(df: DataFrame, to: str | Table, options: dict[str, str]) ->
         .load()
     )
     with Staging(spark) as stage:
-        rows = stage.keep(new_by_key(conform(df, target), stored, target.key))
+        rows = stage.keep(new_by_key(conform(df, target), stored, stored_keys(target)))
         count = rows.count()
         if count == 0:
             log.warning("%s: nothing new, no data written", target.name)
             return 0
-        require_unique(rows, target.key, target.name)
+        require_unique(rows, stored_keys(target), target.name)
         rows.write.format("jdbc").options(**options).option("dbtable", target.name).mode(
             "append"
         ).save()
