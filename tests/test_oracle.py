@@ -16,7 +16,7 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF_DIR)
     assert df.take(1), "no rows"

@@ -25,14 +25,11 @@ NOT_IN_AUTHORIZATION = ("resourceAttributes",)
 def clean_export(raw: DataFrame) -> DataFrame:
     """Drop the surplus nested fields and rename the record column."""
     df = nested.drop_nested(raw, RECORD, *NOT_IN_LIVE_LOG)
-    record = df.schema[RECORD].dataType
-    if "authorizationInfo" in record.names:
-        surplus = [f for f in NOT_IN_AUTHORIZATION if f in record["authorizationInfo"].dataType.elementType.names]
-        if surplus:
-            cleaned = F.transform(
-                F.col(f"{RECORD}.authorizationInfo"), lambda info: info.dropFields(*surplus)
-            )
-            df = df.withColumn(RECORD, F.col(RECORD).withField("authorizationInfo", cleaned))
+    if "authorizationInfo" in df.schema[RECORD].dataType.names:
+        granted = df.withColumn("__granted", F.col(f"{RECORD}.authorizationInfo"))
+        granted = nested.drop_in_array(granted, "__granted", *NOT_IN_AUTHORIZATION)
+        whole = F.col(RECORD).withField("authorizationInfo", F.col("__granted"))
+        df = granted.withColumn(RECORD, whole).drop("__granted")
     return C.rename(df, {RECORD: RECORD_AS_STORED})
 
 

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -13,8 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from trafficlake.functions import times
+from trafficlake.operators.enrich import IP_RECORD, resolve_addresses
 from trafficlake.operators.quality import DataQualityError, require_unique
-from trafficlake.plans import objectlog, repository, requests, snapshots, viewer
+from trafficlake.plans import objectlog, report, repository, requests, snapshots, viewer
 from trafficlake.schemas import FIRST_PARTITION, PARTITION_KEY, table
 from trafficlake.session import Staging, tune
 from trafficlake.sinks.append import append_new, path_exists
@@ -36,6 +38,8 @@ class Load:
     days: Sequence[str] | None = None
     window_days: int = 7
     strict: bool = False
+    # looks up addresses that the stored dimension does not hold yet (see resolve_addresses)
+    resolver: Callable[[list[str]], list[dict]] | None = None
 
     def write(self, frames: dict[str, DataFrame]) -> list[str]:
         for name, df in frames.items():
@@ -55,14 +59,24 @@ class Load:
 
 def ip_records(load: Load) -> DataFrame:
     """The stored IP dimension, or an empty one."""
-    from trafficlake.operators.enrich import IP_RECORD
-
     path = f"{load.source}/ip_dimension"
     if path_exists(load.spark, path):
         return load.spark.read.parquet(path)
     return load.spark.createDataFrame([], IP_RECORD)
 
 
+def grow_ip_dimension(load: Load, logs: DataFrame) -> int:
+    """Append records of addresses in ``logs`` that are not stored yet; returns how many."""
+    if load.resolver is None:
+        return 0
+    with Staging(load.spark) as stage:
+        new = stage.keep(resolve_addresses(logs, load.resolver, ip_records(load)))
+        count = new.count()
+        if count:
+            new.write.mode("append").parquet(f"{load.source}/ip_dimension")
+    return count
+
+
 def load_object_log(load: Load) -> list[str]:
     """Typed log, usage log from the stored typed log, summaries from the stored usage log.
 
@@ -70,6 +84,7 @@ def load_object_log(load: Load) -> list[str]:
     work; ids are checked while the typed log is written.
     """
     raw = files.object_log(load.spark, f"{load.source}/object_log", load.days)
+    grow_ip_dimension(load, objectlog.typed_rows(raw))
     done = load.write({"core_s3_logs": objectlog.build_core_s3_logs(raw, ip_records(load))})
     done += load.write({"out_s3_logs": _usage_input(load)})
     return done + load.write(objectlog.build_daily_summaries(load.stored("out_s3_logs")))
@@ -147,6 +162,15 @@ def load_request_log(load: Load, raw: DataFrame, partition: str) -> int:
     return append_new(rows, load.target, "datasette_request_logs")
 
 
+def write_report(load: Load, top: int = 20) -> list[str]:
+    """The tables of the analysis report over the stored request log, below ``<target>/report``."""
+    logs = load.stored("datasette_request_logs")
+    frames = report.build_request_report(logs, top)
+    for name, df in frames.items():
+        df.write.mode("overwrite").parquet(f"{load.target}/report/{name}")
+    return list(frames)
+
+
 DAILY: dict[str, Callable[[Load], list[str]]] = {
     "s3": load_object_log,
     "kaggle": load_dataset_snapshots,
@@ -176,16 +200,33 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--input", required=True, help="folder that holds the raw sources")
     parser.add_argument("--output", required=True, help="folder of the tables")
     parser.add_argument("--day", action="append", help="partition to load; repeat for more; none: all")
-    parser.add_argument("--only", choices=sorted({**DAILY, **FULL_HISTORY}))
-    parser.add_argument("--site", help="JSON file with site values")
+    parser.add_argument("--only", choices=sorted({**DAILY, **FULL_HISTORY, "client_log": 0, "request_log": 0, "report": 0}))
+    parser.add_argument("--site", help="JSON file with site values, at any URI")
+    parser.add_argument("--start", help="client_log: first instant of the files' time range")
+    parser.add_argument("--end", help="client_log: end of the range, excluded")
+    parser.add_argument("--requests", help="request_log: folder of Parquet files with the log's columns")
+    parser.add_argument("--partition", help="request_log: partition that its rows get")
+    parser.add_argument("--resolver", help="module:function that looks addresses up (object log)")
     parser.add_argument("--window-days", type=int, default=7)
     parser.add_argument("--strict", action="store_true", help="fail on records that break a rule")
     args = parser.parse_args(argv)
     logging.basicConfig(level="INFO")
     spark = SparkSession.builder.appName("trafficlake").getOrCreate()
-    site = Site.from_json(args.site) if args.site else Site()
-    load = Load(spark, args.input, args.output, site, args.day, args.window_days, args.strict)
-    run(load, args.only)
+    site = Site.from_json(args.site, spark) if args.site else Site()
+    resolver = None
+    if args.resolver:
+        module, _, name = args.resolver.partition(":")
+        resolver = getattr(importlib.import_module(module), name)
+    load = Load(spark, args.input, args.output, site, args.day, args.window_days, args.strict, resolver)
+    tune(spark)
+    if args.only == "client_log":
+        load_client_log(load, args.start, args.end)
+    elif args.only == "request_log":
+        load_request_log(load, spark.read.parquet(args.requests), args.partition)
+    elif args.only == "report":
+        write_report(load)
+    else:
+        run(load, args.only)
 
 
 if __name__ == "__main__":

@@ -134,7 +134,7 @@ def validate_records(spark: SparkSession, d: str) -> DataFrame:
 
 EVENT_TABLE = Table(
     "typed_events",
-    struct_of("event_id:l kind:i doi absent"),
+    struct_of("event_id BIGINT, kind INT, doi STRING, absent STRING"),
     ("event_id",),
 )
 

@@ -74,7 +74,7 @@ def union_by_name(spark: SparkSession, d: str) -> DataFrame:
 
 HITS = Table(
     "event_hits",
-    struct_of("insert_id timestamp:T name score:d tags rank:i partition_key"),
+    struct_of("insert_id STRING, timestamp TIMESTAMP, name STRING, score DOUBLE, tags STRING, rank INT, partition_key STRING"),
     ("insert_id",),
 )
 

@@ -1,7 +1,7 @@
 """Registry of the persisted tables: column names, types and keys.
 
 The column names and types are fixed values (they are the stored contract of the
-tables). Types: s string, i int, l bigint, d double, b boolean, D date, T timestamp.
+tables), written as DDL.
 """
 
 from __future__ import annotations
@@ -11,13 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 _TYPES = {
-    "s": T.StringType(),
-    "i": T.IntegerType(),
-    "l": T.LongType(),
-    "d": T.DoubleType(),
-    "b": T.BooleanType(),
-    "D": T.DateType(),
-    "T": T.TimestampType(),
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
 }
 
 PARTITION_KEY = "partition_key"
@@ -47,13 +47,13 @@ class UnknownTableError(KeyError):
     """A table that is not in the registry was asked for."""
 
 
-def struct_of(text: str, key: tuple[str, ...] = ()) -> T.StructType:
-    """Schema from ``name:type`` words; no type means string. Needs no session."""
+def struct_of(ddl: str, key: tuple[str, ...] = ()) -> T.StructType:
+    """Schema from DDL, its key columns marked. Needs no session."""
     fields = []
-    for word in text.split():
-        name, _, code = word.partition(":")
+    for column in ddl.split(","):
+        name, kind = column.split()
         meta = {"key": True} if name in key else {}
-        fields.append(T.StructField(name, _TYPES[code or "s"], True, meta))
+        fields.append(T.StructField(name, _TYPES[kind.upper()], True, meta))
     return T.StructType(fields)
 
 
@@ -62,152 +62,190 @@ def filter_column(field: str, slot: int) -> str:
     return f"params_filters_{field}" + (f"_{slot}" if slot else "")
 
 
-_IP = """remote_ip remote_ip_city remote_ip_loc remote_ip_org remote_ip_hostname
- remote_ip_country_name remote_ip_asn remote_ip_bogon:b remote_ip_country remote_ip_timezone
- remote_ip_latitude:d remote_ip_longitude:d remote_ip_postal remote_ip_region
- remote_ip_full_location"""
-
-_IP_LEGACY = """remote_ip_city remote_ip_loc remote_ip_org remote_ip_hostname
- remote_ip_country_name remote_ip_asn remote_ip_country remote_ip_timezone
- remote_ip_latitude:d remote_ip_longitude:d remote_ip_postal remote_ip_region
- remote_ip_full_location"""
-
-_VIEWER_QUERY = (
-    "insert_id user_id user_domain timestamp:T url params_name params_page:i params_per_page:i "
-    + " ".join(filter_column(f, slot) for slot in range(FILTER_SLOTS) for f in FILTER_FIELDS)
-    + " params_filters session_id partition_key"
-)
-
-_TABLES: dict[str, tuple[str, str]] = {
-    # object-store access logs
+# The stored contract of each table, (key, columns in stored order).
+_TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "core_s3_logs": (
-        "id",
-        f"""id time:T request_uri operation bucket bucket_owner requester http_status:i
- megabytes_sent:d normalized_file_downloads:d {_IP} access_point_arn acl_required
- authentication_type cipher_suite error_code host_header host_id key object_size:d request_id
- referer signature_version tls_version total_time:l turn_around_time:d user_agent version_id
- partition_key""",
+        ("id",),
+        """id STRING, time TIMESTAMP, request_uri STRING, operation STRING, bucket STRING, bucket_owner STRING,
+            requester STRING, http_status INT, megabytes_sent DOUBLE, normalized_file_downloads DOUBLE,
+            remote_ip STRING, remote_ip_city STRING, remote_ip_loc STRING, remote_ip_org STRING,
+            remote_ip_hostname STRING, remote_ip_country_name STRING, remote_ip_asn STRING,
+            remote_ip_bogon BOOLEAN, remote_ip_country STRING, remote_ip_timezone STRING,
+            remote_ip_latitude DOUBLE, remote_ip_longitude DOUBLE, remote_ip_postal STRING,
+            remote_ip_region STRING, remote_ip_full_location STRING, access_point_arn STRING, acl_required STRING,
+            authentication_type STRING, cipher_suite STRING, error_code STRING, host_header STRING, host_id STRING,
+            key STRING, object_size DOUBLE, request_id STRING, referer STRING, signature_version STRING,
+            tls_version STRING, total_time BIGINT, turn_around_time DOUBLE, user_agent STRING, version_id STRING,
+            partition_key STRING""",
     ),
     "out_s3_logs": (
-        "id",
-        f"""id time:T table version usage_type {_IP} access_point_arn acl_required
- authentication_type megabytes_sent:d normalized_file_downloads:d cipher_suite error_code
- host_header host_id http_status:i key object_size:d referer request_id request_uri
- signature_version tls_version total_time:l turn_around_time:d user_agent version_id
- partition_key""",
+        ("id",),
+        """id STRING, time TIMESTAMP, table STRING, version STRING, usage_type STRING, remote_ip STRING,
+            remote_ip_city STRING, remote_ip_loc STRING, remote_ip_org STRING, remote_ip_hostname STRING,
+            remote_ip_country_name STRING, remote_ip_asn STRING, remote_ip_bogon BOOLEAN, remote_ip_country STRING,
+            remote_ip_timezone STRING, remote_ip_latitude DOUBLE, remote_ip_longitude DOUBLE,
+            remote_ip_postal STRING, remote_ip_region STRING, remote_ip_full_location STRING,
+            access_point_arn STRING, acl_required STRING, authentication_type STRING, megabytes_sent DOUBLE,
+            normalized_file_downloads DOUBLE, cipher_suite STRING, error_code STRING, host_header STRING,
+            host_id STRING, http_status INT, key STRING, object_size DOUBLE, referer STRING, request_id STRING,
+            request_uri STRING, signature_version STRING, tls_version STRING, total_time BIGINT,
+            turn_around_time DOUBLE, user_agent STRING, version_id STRING, partition_key STRING""",
     ),
     "out_s3_daily_summary_by_table": (
-        "id",
-        """id time:T table version usage_type megabytes_sent:d normalized_file_downloads:d
- request_count:i partition_key""",
+        ("id",),
+        """id STRING, time TIMESTAMP, table STRING, version STRING, usage_type STRING, megabytes_sent DOUBLE,
+            normalized_file_downloads DOUBLE, request_count INT, partition_key STRING""",
     ),
     "out_s3_daily_summary_by_user": (
-        "id",
-        """id time:T table version usage_type remote_ip remote_ip_org remote_ip_country_name
- megabytes_sent:d normalized_file_downloads:d request_count:i partition_key""",
+        ("id",),
+        """id STRING, time TIMESTAMP, table STRING, version STRING, usage_type STRING, remote_ip STRING,
+            remote_ip_org STRING, remote_ip_country_name STRING, megabytes_sent DOUBLE,
+            normalized_file_downloads DOUBLE, request_count INT, partition_key STRING""",
     ),
     "out_s3_daily_summary_by_db": (
-        "id",
-        """id time:T database version usage_type megabytes_sent:d normalized_file_downloads:d
- request_count:i partition_key""",
+        ("id",),
+        """id STRING, time TIMESTAMP, database STRING, version STRING, usage_type STRING, megabytes_sent DOUBLE,
+            normalized_file_downloads DOUBLE, request_count INT, partition_key STRING""",
     ),
-    # dataset platform snapshots
     "core_kaggle_logs": (
-        "metrics_date",
-        """metrics_date:T total_views:i total_downloads:i total_votes:i usability_rating:d
- dataset_name owner title subtitle description keywords dataset_id is_private licenses
- collaborators data partition_key""",
+        ("metrics_date",),
+        """metrics_date TIMESTAMP, total_views INT, total_downloads INT, total_votes INT, usability_rating DOUBLE,
+            dataset_name STRING, owner STRING, title STRING, subtitle STRING, description STRING, keywords STRING,
+            dataset_id STRING, is_private STRING, licenses STRING, collaborators STRING, data STRING,
+            partition_key STRING""",
     ),
-    # repository traffic snapshots
     "core_github_popular_referrers": (
-        "metrics_date referrer",
-        "metrics_date:D referrer total_referrals:i unique_referrals:i partition_key",
+        ("metrics_date", "referrer",),
+        """metrics_date DATE, referrer STRING, total_referrals INT, unique_referrals INT, partition_key STRING""",
     ),
     "core_github_popular_paths": (
-        "metrics_date path",
-        "metrics_date:D path title total_views:i unique_views:i partition_key",
+        ("metrics_date", "path",),
+        """metrics_date DATE, path STRING, title STRING, total_views INT, unique_views INT, partition_key STRING""",
     ),
     "core_github_clones": (
-        "metrics_date",
-        "metrics_date:D total_clones:i unique_clones:i partition_key",
+        ("metrics_date",),
+        """metrics_date DATE, total_clones INT, unique_clones INT, partition_key STRING""",
     ),
     "core_github_views": (
-        "metrics_date",
-        "metrics_date:D total_views:i unique_views:i partition_key",
+        ("metrics_date",),
+        """metrics_date DATE, total_views INT, unique_views INT, partition_key STRING""",
     ),
     "core_github_forks": (
-        "id",
-        """id:i node_id name full_name private:b owner description url created_at:T updated_at:T
- pushed_at:T homepage size_kb:i stargazers_count:i watchers_count:i language has_issues:b
- has_projects:b has_downloads:b has_wiki:b has_pages:b has_discussions:b has_pull_requests:b
- forks_count:i archived:b disabled:b license allow_forking:b is_template:b
- web_commit_signoff_required:b topics visibility forks:i open_issues:i watchers:i
- default_branch permissions""",
+        ("id",),
+        """id INT, node_id STRING, name STRING, full_name STRING, private BOOLEAN, owner STRING,
+            description STRING, url STRING, created_at TIMESTAMP, updated_at TIMESTAMP, pushed_at TIMESTAMP,
+            homepage STRING, size_kb INT, stargazers_count INT, watchers_count INT, language STRING,
+            has_issues BOOLEAN, has_projects BOOLEAN, has_downloads BOOLEAN, has_wiki BOOLEAN, has_pages BOOLEAN,
+            has_discussions BOOLEAN, has_pull_requests BOOLEAN, forks_count INT, archived BOOLEAN,
+            disabled BOOLEAN, license STRING, allow_forking BOOLEAN, is_template BOOLEAN,
+            web_commit_signoff_required BOOLEAN, topics STRING, visibility STRING, forks INT, open_issues INT,
+            watchers INT, default_branch STRING, permissions STRING""",
     ),
     "core_github_stargazers": (
-        "id",
-        """id:i starred_at:T login node_id url html_url followers_url following_url gists_url
- starred_url subscriptions_url organizations_url repos_url events_url received_events_url type
- site_admin:b""",
+        ("id",),
+        """id INT, starred_at TIMESTAMP, login STRING, node_id STRING, url STRING, html_url STRING,
+            followers_url STRING, following_url STRING, gists_url STRING, starred_url STRING,
+            subscriptions_url STRING, organizations_url STRING, repos_url STRING, events_url STRING,
+            received_events_url STRING, type STRING, site_admin BOOLEAN""",
     ),
-    # archive statistics
     "core_zenodo_logs": (
-        "metrics_date version_id",
-        """metrics_date:D version dataset_slug dataset_downloads:i dataset_unique_downloads:i
- dataset_views:i dataset_unique_views:i version_downloads:i version_unique_downloads:i
- version_views:i version_unique_views:i version_title version_id:i version_record_id:i
- concept_record_id:i version_creation_date:T version_last_modified_date:T
- version_last_updated_date:T version_publication_date:D version_doi concept_record_doi
- version_doi_url version_status version_state version_submitted:b version_description
- partition_key software_hash_id""",
-    ),
-    # web viewer events
+        ("metrics_date", "version_id",),
+        """metrics_date DATE, version STRING, dataset_slug STRING, dataset_downloads INT,
+            dataset_unique_downloads INT, dataset_views INT, dataset_unique_views INT, version_downloads INT,
+            version_unique_downloads INT, version_views INT, version_unique_views INT, version_title STRING,
+            version_id INT, version_record_id INT, concept_record_id INT, version_creation_date TIMESTAMP,
+            version_last_modified_date TIMESTAMP, version_last_updated_date TIMESTAMP,
+            version_publication_date DATE, version_doi STRING, concept_record_doi STRING, version_doi_url STRING,
+            version_status STRING, version_state STRING, version_submitted BOOLEAN, version_description STRING,
+            partition_key STRING, software_hash_id STRING""",
+    ),
     "core_viewer_log_ins": (
-        "insert_id",
-        "insert_id timestamp:T text_payload log_in_query partition_key",
+        ("insert_id",),
+        """insert_id STRING, timestamp TIMESTAMP, text_payload STRING, log_in_query STRING, partition_key STRING""",
     ),
     "core_viewer_searches": (
-        "insert_id",
-        "insert_id user_id user_domain timestamp:T query url session_id partition_key",
+        ("insert_id",),
+        """insert_id STRING, user_id STRING, user_domain STRING, timestamp TIMESTAMP, query STRING, url STRING,
+            session_id STRING, partition_key STRING""",
     ),
     "core_viewer_hits": (
-        "insert_id",
-        "insert_id timestamp:T name score:d tags partition_key",
+        ("insert_id",),
+        """insert_id STRING, timestamp TIMESTAMP, name STRING, score DOUBLE, tags STRING, partition_key STRING""",
+    ),
+    "core_viewer_previews": (
+        ("insert_id",),
+        """insert_id STRING, user_id STRING, user_domain STRING, timestamp TIMESTAMP, url STRING,
+            params_name STRING, params_page INT, params_per_page INT, params_filters_field_name STRING,
+            params_filters_field_type STRING, params_filters_operation STRING, params_filters_value STRING,
+            params_filters_field_name_1 STRING, params_filters_field_type_1 STRING,
+            params_filters_operation_1 STRING, params_filters_value_1 STRING, params_filters_field_name_2 STRING,
+            params_filters_field_type_2 STRING, params_filters_operation_2 STRING, params_filters_value_2 STRING,
+            params_filters_field_name_3 STRING, params_filters_field_type_3 STRING,
+            params_filters_operation_3 STRING, params_filters_value_3 STRING, params_filters_field_name_4 STRING,
+            params_filters_field_type_4 STRING, params_filters_operation_4 STRING, params_filters_value_4 STRING,
+            params_filters_field_name_5 STRING, params_filters_field_type_5 STRING,
+            params_filters_operation_5 STRING, params_filters_value_5 STRING, params_filters_field_name_6 STRING,
+            params_filters_field_type_6 STRING, params_filters_operation_6 STRING, params_filters_value_6 STRING,
+            params_filters STRING, session_id STRING, partition_key STRING""",
+    ),
+    "core_viewer_downloads": (
+        ("insert_id",),
+        """insert_id STRING, user_id STRING, user_domain STRING, timestamp TIMESTAMP, url STRING,
+            params_name STRING, params_page INT, params_per_page INT, params_filters_field_name STRING,
+            params_filters_field_type STRING, params_filters_operation STRING, params_filters_value STRING,
+            params_filters_field_name_1 STRING, params_filters_field_type_1 STRING,
+            params_filters_operation_1 STRING, params_filters_value_1 STRING, params_filters_field_name_2 STRING,
+            params_filters_field_type_2 STRING, params_filters_operation_2 STRING, params_filters_value_2 STRING,
+            params_filters_field_name_3 STRING, params_filters_field_type_3 STRING,
+            params_filters_operation_3 STRING, params_filters_value_3 STRING, params_filters_field_name_4 STRING,
+            params_filters_field_type_4 STRING, params_filters_operation_4 STRING, params_filters_value_4 STRING,
+            params_filters_field_name_5 STRING, params_filters_field_type_5 STRING,
+            params_filters_operation_5 STRING, params_filters_value_5 STRING, params_filters_field_name_6 STRING,
+            params_filters_field_type_6 STRING, params_filters_operation_6 STRING, params_filters_value_6 STRING,
+            params_filters STRING, session_id STRING, partition_key STRING""",
     ),
-    "core_viewer_previews": ("insert_id", _VIEWER_QUERY),
-    "core_viewer_downloads": ("insert_id", _VIEWER_QUERY),
     "core_viewer_user_settings_updates": (
-        "insert_id",
-        """insert_id user_id user_domain timestamp:T accepted:b newsletter:b outreach:b
- partition_key""",
+        ("insert_id",),
+        """insert_id STRING, user_id STRING, user_domain STRING, timestamp TIMESTAMP, accepted BOOLEAN,
+            newsletter BOOLEAN, outreach BOOLEAN, partition_key STRING""",
+    ),
+    "core_viewer_quarantine": (
+        ("record",),
+        """rules STRING, record STRING, partition_key STRING""",
     ),
-    # records that broke a rule, whole, as JSON text
-    "core_viewer_quarantine": ("record", "rules record partition_key"),
-    # request logs of the two older services
     "datasette_request_logs": (
-        "insert_id",
-        f"""insert_id log_name resource text_payload timestamp:T receive_timestamp:T severity
- http_request labels operation trace span_id trace_sampled:b source_location cache_hit
- cache_lookup request_url protocol cache_fill_bytes response_size:d server_ip
- cache_validated_with_origin_server request_method request_size:i user_agent status:i referer
- latency:d remote_ip request_url_path request_url_query request_url_scheme request_url_netloc
- {_IP_LEGACY} partition_key""",
+        ("insert_id",),
+        """insert_id STRING, log_name STRING, resource STRING, text_payload STRING, timestamp TIMESTAMP,
+            receive_timestamp TIMESTAMP, severity STRING, http_request STRING, labels STRING, operation STRING,
+            trace STRING, span_id STRING, trace_sampled BOOLEAN, source_location STRING, cache_hit STRING,
+            cache_lookup STRING, request_url STRING, protocol STRING, cache_fill_bytes STRING,
+            response_size DOUBLE, server_ip STRING, cache_validated_with_origin_server STRING,
+            request_method STRING, request_size INT, user_agent STRING, status INT, referer STRING, latency DOUBLE,
+            remote_ip STRING, request_url_path STRING, request_url_query STRING, request_url_scheme STRING,
+            request_url_netloc STRING, remote_ip_city STRING, remote_ip_loc STRING, remote_ip_org STRING,
+            remote_ip_hostname STRING, remote_ip_country_name STRING, remote_ip_asn STRING,
+            remote_ip_country STRING, remote_ip_timezone STRING, remote_ip_latitude DOUBLE,
+            remote_ip_longitude DOUBLE, remote_ip_postal STRING, remote_ip_region STRING,
+            remote_ip_full_location STRING, partition_key STRING""",
     ),
     "intake_logs": (
-        "insert_id",
-        f"""insert_id timestamp:T remote_ip request_method request_uri response_status:i
- request_bytes:l response_bytes:l response_time_taken:l request_host request_referer
- request_user_agent request_operation request_bucket request_object tag object_path
- remote_ip_type {_IP_LEGACY} partition_key""",
+        ("insert_id",),
+        """insert_id STRING, timestamp TIMESTAMP, remote_ip STRING, request_method STRING, request_uri STRING,
+            response_status INT, request_bytes BIGINT, response_bytes BIGINT, response_time_taken BIGINT,
+            request_host STRING, request_referer STRING, request_user_agent STRING, request_operation STRING,
+            request_bucket STRING, request_object STRING, tag STRING, object_path STRING, remote_ip_type STRING,
+            remote_ip_city STRING, remote_ip_loc STRING, remote_ip_org STRING, remote_ip_hostname STRING,
+            remote_ip_country_name STRING, remote_ip_asn STRING, remote_ip_country STRING,
+            remote_ip_timezone STRING, remote_ip_latitude DOUBLE, remote_ip_longitude DOUBLE,
+            remote_ip_postal STRING, remote_ip_region STRING, remote_ip_full_location STRING, partition_key STRING""",
     ),
 }
 
 
 def _build() -> dict[str, Table]:
     tables = {}
-    for name, (key, text) in _TABLES.items():
-        keys = tuple(key.split())
-        tables[name] = Table(name, struct_of(text, keys), keys)
+    for name, (key, ddl) in _TABLES.items():
+        tables[name] = Table(name, struct_of(ddl, key), key)
     return tables
 
 

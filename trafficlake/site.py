@@ -10,10 +10,12 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
 
+from pyspark.sql import SparkSession
 
 # Concept record id -> slug of public-agency dataset archives.
 # A site adds its own releases through ``Site.dataset_slugs``.
 AGENCY_DATASET_SLUGS = {
+    "10723220": "ipi_presentation",
     "10838487": "eiaaeo",
     "7067366": "eiaapi",
     "7682357": "eia176",
@@ -36,9 +38,11 @@ AGENCY_DATASET_SLUGS = {
     "7683517": "mshamines",
     "10839267": "nrelatb",
     "7683351": "phmsagas",
+    "11402753": "csv_conf_2024_coops",
     "13937522": "vcerare",
     "13948331": "naps2024",
     "13919959": "vcerare",
+    "10020145": "ferc_xbrl_extractor",
     "14624611": "censuspep",
     "14757121": "doeiraec",
     "14757598": "epapcap",
@@ -106,9 +110,13 @@ class Site:
         return {**AGENCY_DATASET_SLUGS, **self.dataset_slugs}
 
     @classmethod
-    def from_json(cls, path: str) -> Site:
-        with open(path, encoding="utf-8") as handle:
-            given = json.load(handle)
+    def from_json(cls, path: str, spark: SparkSession | None = None) -> Site:
+        """Settings from a JSON file: a local one, or with ``spark`` one at any URI it reads."""
+        if spark is None:
+            with open(path, encoding="utf-8") as handle:
+                given = json.load(handle)
+        else:
+            given = json.loads(spark.read.text(path, wholetext=True).first()[0])
         known = {f.name for f in fields(cls)}
         unknown = set(given) - known
         if unknown:

@@ -130,15 +130,22 @@ def _object_log_schema() -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in (*OBJECT_LOG_FIELDS, _SURPLUS)])
 
 
-def _object_log_lines(reader, root: str, glob: str) -> DataFrame:
+def _wanted(spark: SparkSession, root: str, days: Sequence[str] | None, suffix: str) -> str | None:
+    """Path of the files of the wanted days, the days in the glob itself; None if there are none."""
+    path = f"{root}/{_days_glob(days, suffix)}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return path if found is not None and len(found) else None
+
+
+def _object_log_lines(reader, path: str) -> DataFrame:
     """Lines through a batch or a streaming reader; a line with unknown fields fails the job."""
     lines = (
         reader.schema(_object_log_schema())
         .option("sep", " ")
         .option("quote", '"')
         .option("escape", '"')
-        .option("pathGlobFilter", glob)
-        .csv(root)
+        .csv(path)
         .withColumn(PARTITION_KEY, _file_day())
     )
     message = F.concat(F.lit("access-log line with unknown fields: "), F.col(_SURPLUS))
@@ -154,15 +161,16 @@ def object_log(spark: SparkSession, root: str, days: Sequence[str] | None = None
     Space-delimited, quoted, without header. Shorter lines get NULLs; a line with more
     fields than known fails the job instead of being shifted or cut.
     """
-    if not path_exists(spark, root):
+    path = _wanted(spark, root, days, "*")
+    if path is None:
         return _no_rows(spark, _object_log_schema(), PARTITION_KEY).drop(_SURPLUS)
-    return _object_log_lines(spark.read, root, _days_glob(days, "*"))
+    return _object_log_lines(spark.read, path)
 
 
 def object_log_stream(spark: SparkSession, root: str, files_per_batch: int = 10_000) -> DataFrame:
     """The same lines as a stream of newly arrived files."""
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    return _object_log_lines(reader, root, "*")
+    return _object_log_lines(reader, root)
 
 
 def viewer_log(spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
@@ -185,18 +193,18 @@ def viewer_log(spark: SparkSession, root: str, days: Sequence[str] | None = None
 
 
 def _documents(
-    spark: SparkSession, root: str, schema: str | T.StructType, glob: str
+    spark: SparkSession, root: str, schema: str | T.StructType, days: Sequence[str] | None, suffix: str = ".json"
 ) -> DataFrame:
-    """Whole-file JSON documents with the day of their file name."""
+    """Whole-file JSON documents of the wanted days, with the day of their file name."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    if not path_exists(spark, root):
+    path = _wanted(spark, root, days, suffix)
+    if path is None:
         return _no_rows(spark, schema, PARTITION_KEY)
     return (
         spark.read.schema(schema)
         .option("multiLine", "true")
         .option("mode", "FAILFAST")
-        .option("pathGlobFilter", glob)
-        .json(root)
+        .json(path)
         .withColumn(PARTITION_KEY, _file_day())
     )
 
@@ -206,7 +214,7 @@ def traffic_series(
 ) -> DataFrame:
     """Entries of the array under key ``metric`` (clones or views), one row each."""
     docs = _documents(
-        spark, root, f"{metric} array<{TRAFFIC_ENTRY}>", _days_glob(days, ".json")
+        spark, root, f"{metric} array<{TRAFFIC_ENTRY}>", days
     )
     return nested.explode_array(docs, metric, PARTITION_KEY)
 
@@ -216,7 +224,7 @@ def popular(
 ) -> DataFrame:
     """Rows of top-level arrays (popular paths or referrers) with the day of the file."""
     schema = {"popular_paths": POPULAR_PATHS, "popular_referrers": POPULAR_REFERRERS}[metric]
-    docs = _documents(spark, root, schema, _days_glob(days, ".json"))
+    docs = _documents(spark, root, schema, days)
     return docs.withColumn("metrics_date", F.col(PARTITION_KEY))
 
 
@@ -275,7 +283,7 @@ def dataset_snapshots(
     spark: SparkSession, root: str, days: Sequence[str] | None = None
 ) -> DataFrame:
     """Snapshots in any of the three layouts the archive has used."""
-    return _documents(spark, root, snapshot_schema(), _days_glob(days, ".json"))
+    return _documents(spark, root, snapshot_schema(), days)
 
 
 def archive_stats(
@@ -290,10 +298,8 @@ def archive_stats(
     wanted = None
     if days is not None:
         wanted = sorted({d for day in days for d in times.window_days(day, window_days)})
-    if not path_exists(spark, root):
-        docs = _documents(spark, root, ARCHIVE_STATS, "*.json")
-    else:
-        docs = _documents(spark, root, ARCHIVE_STATS, _days_glob(wanted, "-*.json"))
+    docs = _documents(spark, root, ARCHIVE_STATS, wanted, "-*.json")
+    if _wanted(spark, root, wanted, "-*.json") is not None:
         docs = docs.where(F.rlike(FILE_NAME, F.lit(r"^\d{4}-\d{2}-\d{2}-\d+\.json$")))
     keyed = archive_records(docs, window_days)
     return keyed if days is None else keyed.where(F.col(PARTITION_KEY).isin(*days))
