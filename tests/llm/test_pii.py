@@ -24,7 +24,7 @@ def run(spark, texts, **options):
 
 VALID = [
     "4111111111111111", "4111 1111 1111 1111", "5500-0000-0000-0004", "378282246310005", "+1 (988) 555-2485", "(212) 555-0100",
-    "212-555-0100", "+49 30 1234567", "8.8.8.8", "255.255.255.0", "123-45-6789", "2024-02-29", "31.12.1999", "12/31/2001",
+    "212-555-0100", "+49 30 1234567", "+1 (152) 055-8590", "8.8.8.8", "255.255.255.0", "123-45-6789", "2024-02-29", "31.12.1999", "12/31/2001",
     "Jo.Ann42@mail8.example.com", "x@y.org",
 ]
 INVALID = ["4111111111111112", "256.1.1.1", "1.2.3.4.5", "666-12-3456", "123-00-6789", "2023-02-29", "1899-12-31", "13/13/2001", "12345", "v2.0.1"]
@@ -41,7 +41,7 @@ def test_formats(spark, restore):
             assert shape(new) == shape(value)
         if len(re.sub(r"\D", "", value)) in (15, 16):
             assert luhn(new)
-    assert dt.date.fromisoformat(out[11][0].split()[1].strip(","))
+    assert dt.date.fromisoformat(out[12][0].split()[1].strip(","))
     assert [t for t, n in run(spark, INVALID)] == INVALID
 
 
@@ -54,6 +54,8 @@ def test_round_trip_and_links(spark):
     once = [t for t, _ in run(spark, texts)]
     assert [t for t, _ in run(spark, once, restore=True)] == texts
     assert once != texts
+    texts = ["4337166598464399 12 x", "7 4337166598464399", "4111 1111 1111 1111 12", "4337166598464399 4337166598464399"]
+    assert [n for _, n in run(spark, texts)] == [1, 1, 1, 2]
     a, b = run(spark, ["4111111111111111 and +1 (212) 555-0100", "4111-1111-1111-1111 212.555.0100"])
     assert re.sub(r"\D", "", a[0].split()[0]) == re.sub(r"\D", "", b[0].split()[0])
     assert re.sub(r"\D", "", a[0])[-10:] == re.sub(r"\D", "", b[0])[-10:]

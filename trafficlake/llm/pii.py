@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms for personal numbers and dates, by a keyed Feistel network in SQL functions only.
 
 A value found in a text is validated, then written as symbols, each with its own modulus: the digits of a card number
-before its check digit, the ten digits of a North American telephone number (area and exchange never start with 0 or 1),
+before its check digit, the ten digits of a North American telephone number (area and exchange keep to 2 to 9, or to 0 and 1, in front),
 the octets of an IP address, the day number of a date, and so on. The symbols are cut into two halves; each round adds
 to one half, symbol by symbol and modulo its modulus, a keyed SHA-256 of the other. That is a bijection within the
 format, so different values stay different, equal values stay equal across documents, and the key's owner can invert it
@@ -33,9 +33,10 @@ PATTERNS = {
     "date": EDGE_LEFT + r"(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})" + EDGE_RIGHT,
     "ip": EDGE_LEFT + r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}" + EDGE_RIGHT,
     "ssn": EDGE_LEFT + r"\d{3}-\d{2}-\d{4}" + EDGE_RIGHT,
-    "card": EDGE_LEFT + r"\d(?:[ -]?\d){12,18}" + EDGE_RIGHT,
+    # digits in one piece or in the groups that cards have, so a number that follows is not taken in
+    "card": EDGE_LEFT + r"(?:\d{13,19}|\d{4}[ -]\d{6}[ -]\d{5}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7})" + EDGE_RIGHT,
     "phone": r"(?<![0-9A-Za-z.+_-])(?:"
-    r"\+1[ .-]?\(?[2-9]\d{2}\)?[ .-]?[2-9]\d{2}[ .-]?\d{4}"
+    r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}"
     r"|\([2-9]\d{2}\) ?[2-9]\d{2}-\d{4}"
     r"|[2-9]\d{2}[.-][2-9]\d{2}[.-]\d{4}"
     r"|\+[2-9]\d(?:[ .-]?\d{2,4}){2,5})" + EDGE_RIGHT,
@@ -110,13 +111,19 @@ def kind_of(value: Column) -> Column:
     )
 
 
+def _phone_floors(ten: Column) -> Column:
+    """What the ten digits of a number start from: area and exchange stay with 2 to 9, or with 0 and 1."""
+    floor = lambda at: F.when(F.substring(ten, at, 1) >= "2", 2).otherwise(0)
+    return F.array(*[(floor(k + 1) if k in (0, 3) else F.lit(0)).cast("bigint") for k in range(10)])
+
+
 def _symbols(kind: Column, value: Column) -> tuple[Column, Column]:
     """What is permuted, and the modulus of each symbol."""
     digits = _digits(value)
     body = F.substring(digits, F.lit(1), F.length(digits) - 1)
     ten = F.right(digits, F.lit(10))
-    first = [F.lit(x).cast("bigint") for x in (8, 10, 10, 8, 10, 10, 10, 10, 10, 10)]
-    two = F.array(*[F.lit(x).cast("bigint") for x in (2, 0, 0, 2, 0, 0, 0, 0, 0, 0)])
+    floors = _phone_floors(ten)
+    free = F.transform(floors, lambda f, k: F.when(~k.isin(0, 3), 10).when(f == 2, 8).otherwise(2).cast("bigint"))
     area = F.substring(digits, 1, 3).cast("bigint")
     rest = F.substring(digits, F.lit(3), F.length(digits))
     local = F.lower(F.regexp_replace(F.substring_index(value, "@", 1), "[^A-Za-z0-9]", ""))
@@ -129,7 +136,7 @@ def _symbols(kind: Column, value: Column) -> tuple[Column, Column]:
     group = F.substring(digits, 4, 2).cast("bigint") - 1
     symbols = {
         "card": (_numbers(body), _repeat(10, F.length(body))),
-        "phone": (F.zip_with(_numbers(ten), two, lambda x, y: x - y), F.array(*first)),
+        "phone": (F.zip_with(_numbers(ten), floors, lambda x, y: x - y), free),
         "abroad": (_numbers(rest), _repeat(10, F.length(rest))),
         "ip": (_octets(value), _repeat(256, F.lit(4))),
         "ssn": (
@@ -191,9 +198,8 @@ def _written_over(value: Column, signs: Column, pattern: str) -> Column:
 def _formatted(kind: Column, value: Column, new: Column) -> Column:
     digits, strings = _digits(value), new.cast("array<string>")
     check = F.pmod(10 - _luhn_sum(new, 0) % 10, F.lit(10)).cast("string")
-    two = F.array(*[F.lit(x).cast("bigint") for x in (2, 0, 0, 2, 0, 0, 0, 0, 0, 0)])
     lead = F.substring(digits, F.lit(1), F.length(digits) - 10)
-    ten = F.zip_with(new, two, lambda x, y: x + y).cast("array<string>")
+    ten = F.zip_with(new, _phone_floors(F.right(digits, F.lit(10))), lambda x, y: x + y).cast("array<string>")
     area = new[0] + 1 + F.when(new[0] + 1 >= 666, 1).otherwise(0)
     ssn = F.concat(F.lpad(area.cast("string"), 3, "0"), F.lpad((new[1] + 1).cast("string"), 2, "0"), F.lpad((new[2] + 1).cast("string"), 4, "0"))
     day = F.date_add(F.lit(FIRST_DAY).cast("date"), (new[0] * DAY_FACTORS[1] + new[1]).cast("int"))
