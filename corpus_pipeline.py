@@ -39,8 +39,7 @@ def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document with its token ids, and a hash of what they decode to."""
-    path = public_tokenizers.path(WORD_BPE)
-    out = bpe.decode_documents(bpe.encode_documents(docs, path), path)
+    out = bpe.code_documents(docs, public_tokenizers.path(WORD_BPE))
     return out.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 

@@ -57,3 +57,6 @@ def test_frame(spark):
     assert got[1, "The cat's hat"].decoded == "the</w> cat</w> 's</w> hat</w>"
     assert out.count() == 4
     assert bpe.encode_documents(df.limit(0), PATH).count() == 0
+    both = bpe.code_documents(df, PATH)
+    assert both.drop("doc_id", "text").exceptAll(out.select(both.drop("doc_id", "text").columns)).count() == 0
+    assert both._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1

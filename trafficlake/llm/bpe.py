@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from trafficlake.llm.frames import with_results
 
 SHORT = 64
-KEPT_WORDS = 250_000
+KEPT_WORDS = 150_000
 ROWS_PER_BATCH = 256
 BITS = 24
 LOW = (1 << BITS) - 1
@@ -65,9 +65,9 @@ class WordBpe:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            self.spec = json.load(f)
+            spec = json.load(f)
         self.path = path
-        model = self.spec["model"]
+        model = spec["model"]
         vocab = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
         # both sides of a pair in one number, and its rank with what it merges to in another: they compare fast
@@ -78,7 +78,7 @@ class WordBpe:
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + self.end] for s in symbols]
-        self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*vocab.values(), *self.special.values()]) + 1
         self.tokens = [""] * size
         for token, i in chain(vocab.items(), self.special.items()):
@@ -187,6 +187,14 @@ def load(path: str) -> WordBpe:
     return _loaded[path]
 
 
+def _lists(rows: list[bytes]) -> pa.Array:
+    """Packed ids as an Arrow array of lists."""
+    offsets = np.zeros(len(rows) + 1, dtype=np.int32)
+    np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
+    flat = np.frombuffer(b"".join(rows), np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
+
+
 def encode_column(text: Column, path: str) -> Column:
     """Token ids of each text, as array<int>; never NULL."""
 
@@ -194,11 +202,7 @@ def encode_column(text: Column, path: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
         for batch in batches:
-            rows = [bpe.packed(t.as_py()) for t in batch]
-            offsets = np.zeros(len(rows) + 1, dtype=np.int32)
-            np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
-            flat = np.frombuffer(b"".join(rows), np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
+            yield _lists([bpe.packed(t.as_py()) for t in batch])
 
     return encode(text)
 
@@ -217,6 +221,20 @@ def decode_column(ids: Column, path: str) -> Column:
     return decode(ids)
 
 
+def coded_column(text: Column, path: str) -> Column:
+    """Token ids of each text and the text they decode to, in one pass through one Python worker."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = load(path)
+        for batch in batches:
+            rows = [bpe.packed(t.as_py()) for t in batch]
+            texts = pa.array([bpe.decode(np.frombuffer(r, np.int32).tolist()) for r in rows], type=pa.string())
+            yield pa.StructArray.from_arrays([_lists(rows), texts], ["ids", "decoded"])
+
+    return code(text)
+
+
 def _small_batches(df: DataFrame) -> None:
     """Texts may be long, so few of them go to Python at once."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
@@ -233,3 +251,11 @@ def decode_documents(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``df`` plus ``decoded``, the text of the ids."""
     _small_batches(df)
     return with_results(df, decoded=decode_column(F.col(f"`{ids}`"), path))
+
+
+def code_documents(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``df`` plus ``ids``, ``n_tokens`` and ``decoded``: both directions at once. Columns of these names are replaced."""
+    _small_batches(df)
+    made = coded_column(F.col(f"`{text}`"), path)
+    ids, decoded = made["ids"], made["decoded"]
+    return with_results(df, ids=ids, n_tokens=F.size(ids).cast("long"), decoded=decoded)

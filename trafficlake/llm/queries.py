@@ -87,7 +87,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     texts = pick(read(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
-    out = bpe.decode_documents(bpe.encode_documents(texts, path), path)
+    out = bpe.code_documents(texts, path)
     return out.select(
         "doc_id",
         "n_tokens",
