@@ -27,6 +27,11 @@ def test_incremental_load_equals_batch(spark, tmp_path, object_log, ips):  # noq
     put(f"{object_log}/2026-03-02-00", line("R40", time="02/Mar/2026:00:00:00") + line(
         time="02/Mar/2026:00:00:01", zone="+0000", request="R41"))
     assert load().count() == 16
+    # far behind every other row, and an id that is stored under another day already
+    put(f"{object_log}/2018-01-01-00", line("R70", time="01/Jan/2018:00:00:00"))
+    put(f"{object_log}/2026-03-03-00", line("R40", time="02/Mar/2026:00:00:00"))
+    everything = objectlog.build_core_s3_logs(files.object_log(spark, object_log), ips)
+    assert rows(load()) == rows(everything) and everything.count() == 18
 
 
 def test_summary_stream_emits_closed_days(spark, tmp_path, object_log, ips):  # noqa: F811
