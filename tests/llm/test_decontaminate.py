@@ -63,6 +63,24 @@ def test_exact_and_edited_copies(spark):
     assert {r.doc_id for r in flagged.collect()} == {d for d, _ in want}
 
 
+def test_strongly_edited_copies_like_full_alignment(spark):
+    """15 to 30 in 100 words edited, alone and beside exact copies: as all pairs aligned in full."""
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(4))
+    items = [(i, " ".join(word() for _ in range(37))) for i in range(32)]
+    docs = [(1000 + i, t) for i, t in items[:16]]
+    for d, t in items:
+        copy = []
+        for w in t.split():
+            copy += draw.choice([[word()], [word()], [], [w, word()]]) if draw.random() < (0.15, 0.2, 0.25, 0.3)[d % 4] else [w]
+        docs.append((d, " ".join([word() for _ in range(20)] + copy + [word() for _ in range(20)])))
+    want = {(d, i): s for d, t in docs for i, x in items if (s := plain_alignment(t.split(), x.split())) >= dc.THRESHOLD}
+    assert len(want) > 40
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dc.contaminated(df, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): r.score for r in got.collect()} == want
+
+
 def test_blocks_of_items_change_nothing(spark, monkeypatch):
     items, docs, want = frames(spark)
     bench = spark.createDataFrame(items, "item_id long, text string")

@@ -1,15 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
-
-Texts are compared as lower-case words without ASCII punctuation. The document frequency in the corpus of every
-three-word run of the test items is counted first. Seeds of an item are those of its runs that are no more frequent
-than its median one, so each item keeps at least half of its runs, its rarest. Where a document holds a seed, the passage
-around it is aligned with the item: +2 for equal words, -1 for different ones and for gaps. The score is the best local
-alignment over that of the whole item with itself; from ``THRESHOLD`` on the document holds the item, word for word,
-edited or in part.
-
-The test set goes to the tasks in blocks of bounded size, one pass over the corpus each, however large it grows. Nothing
-is shuffled but counts. Whole texts are read; items of under three words are seeds themselves. NULL and empty documents or
-items match nothing. Repeated documents and items each count.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
+
+Texts are compared as lower-case words without ASCII punctuation. Every three-word run of an item is a seed, however
+frequent it is: an edited copy may hold any of them. Where a document holds a seed, the item's words that occur in the
+passage around it bound the score; where the bound is high enough, the passage is aligned with the item: +2 for equal
+words, -1 for different ones and for gaps. The score is the best local alignment over that of the whole item with itself;
+from ``THRESHOLD`` on the document holds the item, word for word, edited or in part. The passage is as long as any
+alignment of such a score through the seed. A copy that shares no three words in a row with the item is not found.
+
+The test set goes to the tasks in blocks of bounded size, one pass over the corpus each; all blocks pass through the
+driver. Nothing is shuffled. Whole texts are read; items of under three words are seeds themselves. NULL and empty
+documents or items match nothing. Repeated documents and items each count.
 """
 
 from __future__ import annotations
@@ -89,8 +89,8 @@ class Block:
     def sizes(self) -> list[int]:
         return sorted({min(SEED_WORDS, len(w)) for w in self.words if len(w)})
 
-    def hits(self, text: str | None) -> list[tuple[int, float]]:
-        """(item, score) of each item that a seed of the text leads to, with the best score."""
+    def hits(self, text: str | None, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
+        """(item, score) of each item that a seed of the text leads to, with the best score, if it reaches the threshold."""
         words = words_of(text)
         windows = set()
         for size in self.sizes:
@@ -99,75 +99,52 @@ class Block:
             for at, seed in zip(*self.seeds.find(runs_of(words, size)), strict=True):
                 for item, offset in self.places[seed]:
                     windows.add((item, (int(at) - offset) // len(self.words[item])))
+        passages = []
+        for item, b in sorted(windows):
+            m = len(self.words[item])
+            # an alignment of this score skips at most so many words of the text
+            reach = math.ceil(2 * m * max(0.0, 1 - threshold))
+            passage = words[max(0, b * m - reach) : (b + 2) * m + reach]
+            # and matches at least this share of the item's words
+            near = set(passage.tolist())
+            if sum(w in near for w in self.words[item].tolist()) >= threshold * m:
+                passages.append((item, passage))
         found: dict[int, float] = {}
-        ordered = sorted(windows)
-        for k in range(0, len(ordered), ALIGNED_AT_ONCE):
-            part = ordered[k : k + ALIGNED_AT_ONCE]
+        for k in range(0, len(passages), ALIGNED_AT_ONCE):
+            part = passages[k : k + ALIGNED_AT_ONCE]
             lengths = np.array([len(self.words[i]) for i, _ in part])
-            wide = int(lengths.max())
-            items = np.ones((len(part), wide), np.uint64)
-            passages = np.zeros((len(part), 3 * wide + 4), np.uint64)
-            for row, (item, b) in enumerate(part):
-                m = len(self.words[item])
-                items[row, :m] = self.words[item]
-                a = max(0, b * m - m // 2 - 2)
-                passage = words[a : (b + 2) * m + m // 2 + 2]
-                passages[row, : len(passage)] = passage
-            for (item, _), score in zip(part, align(passages, items, lengths), strict=True):
-                found[item] = max(found.get(item, 0.0), float(score))
+            items = np.ones((len(part), int(lengths.max())), np.uint64)
+            texts = np.zeros((len(part), max(len(p) for _, p in part)), np.uint64)
+            for row, (item, passage) in enumerate(part):
+                items[row, : lengths[row]] = self.words[item]
+                texts[row, : len(passage)] = passage
+            for (item, _), score in zip(part, align(texts, items, lengths), strict=True):
+                if score >= threshold:
+                    found[item] = max(found.get(item, 0.0), float(score))
         return sorted(found.items())
 
 
-def _frequencies(documents: DataFrame, grams: GramSet, sizes: list[int]) -> np.ndarray:
-    """In how many documents each of a bounded set of runs occurs; only one count a run reaches the driver."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(grams.grams), np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                words = words_of(text.as_py())
-                for size in sizes:
-                    if len(words) >= size:
-                        total[np.unique(grams.find(runs_of(words, size))[1])] += 1
-        at = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(at), pa.array(total[at])], ["gram", "n"])
-
-    counted = documents.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(grams.grams), np.int64)
-    for r in counted:
-        out[r.gram] = r.n
-    return out
-
-
-def _block(ids: list, texts: list, documents: DataFrame) -> Block:
+def _block(ids: list, texts: list) -> Block:
     words = [words_of(t) for t in texts]
     grams = [runs_of(w, SEED_WORDS) for w in words]
-    sizes = sorted({min(SEED_WORDS, len(w)) for w in words if len(w)})
-    every = GramSet(np.concatenate([np.empty(0, np.uint64), *grams]))
-    frequency = _frequencies(documents, every, sizes) if sizes else np.empty(0, np.int64)
-    rare = []
-    for item, g in enumerate(grams):
-        if len(g):
-            count = frequency[np.searchsorted(every.grams, g)]
-            rare += [(int(g[k]), item, int(k)) for k in np.flatnonzero(count <= np.median(count))]
-    seeds = GramSet(np.array([g for g, _, _ in rare], np.uint64))
+    seeds = GramSet(np.concatenate([np.empty(0, np.uint64), *grams]))
     places: list[list[tuple[int, int]]] = [[] for _ in seeds.grams]
-    for g, item, k in rare:
-        places[int(np.searchsorted(seeds.grams, np.uint64(g)))].append((item, k))
+    for item, g in enumerate(grams):
+        for k, place in enumerate(np.searchsorted(seeds.grams, g)):
+            places[place].append((item, k))
     return Block(ids, words, seeds, places)
 
 
 def blocks(documents: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id") -> list[Block]:
-    """The test set with the seeds that are rare in ``documents``, in blocks of about ``WORDS_PER_BLOCK`` words."""
+    """The test set with its seeds, for a scan of ``documents``, in blocks of about ``WORDS_PER_BLOCK`` words."""
     documents.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     items = pick(benchmark, id=item, text=text)
-    docs = pick(documents, text=text)
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / 6 / WORDS_PER_BLOCK))
     out = []
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).orderBy("id", "text").collect()
-        out.append(_block([r.id for r in part], [r.text for r in part], docs))
+        out.append(_block([r.id for r in part], [r.text for r in part]))
     return out
 
 
@@ -185,11 +162,10 @@ def contaminated(
             for batch in batches:
                 at, items, scores = [], [], []
                 for k, t in enumerate(batch["text"]):
-                    for i, s in block.hits(t.as_py()):
-                        if s >= threshold:
-                            at.append(k)
-                            items.append(block.ids[i])
-                            scores.append(s)
+                    for i, s in block.hits(t.as_py(), threshold):
+                        at.append(k)
+                        items.append(block.ids[i])
+                        scores.append(s)
                 keys = batch["key"].take(pa.array(at, type=pa.int64()))
                 kinds = pa.from_numpy_dtype("int64") if item_kind == "bigint" else None
                 yield pa.record_batch([keys, pa.array(items, type=kinds), pa.array(scores, type=pa.float64())], ["key", "item", "score"])
@@ -201,7 +177,7 @@ def contaminated(
 
 
 def worst_score(text: Column, parts: list[Block]) -> Column:
-    """The highest score of a text with any item; 0 if no seed occurs in it."""
+    """The highest score of a text with any item; 0 if none reaches ``THRESHOLD``."""
 
     def column(block: Block) -> Column:
         @F.arrow_udf("double")
