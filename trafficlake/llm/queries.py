@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trafficlake.llm import bpe, chat, decontaminate, fingerprint, forest, linedup, pages, pii, quality
+from trafficlake.llm import bpe, chat, decontaminate, fim, fingerprint, forest, linedup, pages, pii, quality, resample
 from trafficlake.llm.frames import cut, pick, read, shared_folder
 from trafficlake.llm.rollup import Rollup
 
@@ -149,6 +149,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(read(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 OP10_ORACLE = """with counts as (
   select source, lang, len(regexp_extract_all(coalesce(text, ''), '[^ \\n]+')) as words,
     len(coalesce(text, '')) - len(replace(coalesce(text, ''), chr(10), '')) as breaks, len(coalesce(text, '')) as chars
@@ -173,6 +181,13 @@ QUERIES = {
         op8_line_dedup,
         op9_fingerprints,
         op10_token_counts,
+        op11_fill_in_middle,
+        op13_importance_resampling,
     )
 }
-ORACLE = {"op8_line_dedup": linedup.ORACLE, "op10_token_counts": OP10_ORACLE}
+ORACLE = {
+    "op8_line_dedup": linedup.ORACLE,
+    "op10_token_counts": OP10_ORACLE,
+    "op11_fill_in_middle": fim.ORACLE,
+    "op13_importance_resampling": resample.ORACLE,
+}
