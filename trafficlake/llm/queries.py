@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trafficlake.llm import bpe, chat, decontaminate, fim, fingerprint, forest, linedup, pages, pii, quality, resample
+from trafficlake.llm import bpe, chat, decontaminate, fim, fingerprint, forest, linedup, pages, pii, quality, repeats, resample
 from trafficlake.llm.frames import cut, pick, read, shared_folder
 from trafficlake.llm.rollup import Rollup
 
@@ -153,6 +153,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(read(spark, sf_dir, "documents"))
 
 
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.removed(read(spark, sf_dir, "documents"))
+    return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("n_words")
 
@@ -182,6 +187,7 @@ QUERIES = {
         op9_fingerprints,
         op10_token_counts,
         op11_fill_in_middle,
+        op12_suffix_array_dedup,
         op13_importance_resampling,
     )
 }
@@ -189,5 +195,6 @@ ORACLE = {
     "op8_line_dedup": linedup.ORACLE,
     "op10_token_counts": OP10_ORACLE,
     "op11_fill_in_middle": fim.ORACLE,
+    "op12_suffix_array_dedup": repeats.ORACLE,
     "op13_importance_resampling": resample.ORACLE,
 }
