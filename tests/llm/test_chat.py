@@ -83,3 +83,14 @@ def test_query_like_given_conversations(spark):
         assert (r.n_turns, r.turns_sha256) == (len(turns), sha("".join(f"{a}\n{t}\n" for a, t in turns)))
         assert (r.loss_chars, r.loss_sha256) == (len(learnt), sha(learnt))
         assert r.formatted_chars == len(chat.render(turns)[0])
+
+
+def test_one_conversation_and_one_message_with_very_many_rows(spark):
+    hot = [(1, k, 0, "delta", "user", f"{k} ") for k in range(3000)] + [(1, 1500, 0, "regenerate", None, None)]
+    hot += [(2, 0, k, "start", "assistant", None) for k in range(2000)] + [(2, 1, k, "delta", None, f"<s>{k}") for k in range(2000)]
+    got = {r.conv_id: r.x for r in chat.fold(spark.createDataFrame(hot, SCHEMA).repartition(7)).select("conv_id", chat.checked(F.col("turns")).alias("x")).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    # equal seq: ordered by kind, so the delta of the regeneration's seq comes before it
+    assert got[1].turns_sha256 == sha("\n" + "".join(f"{k} " for k in range(1501, 3000)) + "\n")
+    assert (got[2].n_turns, got[2].turns_sha256) == (2000, sha("".join(f"assistant\n<s>{k}\n" for k in range(2000))))
+    assert got[2].loss_sha256 == sha("".join(f"<s>{k}" for k in range(2000)))

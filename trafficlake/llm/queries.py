@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlake.llm import bpe, chat, decontaminate, fim, fingerprint, forest, linedup, pages, pii, quality, repeats, resample
@@ -28,9 +28,10 @@ def conversation_log(rows: DataFrame) -> DataFrame:
     Every third message is streamed at once; of the others an assistant's is drafted, dropped and made anew, and
     anyone else's is mistyped and edited.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     text = F.coalesce("text", F.lit(""))
-    numbered = rows.select("conv_id", "role", text.alias("text"), F.row_number().over(order).cast("long").alias("turn"))
+    # rows of one turn are messages of their own, ordered by role, then a hash of the text, then their place in the table
+    turn = F.struct("turn", "role", F.xxhash64(text).alias("text"), F.monotonically_increasing_id().alias("place"))
+    numbered = rows.select("conv_id", "role", text.alias("text"), turn.alias("turn"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("n"))
     half = F.floor(F.length("text") / 2).cast("int")
     first, rest = F.substring(F.col("text"), F.lit(1), half), F.substring(F.col("text"), half + 1, F.length("text"))
     event = lambda k, kind, body: F.struct(F.lit(k).alias("k"), F.lit(kind).alias("kind"), body.alias("text"))
@@ -44,31 +45,17 @@ def conversation_log(rows: DataFrame) -> DataFrame:
     )
     edited = F.array(event(0, "start", F.lit("")), event(1, "delta", first), event(2, "edit", F.col("text")))
     other = F.when(F.col("role") == "assistant", again).otherwise(edited)
-    events = F.when(F.col("turn") % 3 == 0, streamed).otherwise(other)
+    events = F.when(F.col("n") % 3 == 0, streamed).otherwise(other)
     log = numbered.select("conv_id", "turn", "role", F.explode(events).alias("e"))
-    return log.select("conv_id", "turn", "role", (F.col("turn") * 8 + F.col("e.k")).alias("seq"), "e.kind", "e.text")
+    return log.select("conv_id", "turn", "role", F.col("e.k").cast("long").alias("seq"), "e.kind", "e.text")
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pick(read(spark, sf_dir, "conversations"), conv_id="conv_id", turn="turn", role="role", text="text")
     hostile = [(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)]
     rows = rows.unionByName(spark.createDataFrame(hostile, "conv_id long, turn long, role string, text string"))
-    made = chat.format_log(conversation_log(rows))
-    read_back = made.select(
-        "conv_id",
-        F.length("formatted").cast("long").alias("formatted_chars"),
-        chat.read_back(F.col("formatted")).alias("turns"),
-        chat.loss_text(F.col("formatted"), F.col("loss")).alias("learnt"),
-    )
-    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    return read_back.select(
-        "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
-        F.length("learnt").cast("long").alias("loss_chars"),
-        F.sha2("learnt", 256).alias("loss_sha256"),
-        "formatted_chars",
-    )
+    turns = chat.fold(conversation_log(rows))
+    return turns.select("conv_id", chat.checked(F.col("turns")).alias("x")).select("conv_id", "x.*")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
