@@ -12,9 +12,19 @@ ACCESS_LOG_FORMAT = "'['dd/MMM/yyyy:HH:mm:ss Z']'"
 DAY_PATTERN = r"\d{4}-\d{2}-\d{2}"
 
 
+def access_log_text(time: Column, zone: Column) -> Column:
+    """Time and zone fields of an access log as one text; NULL where either is."""
+    return F.concat(time, F.lit(" "), zone)
+
+
 def access_log_time(time: Column, zone: Column) -> Column:
-    """Time and zone fields of an access log as one instant."""
-    return F.try_to_timestamp(F.concat(time, F.lit(" "), zone), F.lit(ACCESS_LOG_FORMAT))
+    """Time and zone fields of an access log as one instant; bad text is NULL (see ``readable``)."""
+    return F.try_to_timestamp(access_log_text(time, zone), F.lit(ACCESS_LOG_FORMAT))
+
+
+def unreadable(text: Column, value: Column) -> Column:
+    """True where there is a text that gave no ``value``."""
+    return text.isNotNull() & value.isNull()
 
 
 def iso_time(text: Column) -> Column:
@@ -30,12 +40,12 @@ def iso_date(text: Column) -> Column:
 def readable(text: Column, value: Column, kind: str = "timestamp") -> Column:
     """``value``, read from ``text``; the job fails where there is a text that gave none."""
     message = F.concat(F.lit(f"unreadable {kind}: "), text)
-    return F.when(value.isNotNull() | text.isNull(), value).otherwise(F.raise_error(message).cast(kind))
+    return F.when(~unreadable(text, value), value).otherwise(F.raise_error(message).cast(kind))
 
 
 def day_start(text: Column, fmt: str = "yyyy-MM-dd") -> Column:
-    """Midnight UTC of a day given as text."""
-    return F.try_to_timestamp(text, F.lit(fmt))
+    """Midnight UTC of a day given as text; the job fails on any other text."""
+    return readable(text, F.try_to_timestamp(text, F.lit(fmt)), "timestamp")
 
 
 def micros_to_time(micros: Column) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trafficlake.operators.quality import unique_or_fail
+from trafficlake.operators.quality import unique_by_counts
 
 _RANK = "__rank"
 
@@ -35,7 +35,7 @@ def distinct_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     nothing, when two different rows share a key: the check counts the keys of the shuffled
     rows, which both sides of the plan share.
     """
-    return unique_or_fail(distinct_rows(df), keys, "different rows share a key")
+    return unique_by_counts(distinct_rows(df), keys, "different rows share a key")
 
 
 def latest(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlake.operators.columns import q
-from trafficlake.operators.quality import unique_or_fail
+from trafficlake.operators.quality import unique_by_counts
 
 _SPREAD = 8_192
 
@@ -85,7 +85,7 @@ def many_to_one(
     meant for stored rows where adaptive execution is not available.
     """
     if validate:
-        dimension = unique_or_fail(dimension, keys, "dimension key repeats")
+        dimension = unique_by_counts(dimension, keys, "dimension key repeats")
     hot = None
     if hot_keys:
         counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))

@@ -6,7 +6,7 @@ import functools
 import operator
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,20 +36,40 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> N
         raise DataQualityError(f"{what}: key {tuple(keys)} repeats, e.g. {found}")
 
 
+def _key_text(keys: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*[q(k) for k in keys]))
+
+
 def unique_or_fail(df: DataFrame, keys: Sequence[str], what: str = "key repeats") -> DataFrame:
-    """All rows; a job that uses them fails, naming a key, when a key repeats.
+    """All rows; a job that uses any of them fails, naming a key, when a key repeats.
 
     The check is part of the job, so nothing runs while the plan is built and nothing is
-    published when it fails. It counts key columns only.
+    published when it fails. Rows are counted by key where they are shuffled to, so the input
+    is evaluated once, and the check is a filter, which no projection or count leaves out.
     """
-    key = F.to_json(F.struct(*[q(k) for k in keys]))
-    repeated = key_violations(df.select(*[q(k) for k in keys]), keys, "__n").agg(F.max(key)).scalar()
+    n = F.count(F.lit(1)).over(Window.partitionBy(*[q(k) for k in keys]))
+    fine = F.when(F.col("__n") == 1, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit(f"{what}: "), _key_text(keys))).cast("boolean")
+    )
+    return df.withColumn("__n", n).where(fine).drop("__n")
+
+
+def unique_by_counts(df: DataFrame, keys: Sequence[str], what: str = "key repeats") -> DataFrame:
+    """The same for a frame whose keys are cheap to count apart: a stored table, or one whose shuffle both sides share.
+
+    No row is shuffled for it, so a dimension can still be broadcast.
+    """
+    repeated = key_violations(df.select(*[q(k) for k in keys]), keys, "__n").agg(F.max(_key_text(keys))).scalar()
     message = F.concat(F.lit(f"{what}: "), repeated)
-    # in a column instead of a filter, which would be pushed below a de-duplication
-    last = keys[-1]
-    kind = df.schema[last].dataType
-    checked = F.when(repeated.isNull(), q(last)).otherwise(F.raise_error(message).cast(kind))
-    return df.withColumn(last, checked)
+    # the id is what keeps the filter above a de-duplication, where it would part the shuffle from the counted one
+    fine = F.when(repeated.isNull(), F.monotonically_increasing_id() >= 0).otherwise(F.raise_error(message).cast("boolean"))
+    return df.where(fine)
+
+
+def require_balance(what: str, read: int, parts: Mapping[str, int]) -> None:
+    """Fail unless every row read is in exactly one of the parts (accepted, rejected, dropped ..)."""
+    if read != sum(parts.values()):
+        raise DataQualityError(f"{what}: {read} rows read, but {dict(parts)}")
 
 
 def unmapped(df: DataFrame, column: str, mapping: DataFrame, key: str) -> DataFrame:

@@ -21,22 +21,28 @@ def time_bin(ts: Column, seconds: int) -> Column:
     return F.coalesce(F.floor((micros - F.pmod(micros, F.lit(width))) / width), F.lit(_NO_TIME))
 
 
-def session_numbers(
+def session_bins(
     events: DataFrame, group: Sequence[str], ts: str, gap_seconds: int = GAP_SECONDS
 ) -> DataFrame:
-    """Session number of each (group, time bin).
+    """First and last instant, in microseconds, of each (group, time bin).
 
-    A new session starts where the pause is strictly longer than the gap. Two events of
-    one bin of gap length are always closer than the gap, so a bin lies in one session and
-    only its first and last instant matter. The input is reduced to those by a combining
-    aggregate; the window then sees one row per bin, however many events a user has.
+    Two events of one bin of gap length are always closer than the gap, so a bin lies in one
+    session and only these two matter. A combining aggregate, which further events can join.
     """
-    bins = events.groupBy(
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    return events.groupBy(
         *[q(g) for g in group], time_bin(F.col(ts), gap_seconds).alias("__bin")
-    ).agg(
-        F.min(F.unix_micros(F.col(ts).cast("timestamp"))).alias("__first"),
-        F.max(F.unix_micros(F.col(ts).cast("timestamp"))).alias("__last"),
-    )
+    ).agg(F.min(at).alias("__first"), F.max(at).alias("__last"))
+
+
+def session_numbers(
+    bins: DataFrame, group: Sequence[str], gap_seconds: int = GAP_SECONDS
+) -> DataFrame:
+    """Session number of each (group, time bin) of ``session_bins``.
+
+    A new session starts where the pause is strictly longer than the gap. The window sees
+    one row per bin, however many events a user has.
+    """
     w = Window.partitionBy(*[q(g) for g in group]).orderBy("__bin")
     pause = F.col("__first") - F.lag("__last").over(w)
     starts = F.coalesce((pause > gap_seconds * 1_000_000).cast("bigint"), F.lit(0))
@@ -64,9 +70,15 @@ def with_sessions(
     """
     group = [partition, user]
     known = events.where(q(user).isNotNull())
-    numbers = session_numbers(known, group, ts, gap_seconds)
-    keys = [*group, "__bin"]
+    numbers = session_numbers(session_bins(known, group, ts, gap_seconds), group, gap_seconds)
+    return labelled(events, numbers, user, ts, partition, gap_seconds)
+
+
+def labelled(
+    events: DataFrame, numbers: DataFrame, user: str, ts: str, partition: str, gap_seconds: int = GAP_SECONDS
+) -> DataFrame:
+    """``events`` with the ``session_id`` that their bin has in ``numbers``."""
     binned = events.withColumn("__bin", time_bin(F.col(ts), gap_seconds))
-    joined = lookup(binned, numbers, keys)
+    joined = lookup(binned, numbers, [partition, user, "__bin"])
     label = F.concat(q(partition), F.lit("-s"), F.col("session_number").cast("string"))
     return joined.withColumn("session_id", label).drop("__bin", "session_number")

@@ -84,6 +84,70 @@ def summary_by_db(logs: DataFrame, partition: str | None = None) -> DataFrame:
     )
 
 
+FINEST = ("usage_type", "table", "version", "remote_ip", "remote_ip_org", "remote_ip_country_name")
+SUMS = ("downloads", "requests", "megabytes", "typed", "rows")
+
+
+def usage_cube(logs: DataFrame, partition: str | None = None, sign: int = 1) -> DataFrame:
+    """Additive sums at the finest key that the three summaries share.
+
+    Cubes of different rows add up, in any order; with ``sign`` -1 rows are taken back.
+    """
+    amounts = {
+        "downloads": F.sum("normalized_file_downloads"),
+        "requests": F.count("request_uri"),
+        "megabytes": F.sum("megabytes_sent"),
+        "typed": F.count("usage_type"),
+        "rows": F.count(F.lit(1)),
+    }
+    return by_day(logs, [*_extra(partition), *FINEST], [(v * sign).alias(name) for name, v in amounts.items()])
+
+
+def summaries_at_once(cube: DataFrame, partition: str | None = None) -> DataFrame:
+    """All three summaries of a ``usage_cube``, told apart by ``summary``: by_table, by_user, by_db.
+
+    Grouping sets over the cube's few rows, so the log itself is read and shuffled once. A key that a summary lacks is
+    NULL in it. What is summed per usage type and user gives the user's sums and usual type.
+    """
+    table = F.col("table")
+    cube = cube.withColumns(
+        {
+            "database": text.database_of(table),
+            "__parquet": F.coalesce(F.endswith(table, F.lit(".parquet")), F.lit(False)),
+            "__file": F.coalesce(~F.endswith(table, F.lit("/")), F.lit(False)),
+        }
+    )
+    common = ["time", *_extra(partition), "usage_type"]
+    sets = [
+        [*common, "table", "version", "__parquet"],
+        [*common, "table", "remote_ip", "remote_ip_org", "remote_ip_country_name", "__parquet"],
+        [*common, "database", "version", "__file"],
+    ]
+    keys = [*dict.fromkeys(k for keys in sets for k in keys)]
+    grouped = cube.groupingSets([[q(k) for k in keys] for keys in sets], *[q(k) for k in keys]).agg(
+        *[F.sum(name).alias(name) for name in SUMS],
+        F.grouping("database").alias("no_db"),
+        F.grouping("remote_ip").alias("no_user"),
+    )
+    kind = F.when(F.col("no_db") == 0, "by_db").when(F.col("no_user") == 0, "by_user").otherwise("by_table")
+    kept = grouped.withColumn("summary", kind).where(
+        F.coalesce(F.col("__parquet"), F.col("__file")) & (F.col("rows") != 0)
+    )
+    of_user = F.col("summary") == "by_user"
+    rest = [k for k in keys if not k.startswith("__") and k != "usage_type"]
+    usual = F.min(F.struct((-F.col("typed")).alias("n"), q("usage_type")))["usage_type"]
+    return (
+        kept.groupBy("summary", *[q(k) for k in rest], F.when(~of_user, F.col("usage_type")).alias("__type"))
+        .agg(
+            F.sum("downloads").alias("normalized_file_downloads"),
+            F.sum("requests").alias("request_count"),
+            F.round(F.sum("megabytes"), 3).alias("megabytes_sent"),
+            usual.alias("usage_type"),
+        )
+        .drop("__type")
+    )
+
+
 def mode_per_group(df: DataFrame, keys: Sequence[str], column: str, name: str | None = None) -> DataFrame:
     """Most frequent value per group, the smallest on ties, NULL where there is none.
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from trafficlake.functions import numbers, text, times
 from trafficlake.operators import columns as C
-from trafficlake.operators import summaries
 from trafficlake.operators.dedup import distinct_by_key
 from trafficlake.operators.enrich import with_ip_details
 from trafficlake.schemas import PARTITION_KEY
@@ -29,10 +28,16 @@ NUMERIC_FIELDS = {
 
 
 def typed_rows(raw: DataFrame) -> DataFrame:
-    """Raw fields as typed columns with measures and an id, life-cycle rows left out."""
+    """Raw fields as typed columns with measures and an id, life-cycle rows left out.
+
+    A time that cannot be read fails the job; ``times.unreadable`` finds such rows beforehand.
+    """
     typed = raw.where(~F.col("operation").eqNullSafe(LIFECYCLE_OPERATION)).withColumns(
         {
-            "time": times.access_log_time(F.col("time"), F.col("timezone")),
+            "time": times.readable(
+                times.access_log_text(F.col("time"), F.col("timezone")),
+                times.access_log_time(F.col("time"), F.col("timezone")),
+            ),
             "remote_ip": text.dash_to_null(F.col("remote_ip")),
             "bytes_sent": numbers.dash_to_zero(F.col("bytes_sent")),
         }
@@ -96,16 +101,11 @@ def build_out_s3_logs(core: DataFrame, site: Site) -> DataFrame:
     return C.conform(usage_rows(core, site), "out_s3_logs")
 
 
-def build_daily_summaries(usage: DataFrame) -> dict[str, DataFrame]:
-    """The three summaries, per partition, of a (stored) usage log."""
+def build_daily_summaries(at_once: DataFrame) -> dict[str, DataFrame]:
+    """The three summary tables of (staged) ``summaries.summaries_at_once``."""
     return {
-        "out_s3_daily_summary_by_table": C.conform(
-            summaries.summary_by_table(usage, PARTITION_KEY), "out_s3_daily_summary_by_table"
-        ),
-        "out_s3_daily_summary_by_user": C.conform(
-            summaries.summary_by_user(usage, PARTITION_KEY), "out_s3_daily_summary_by_user"
-        ),
-        "out_s3_daily_summary_by_db": C.conform(
-            summaries.summary_by_db(usage, PARTITION_KEY), "out_s3_daily_summary_by_db"
-        ),
+        f"out_s3_daily_summary_{kind}": C.conform(
+            at_once.where(F.col("summary") == kind), f"out_s3_daily_summary_{kind}"
+        )
+        for kind in ("by_table", "by_user", "by_db")
     }

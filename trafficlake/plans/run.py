@@ -9,18 +9,21 @@ import argparse
 import importlib
 import logging
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from trafficlake.functions import times
 from trafficlake.operators.enrich import IP_RECORD, resolve_addresses
-from trafficlake.operators.quality import DataQualityError, require_unique
+from trafficlake.operators.quality import DataQualityError, require_balance, require_unique
+from trafficlake.operators.summaries import summaries_at_once, usage_cube
 from trafficlake.plans import objectlog, report, repository, requests, snapshots, viewer
 from trafficlake.schemas import FIRST_PARTITION, PARTITION_KEY, table
 from trafficlake.session import Staging, tune
 from trafficlake.sinks.append import append_new, path_exists
 from trafficlake.sinks.parquet import read_table, write_table
+from trafficlake.sinks.release import Release, Tables
 from trafficlake.site import Site
 from trafficlake.sources import files
 
@@ -40,17 +43,28 @@ class Load:
     strict: bool = False
     # looks up addresses that the stored dimension does not hold yet (see resolve_addresses)
     resolver: Callable[[list[str]], list[dict]] | None = None
+    # set by ``published``: tables go there and appear together at the end
+    release: Release | None = None
+    # rows written by table, as the writing jobs counted them
+    written: dict[str, int] = field(default_factory=dict)
 
     def write(self, frames: dict[str, DataFrame]) -> list[str]:
         for name, df in frames.items():
             days = self.days if table(name).partitioned else None
-            write_table(df, self.target, name, days)
-            # counted from the file footers of what was written
-            log.info("%s: %s rows", name, self.stored(name).count())
+            counted = Observation()
+            rows = df.observe(counted, F.count(F.lit(1)).alias("n"))
+            if self.release is not None:
+                self.release.write(rows, name, days)
+            else:
+                write_table(rows, self.target, name, days)
+            self.written[name] = counted.get["n"]
+            log.info("%s: %s rows", name, self.written[name])
         return list(frames)
 
     def stored(self, name: str) -> DataFrame:
         """A table as just written, limited to the days of this load."""
+        if self.release is not None:
+            return self.release.read(name)
         df = read_table(self.spark, self.target, name)
         if self.days is None or not table(name).partitioned:
             return df
@@ -87,7 +101,10 @@ def load_object_log(load: Load) -> list[str]:
     grow_ip_dimension(load, objectlog.typed_rows(raw))
     done = load.write({"core_s3_logs": objectlog.build_core_s3_logs(raw, ip_records(load))})
     done += load.write({"out_s3_logs": _usage_input(load)})
-    return done + load.write(objectlog.build_daily_summaries(load.stored("out_s3_logs")))
+    cube = usage_cube(load.stored("out_s3_logs"), PARTITION_KEY)
+    with Staging(load.spark) as stage:
+        made = stage.keep(summaries_at_once(cube, PARTITION_KEY), "summary")
+        return done + load.write(objectlog.build_daily_summaries(made))
 
 
 def _usage_input(load: Load) -> DataFrame:
@@ -101,16 +118,27 @@ def load_viewer(load: Load) -> list[str]:
     reads its own folder. ``strict`` fails the load before anything is written.
     """
     raw = files.viewer_log(load.spark, f"{load.source}/viewer_log", load.days)
+    judged, kept = Observation(), Observation()
     with Staging(load.spark) as stage:
-        records = stage.keep(viewer.judged(raw))
+        broken = F.size("violations") > 0
+        counts = [
+            F.count(F.lit(1)).alias("read"),
+            F.count_if(broken).alias("rejected"),
+            F.count_if(~broken & viewer.without_event()).alias("dropped"),
+        ]
+        records = stage.keep(viewer.judged(raw).observe(judged, *counts))
         rejected = viewer.quarantine_of(records)
-        bad = rejected.count()
-        log.info("viewer log: %s records break rules", bad)
+        read, bad = judged.get["read"], judged.get["rejected"]
+        log.info("viewer log: %s records, %s break rules", read, bad)
         if load.strict and bad:
             raise DataQualityError(f"{bad} records break rules, e.g. {rejected.first().rules}")
-        events = stage.keep(viewer.events_of(records), "event")
+        events = stage.keep(viewer.events_of(records).observe(kept, F.count(F.lit(1)).alias("n")), "event")
         require_unique(events, ["insert_id", PARTITION_KEY], "viewer events")
-        return load.write({"core_viewer_quarantine": rejected, **viewer.build_event_tables(events)})
+        done = load.write({"core_viewer_quarantine": rejected, **viewer.build_event_tables(events)})
+        require_balance("viewer log", read, {
+            "accepted": kept.get["n"], "rejected": load.written["core_viewer_quarantine"], "dropped": judged.get["dropped"],
+        })
+        return done
 
 
 def load_repository(load: Load) -> list[str]:
@@ -195,6 +223,15 @@ def run(load: Load, only: str | None = None) -> list[str]:
     return [name for source in sources.values() for name in source(load)]
 
 
+def published(load: Load, only: str | None = None) -> list[str]:
+    """As ``run``, with all tables of the load appearing at once when the last one is written.
+
+    Readers use ``sinks.release.Tables(spark, target).read``; a load that fails leaves them the tables of the last one.
+    """
+    with Tables(load.spark, load.target).begin() as release:
+        return run(replace(load, release=release), only)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", required=True, help="folder that holds the raw sources")
@@ -208,6 +245,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--partition", help="request_log: partition that its rows get")
     parser.add_argument("--resolver", help="module:function that looks addresses up (object log)")
     parser.add_argument("--window-days", type=int, default=7)
+    parser.add_argument("--publish", action="store_true", help="all tables of the load appear at once (sinks/release.py)")
     parser.add_argument("--strict", action="store_true", help="fail on records that break a rule")
     args = parser.parse_args(argv)
     logging.basicConfig(level="INFO")
@@ -225,6 +263,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         load_request_log(load, spark.read.parquet(args.requests), args.partition)
     elif args.only == "report":
         write_report(load)
+    elif args.publish:
+        published(load, args.only)
     else:
         run(load, args.only)
 

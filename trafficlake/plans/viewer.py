@@ -88,6 +88,12 @@ def record_rules() -> dict[str, Column]:
     }
 
 
+def without_event() -> Column:
+    """True for records that name no event, which ``event_rows`` leaves out."""
+    event = F.when(~payload_dropped(), F.col("jsonPayload")["event"])
+    return F.when(text.is_login(event, F.col("textPayload")), LOG_IN).otherwise(event).isNull()
+
+
 def event_rows(records: DataFrame) -> DataFrame:
     """Accepted records as flat rows: payload fields, filter slots, log-ins marked."""
     records = records.withColumn(

@@ -11,7 +11,9 @@ from trafficlake.operators.enrich import with_ip_details
 from trafficlake.operators.sessions import with_sessions
 from trafficlake.operators.summaries import mode_per_group as mode_of
 from trafficlake.queries.bindings import ACCESS_LOG_SQL, access_log, read
+from trafficlake.queries.scans import Scratch
 from trafficlake.schemas import Table, struct_of
+from trafficlake.streaming.sessions import SessionStore
 
 
 def sessionize(spark: SparkSession, d: str) -> DataFrame:
@@ -22,6 +24,23 @@ def sessionize(spark: SparkSession, d: str) -> DataFrame:
     return with_sessions(events, "user_id", "ts").select("event_id", "user_id", "session_id")
 
 
+def sessionize_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions of an event stream that brings every third event first, then the others, then some again."""
+    scratch = Scratch(spark)
+    folder, check = f"{scratch.path}/in", f"{scratch.path}/check"
+    user = F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id")
+
+    def shaped(events: DataFrame) -> DataFrame:
+        return events.select("event_id", "ts", user, F.date_format("ts", "yyyy-MM-dd").alias("partition_key"))
+
+    store = SessionStore(spark, f"{scratch.path}/sessions", ts="ts")
+    events = shaped(read(spark, d, "events"))
+    for arrives in ("event_id % 3 = 0", "event_id % 3 <> 0", "event_id % 5 = 0"):
+        events.where(arrives).write.mode("append").parquet(folder)
+        store.merge_available(spark.readStream.schema(events.schema).parquet(folder), check).awaitTermination()
+    return scratch.finish(store.with_sessions(events).select("event_id", "user_id", "session_id"))
+
+
 def event_demux(spark: SparkSession, d: str) -> DataFrame:
     """Five event tables, each with its own columns, put side by side under a tag."""
     events = read(spark, d, "events").where(F.col("event_type").isNotNull())
@@ -154,12 +173,21 @@ def schema_check(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        sessionize, event_demux, mode_per_group, enrich_dimension_join, enrich_large_dimension,
+        sessionize, sessionize_stream, event_demux, mode_per_group, enrich_dimension_join, enrich_large_dimension,
         map_lookup_complete, dedup_keep_first, dedup_full_row, distinct_values, key_violations,
         validate_records, schema_check,
     )
 }
 
+_SESSIONS = """with e as (select event_id, ts, strftime(ts, '%Y-%m-%d') as pk,
+    case when event_type <> 'error' then user_id end as user_id from events),
+f as (select *, case when ts - lag(ts) over (partition by pk, user_id order by ts, event_id)
+    > interval 30 minute then 1 else 0 end as flag from e),
+n as (select *, sum(flag) over (partition by pk, user_id order by ts, event_id
+    rows between unbounded preceding and current row) + 1 as number from f)
+select event_id, user_id,
+  case when user_id is not null then pk || '-s' || cast(number as bigint) end as session_id from n"""
+
 _ENRICH = f"""with {ACCESS_LOG_SQL},
 log as (select id, case when remote_ip <> '-' then remote_ip end as remote_ip from access_log),
 ips as (select '10.0.0.' || c_custkey as ip, 'AS' || c_custkey as asn, replace(c_name, '#', ' ') as org,
@@ -172,14 +200,8 @@ select id, remote_ip, asn as remote_ip_asn, org as remote_ip_org, city as remote
 from log left join ips on remote_ip = ip"""
 
 ORACLE = {
-    "sessionize": """with e as (select event_id, ts, strftime(ts, '%Y-%m-%d') as pk,
-    case when event_type <> 'error' then user_id end as user_id from events),
-f as (select *, case when ts - lag(ts) over (partition by pk, user_id order by ts, event_id)
-    > interval 30 minute then 1 else 0 end as flag from e),
-n as (select *, sum(flag) over (partition by pk, user_id order by ts, event_id
-    rows between unbounded preceding and current row) + 1 as number from f)
-select event_id, user_id,
-  case when user_id is not null then pk || '-s' || cast(number as bigint) end as session_id from n""",
+    "sessionize": _SESSIONS,
+    "sessionize_stream": _SESSIONS,
     "event_demux": """select event_type as target, event_id,
   ts, case when event_type in ('signup', 'purchase', 'error') then props end as props,
   case when event_type in ('view', 'purchase', 'error') then user_id end as user_id,

@@ -17,6 +17,9 @@ from trafficlake.queries.bindings import (
     read,
     typed_log,
 )
+from trafficlake.queries.scans import Scratch
+from trafficlake.sinks.parquet import read_table
+from trafficlake.streaming.summaries import SummaryStore
 
 
 def _usage(spark: SparkSession, d: str) -> DataFrame:
@@ -55,6 +58,36 @@ def daily_summary_by_db(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(summaries.summary_by_db(_usage(spark, d)))
 
 
+def _apart(usage: DataFrame) -> DataFrame:
+    """Sizes whose sums lie on no rounding edge, so that the order of adding does not show."""
+    return usage.withColumn("megabytes_sent", F.col("megabytes_sent") + 1e-7)
+
+
+def daily_summaries_at_once(spark: SparkSession, d: str) -> DataFrame:
+    """All three summaries from one scan and one shuffle of the log."""
+    nation = read(spark, d, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("remote_ip_org"), F.lit(None).cast("string").alias("remote_ip_country_name")
+    )
+    usage = _apart(_usage(spark, d)).withColumn("k", F.substring_index("remote_ip", ".", -1).cast("bigint") % 25)
+    cube = summaries.usage_cube(usage.join(nation, "k", "left"))
+    return _rounded(summaries.summaries_at_once(cube)).drop("remote_ip_country_name")
+
+
+def summary_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The stored summary by table after the log came in two batches, each with half of every day, and one came again."""
+    scratch = Scratch(spark)
+    store = SummaryStore(spark, scratch.path)
+    usage = _apart(_usage(spark, d)).withColumn("id", F.col("id").cast("string"))
+    batch = F.pmod(F.xxhash64("id"), F.lit(2))
+    for number, part in enumerate((1, 0, 1)):
+        store.add(usage.where(batch == part), number)
+    made = read_table(spark, scratch.path, "out_s3_daily_summary_by_table")
+    return scratch.finish(_rounded(made.select(
+        "time", "usage_type", "table", "version", "normalized_file_downloads",
+        F.col("request_count").cast("bigint").alias("request_count"), "megabytes_sent",
+    )))
+
+
 def usage_log_build(spark: SparkSession, d: str) -> DataFrame:
     out = _usage(spark, d)
     return out.select(
@@ -145,6 +178,8 @@ QUERIES = {
         daily_summary_by_table,
         daily_summary_by_user,
         daily_summary_by_db,
+        daily_summaries_at_once,
+        summary_late_rows,
         usage_log_build,
         filter_predicates,
         filter_not_in,
@@ -191,6 +226,27 @@ select cast(time as date) as time, usage_type,
   case when regexp_matches("table", '.parquet') then 'parquet_file' else "table" end as database,
   version, {_MEASURES}
 from usage_log where not ends_with("table", '/') group by all""",
+    "daily_summaries_at_once": f"""{LOG_WITH},
+joined as (select u.* replace (megabytes_sent + 1e-7 as megabytes_sent), cast(time as date) as day, n_name as remote_ip_org
+  from usage_log u left join nation on cast(split_part(remote_ip, '.', 4) as bigint) % 25 = n_nationkey),
+parquet as (select * from joined where ends_with("table", '.parquet')),
+modes as (select *, row_number() over (partition by day, remote_ip, "table", remote_ip_org order by n desc, usage_type) as rn
+  from (select day, remote_ip, "table", remote_ip_org, usage_type, count(*) as n from parquet group by all)),
+users as (select day, remote_ip, "table", remote_ip_org, {_MEASURES} from parquet group by all)
+select 'by_table' as summary, day as time, "table", version, null::varchar as remote_ip, null::varchar as remote_ip_org,
+  null::varchar as database, usage_type, {_MEASURES} from parquet group by all
+union all
+select 'by_user', u.day, u."table", null, u.remote_ip, u.remote_ip_org, null, m.usage_type, u.normalized_file_downloads,
+  u.request_count, u.megabytes_sent
+from users u join modes m on m.rn = 1 and u.day = m.day and u.remote_ip is not distinct from m.remote_ip
+  and u."table" = m."table" and u.remote_ip_org is not distinct from m.remote_ip_org
+union all
+select 'by_db', day, null, version, null, null,
+  case when regexp_matches("table", '.parquet') then 'parquet_file' else "table" end, usage_type, {_MEASURES}
+from joined where not ends_with("table", '/') group by all""",
+    "summary_late_rows": f"""{LOG_WITH}
+select cast(time as date) as time, usage_type, "table", version, {_MEASURES}
+from (select * replace (megabytes_sent + 1e-7 as megabytes_sent) from usage_log) where ends_with("table", '.parquet') group by all""",
     "usage_log_build": f"""{LOG_WITH}
 select id, time, version, "table", usage_type, remote_ip, key, request_uri, referer, partition_key,
   round(megabytes_sent, 6) as megabytes_sent,

@@ -17,6 +17,7 @@ from trafficlake.schemas import Table, struct_of
 from trafficlake.session import checkpoint_folder
 from trafficlake.sinks.append import append_new
 from trafficlake.sinks.parquet import file_names, read_table, table_path, write_table
+from trafficlake.sinks.release import Tables
 from trafficlake.sources.tables import day_range, time_range
 
 
@@ -91,7 +92,7 @@ def conform_schema(spark: SparkSession, d: str) -> DataFrame:
     return _hits(spark, d).withColumn("timestamp", times.without_zone(F.col("timestamp")))
 
 
-class _Scratch:
+class Scratch:
     """A folder for tables that a query writes, gone once its result is checkpointed."""
 
     def __init__(self, spark: SparkSession):
@@ -113,7 +114,7 @@ class _Scratch:
 
 def scan_stored_partition(spark: SparkSession, d: str) -> DataFrame:
     """One day of a stored, partitioned table: other days are not listed as input."""
-    scratch = _Scratch(spark)
+    scratch = Scratch(spark)
     write_table(_hits(spark, d), scratch.path, HITS)
     day = read_table(spark, scratch.path, HITS, "2024-01-05", "2024-01-05")
     return scratch.finish(day.select("insert_id", "name", "score", "partition_key"))
@@ -121,7 +122,7 @@ def scan_stored_partition(spark: SparkSession, d: str) -> DataFrame:
 
 def empty_partition(spark: SparkSession, d: str) -> DataFrame:
     """Rows per day of a written table, with an empty day that was written before the first one."""
-    scratch = _Scratch(spark)
+    scratch = Scratch(spark)
     write_table(_hits(spark, d), scratch.path, HITS, days=["2023-12-31"])
     folder = table_path(scratch.path, HITS.name)
     days = [n.partition("=")[2] for n in file_names(spark, folder) if n.startswith("partition_key=")]
@@ -140,7 +141,7 @@ def empty_partition(spark: SparkSession, d: str) -> DataFrame:
 
 def write_partition_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Write all days, write one of them again with other scores, read the table back."""
-    scratch = _Scratch(spark)
+    scratch = Scratch(spark)
     hits = _hits(spark, d)
     write_table(hits, scratch.path, HITS)
     again = hits.where(F.col("partition_key") == "2024-01-10").withColumn("score", -F.col("score"))
@@ -151,7 +152,7 @@ def write_partition_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 def append_new_by_key(spark: SparkSession, d: str) -> DataFrame:
     """What an append of all orders adds to a table of the finished ones; a second append adds nothing."""
-    scratch = _Scratch(spark)
+    scratch = Scratch(spark)
     orders = read(spark, d, "orders")
     target = Table("orders_log", orders.schema, ("o_orderkey",))
     finished = orders.where(F.col("o_orderstatus") == "F")
@@ -165,6 +166,26 @@ def append_new_by_key(spark: SparkSession, d: str) -> DataFrame:
     return scratch.finish(new)
 
 
+def published_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of ``write_partition_roundtrip`` from two releases; one that fails between its tables changes nothing."""
+    scratch, hits = Scratch(spark), _hits(spark, d)
+    tables = Tables(spark, scratch.path)
+    with tables.begin() as release:
+        release.write(hits, HITS)
+    again = hits.where(F.col("partition_key") == "2024-01-10").withColumn("score", -F.col("score"))
+    with tables.begin() as release:
+        release.write(again, HITS, days=["2024-01-10", "2024-03-01"])
+    try:
+        with tables.begin() as release:
+            release.write(again.limit(1), HITS)
+            raise InterruptedError
+    except InterruptedError:
+        pass
+    if tables.days(HITS)[-1] != "2024-03-01":
+        raise AssertionError("the empty day was not published")
+    return scratch.finish(tables.read(HITS).select("insert_id", "name", "score", "partition_key"))
+
+
 def load_report(spark: SparkSession, d: str) -> DataFrame:
     return report(read(spark, d, "events"), "ts")
 
@@ -176,6 +197,18 @@ def timestamp_normalize(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").select("event_id", times.without_zone(at).alias("time"))
 
 
+def unreadable_times(spark: SparkSession, d: str) -> DataFrame:
+    """Log lines per day by what their time gives: read, none there, or garbled (which fails a load)."""
+    n = F.col("event_id")
+    stamp = F.date_format("ts", "'['dd/MMM/yyyy:HH:mm:ss")
+    garbled = F.when(n % 7 == 0, F.replace(stamp, F.lit("/"), F.lit("-"))).when(n % 11 == 0, F.lit("-")).otherwise(stamp)
+    zone = F.when(n % 13 != 0, "+0000]")
+    text, at = times.access_log_text(garbled, zone), times.access_log_time(garbled, zone)
+    return read(spark, d, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
+        F.count(at).alias("n_read"), F.count_if(text.isNull()).alias("n_none"), F.count_if(times.unreadable(text, at)).alias("n_garbled")
+    )
+
+
 def parse_timestamps(spark: SparkSession, d: str) -> DataFrame:
     ts = F.col("ts")
     iso = F.when(F.col("event_type") == "error", "not a time").otherwise(
@@ -215,7 +248,7 @@ QUERIES = {
         scan_partition, scan_week_window, scan_time_range, latest_snapshot, date_from_text,
         coalesce_legacy_column, union_by_name, conform_schema, empty_partition,
         scan_stored_partition, write_partition_roundtrip, append_new_by_key, load_report, timestamp_normalize,
-        parse_timestamps, filter_date_window,
+        parse_timestamps, filter_date_window, published_tables, unreadable_times,
     )
 }
 
@@ -248,6 +281,14 @@ union all select '2023-12-31', 0""",
     "write_partition_roundtrip": """select cast(event_id as varchar) as insert_id, event_type as name,
   case when cast(ts as date) = date '2024-01-10' then -value else value end as score,
   strftime(ts, '%Y-%m-%d') as partition_key from events""",
+    "published_tables": """select cast(event_id as varchar) as insert_id, event_type as name,
+  case when cast(ts as date) = date '2024-01-10' then -value else value end as score,
+  strftime(ts, '%Y-%m-%d') as partition_key from events""",
+    "unreadable_times": """select strftime(ts, '%Y-%m-%d') as day,
+  count(*) filter (event_id % 13 <> 0 and event_id % 7 <> 0 and event_id % 11 <> 0) as n_read,
+  count(*) filter (event_id % 13 = 0) as n_none,
+  count(*) filter (event_id % 13 <> 0 and (event_id % 7 = 0 or event_id % 11 = 0)) as n_garbled
+from events group by 1""",
     "append_new_by_key": """select * from orders
 where o_orderkey not in (select o_orderkey from orders where o_orderstatus = 'F')""",
     "load_report": """select count(*) as n_rows, min(ts) as min_date, max(ts) as max_date from events""",

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlake.operators.columns import conform
 from trafficlake.operators.joins import new_by_key
-from trafficlake.operators.quality import require_unique
+from trafficlake.operators.quality import require_unique, unique_or_fail
 from trafficlake.schemas import PARTITION_KEY, Table, table
 from trafficlake.session import Staging
 from trafficlake.sinks.parquet import table_path
@@ -44,24 +44,34 @@ def new_rows(rows: DataFrame, base: str, to: str | Table) -> DataFrame:
 def append_new(df: DataFrame, base: str, to: str | Table) -> int:
     """Append the rows whose key is new to a Parquet table; returns how many.
 
-    The input is evaluated once and staged; what is new is staged again, counted, checked and
-    written from there.
+    What is new is found, checked, counted and staged by one job, and written from there.
     """
     target = table(to) if isinstance(to, str) else to
-    path = table_path(base, target.name)
     with Staging(df.sparkSession) as stage:
-        rows = stage.keep(new_rows(stage.keep(conform(df, target)), base, target))
-        count = rows.count()
-        if count == 0:
-            log.warning("%s: nothing new, no data written", target.name)
-            return 0
-        require_unique(rows, stored_keys(target), target.name)
-        if target.partitioned:
-            rows.hint("rebalance", PARTITION_KEY).write.mode("append").partitionBy(
-                PARTITION_KEY
-            ).parquet(path)
-        else:
-            rows.write.mode("append").parquet(path)
+        rows = conform(df, target)
+        if target.partitioned:  # the days it has decide which partitions are read
+            rows = stage.keep(rows)
+        new, counted = new_rows(rows, base, target), Observation()
+        checked = unique_or_fail(new, stored_keys(target), f"{target.name}: key repeats")
+        new = stage.keep(checked.observe(counted, F.count(F.lit(1)).alias("n")))
+        return _append(new, counted.get["n"], base, target)
+
+
+def append_staged(rows: DataFrame, base: str, to: str | Table) -> int:
+    """Append staged rows that are known to be new and to have a key each; returns how many."""
+    target = table(to) if isinstance(to, str) else to
+    return _append(rows, rows.count(), base, target)
+
+
+def _append(rows: DataFrame, count: int, base: str, target: Table) -> int:
+    if count == 0:
+        log.warning("%s: nothing new, no data written", target.name)
+        return 0
+    path = table_path(base, target.name)
+    if target.partitioned:
+        rows.hint("rebalance", PARTITION_KEY).write.mode("append").partitionBy(PARTITION_KEY).parquet(path)
+    else:
+        rows.write.mode("append").parquet(path)
     return count
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trafficlake.operators.columns import conform
@@ -46,8 +47,9 @@ def write_table(
     if not target.partitioned:
         rows.write.mode("overwrite").parquet(path)
         return
-    folders = {day: f"{path}/{PARTITION_KEY}={day}" for day in days or ()}
-    before = {day: file_names(spark, folder) for day, folder in folders.items()}
+    found = Observation()
+    if days:  # which of these days have rows is told by the job that writes them
+        rows = rows.observe(found, F.collect_set(PARTITION_KEY).alias("days"))
     (
         rows.hint("rebalance", PARTITION_KEY)
         .write.mode("overwrite")
@@ -56,10 +58,8 @@ def write_table(
         .parquet(path)
     )
     schema = T.StructType([f for f in target.schema.fields if f.name != PARTITION_KEY])
-    for day, folder in folders.items():
-        # a folder this write did not touch holds no rows of this run
-        if file_names(spark, folder) == before[day]:
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
+    for day in sorted(set(days) - set(found.get["days"])) if days else ():
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{PARTITION_KEY}={day}")
 
 
 def read_table(
