@@ -56,8 +56,37 @@ def test_edge_rows(spark):
     assert quality.train(docs, only_negative).scores(np.zeros((1, quality.FEATURES)))[0] < 0.01
 
 
-def test_risk_never_follows_negative_part():
+def points(spark, known, unlabelled):
+    rows = [(True, r.tolist()) for r in known] + [(False, r.tolist()) for r in unlabelled]
+    return spark.createDataFrame(rows, "known boolean, x array<double>").repartition(3)
+
+
+def test_risk_of_negatives_never_below_zero(spark):
     rng = np.random.default_rng(0)
     p = rng.normal(0, 0.01, (50, quality.FEATURES)) + 0.5
-    model = quality.fit(p, p, 0.9)
-    assert np.all(np.isfinite(model.weights)) and model.scores(p).mean() > 0.5
+    for u in (p, p[:0]):
+        model = quality.fit(points(spark, p, u), 0.9)
+        assert np.all(np.isfinite(model.weights)) and model.scores(p).mean() > 0.5
+
+
+def test_like_a_plain_minimiser(spark):
+    """Projected gradient descent on the same risk, all rows in memory, ends in the same place."""
+    rng = np.random.default_rng(3)
+    p = rng.normal(0.5, 0.05, (400, quality.FEATURES))
+    u = np.vstack((rng.normal(0.5, 0.05, (320, quality.FEATURES)), rng.normal(0.51, 0.05, (480, quality.FEATURES))))
+    prior = 0.4
+    model = quality.fit(points(spark, p, u), prior)
+    assert np.allclose(model.mean, p.mean(0)) and np.all(model.weights[:-1] <= 0)
+    ep, eu = (quality.expand((x - model.mean) / model.scale) for x in (p, u))
+
+    def risk(w):
+        minus = np.logaddexp(0, eu @ w).mean() - prior * np.logaddexp(0, ep @ w).mean()
+        return prior * np.logaddexp(0, -ep @ w).mean() + minus + quality.DECAY / 2 * w @ w, minus
+
+    w = np.zeros(ep.shape[1])
+    for _ in range(20_000):
+        g = (eu / (1 + np.exp(-eu @ w))[:, None]).mean(0) - prior * ep.mean(0) + quality.DECAY * w
+        w = w - 0.1 * g
+        w[:-1] = np.minimum(w[:-1], 0)
+    assert risk(w)[1] > 0  # the bound is not met here, so both are free to reach the minimum
+    assert abs(risk(model.weights)[0] - risk(w)[0]) < 1e-4

@@ -2,21 +2,29 @@
 
 Trusted positives P and unlabelled text U are told apart by the risk
 ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))`` (Kiryo et al., 2017): the second term estimates the risk on
-the unseen negatives, and a step that would drive it below zero is undone instead of followed, so the model cannot
-overfit the positives it knows. The class prior is the share of label 1 among the labelled rows that may be learnt.
-
-The fit sees a bounded sample: at most ``SAMPLE`` positives and ``SAMPLE`` unlabelled documents, those with the
-smallest hash of their id, so the sample is spread over all files and the same on every run. Scoring covers
-every whole text and needs no shuffle. A score depends on the text alone.
-
-NULL and empty texts have all features zero and get the score of that point. Repeated rows get equal scores. An empty
-table gives an empty result; without learnable positives every score is the prior (0.5 if nothing is labelled).
+the unseen negatives, and a step that would drive it below zero is not taken, so the model cannot overfit the
+positives it knows. The class prior is the share of label 1 among the labelled rows that may be learnt.
+
+A text's style is compared with that of the positives: how far each feature lies above and below their mean. No weight of such
+a distance may be positive, so a text that is farther from the positives in any respect, such as one word said over and over,
+never scores higher for it.
+
+All positives and all documents without a learnable label take part. Their features are written to the shared folder once;
+with the logistic loss the risk is convex, and each Newton step is a few hundred sums over that table, added up by
+Spark in decimals, so no order of tasks changes them. The driver solves for a step of ``2 * FEATURES + 1`` numbers. Scoring
+covers every whole text and needs no shuffle. A score depends on the text alone.
+
+NULL and empty texts have all features zero and get the score of that point. Texts of any length are read whole. Repeated rows
+count and score as often as they are there; of several labels of one document the highest counts. Documents without a key are
+scored, not learnt from. An empty table gives an empty result; without learnable positives every score is the prior (0.5 if
+nothing is labelled). Columns named as a result are replaced, others are kept, and none but key and text is read.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -25,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trafficlake.llm.frames import pick, with_results
+from trafficlake.llm.frames import pick, shared_folder, with_results
 
-SAMPLE = 6000
-STEPS = 1500
-RATE = 0.02
+STEPS = 30
 DECAY = 1e-4
+SHRINK = (1.0, 0.5, 0.25, 0.125, 1 / 16, 1 / 64)  # parts of a step, the largest that lowers the risk is taken
+CLOSE = 1e-6
 
 BYTES = np.arange(256)
 LETTER = ((BYTES | 32) >= ord("a")) & ((BYTES | 32) <= ord("z")) | (BYTES >= 128)
@@ -101,28 +109,104 @@ def constant(score: float) -> Model:
     return Model(np.zeros(FEATURES), np.ones(FEATURES), weights)
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
-    """Minimise the non-negative risk with the logistic loss by Adam over the whole sample."""
-    if not len(positive) or not len(unlabelled):
+def _added(table: DataFrame, sums: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all rows of ``sums(x, known)`` of each batch, a vector of any fixed length."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            x = batch["x"].flatten().to_numpy().reshape(-1, FEATURES)
+            value = sums(x, batch["known"].to_numpy(zero_copy_only=False))
+            total = value if total is None else total + value
+        if total is not None:
+            yield pa.record_batch([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["k", "v"])
+
+    rows = table.mapInArrow(part, "k int, v double").groupBy("k").agg(F.sum(F.col("v").cast("decimal(28,9)")).alias("v")).collect()
+    out = np.zeros(len(rows))
+    for r in rows:
+        out[r.k] = float(r.v)
+    return out
+
+
+def _risk(sums: np.ndarray, prior: float) -> tuple[float, float]:
+    """(risk on positives taken as such, estimated risk on the unseen negatives) from sums of losses and counts."""
+    p_plus, p_minus, u_minus, n_p, n_u = sums
+    return prior * p_plus / n_p, u_minus / n_u - prior * p_minus / n_p
+
+
+def _losses(z: np.ndarray, known: np.ndarray) -> np.ndarray:
+    minus = np.logaddexp(0, z)
+    return np.array([np.logaddexp(0, -z[known]).sum(), minus[known].sum(), minus[~known].sum(), known.sum(), (~known).sum()], float)
+
+
+def _step(w: np.ndarray, gradient: np.ndarray, hessian: np.ndarray) -> np.ndarray:
+    """The minimum of the quadratic model at ``w`` where only the last weight, the constant, may be positive."""
+    at = w.copy()
+    for _ in range(500):
+        before = at.copy()
+        for k in range(len(w)):
+            slope = gradient[k] + hessian[k] @ (at - w)
+            at[k] -= slope / hessian[k, k]
+            if k < len(w) - 1:
+                at[k] = min(at[k], 0.0)
+        if np.abs(at - before).max() < 1e-9:
+            break
+    return at - w
+
+
+def fit(table: DataFrame, prior: float) -> Model:
+    """Minimise the risk over rows (known, x): trusted positives (known) and unlabelled documents."""
+    n = FEATURES
+    first = _added(table, lambda x, known: np.concatenate(([known.sum(), (~known).sum()], x[known].sum(0), (x[known] ** 2).sum(0))))
+    if not len(first) or not first[0]:
         return constant(prior)
     prior = min(max(prior, 0.01), 0.99)
-    mean, scale = positive.mean(0), positive.std(0) + 0.01
-    p, u = expand((positive - mean) / scale), expand((unlabelled - mean) / scale)
-    w = np.zeros(p.shape[1])
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    loss = lambda z: np.logaddexp(0, -z)
-    for step in range(1, STEPS + 1):
-        zp, zu = p @ w, u @ w
-        grad_p_plus = -(p * (1 - sigmoid(zp))[:, None]).mean(0)
-        grad_minus = (u * sigmoid(zu)[:, None]).mean(0) - prior * (p * sigmoid(zp)[:, None]).mean(0)
-        risk_minus = loss(-zu).mean() - prior * loss(-zp).mean()
-        grad = (prior * grad_p_plus + grad_minus if risk_minus >= 0 else -grad_minus) + DECAY * w
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        w = w - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    mean = first[2 : 2 + n] / first[0]
+    scale = np.sqrt(np.maximum(first[2 + n :] / first[0] - mean**2, 0)) + 0.01
+    alone = not first[1]  # no unlabelled text: the positives stand for it
+
+    def curves(x: np.ndarray, known: np.ndarray, w: np.ndarray) -> np.ndarray:
+        e = expand((x - mean) / scale)
+        p, u = e[known], e if alone else e[~known]
+        s = 1 / (1 + np.exp(-np.clip(u @ w, -30, 30)))
+        return np.concatenate((p.sum(0), (u * s[:, None]).sum(0), ((u * (s * (1 - s))[:, None]).T @ u).ravel()))
+
+    def losses(x: np.ndarray, known: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+        z = np.clip(expand((x - mean) / scale) @ candidates.T, -30, 30)
+        if alone:
+            known = np.repeat([True, False], len(known))
+            z = np.vstack((z, z))
+        return np.concatenate([_losses(column, known) for column in z.T])
+
+    size = 2 * n + 1
+    w, best = np.zeros(size), math.inf
+    n_p, n_u = first[0], first[0] if alone else first[1]
+    for _ in range(STEPS):
+        sums = _added(table, lambda x, known, w=w: curves(x, known, w))
+        gradient = sums[size : 2 * size] / n_u - prior * sums[:size] / n_p + DECAY * w
+        hessian = sums[2 * size :].reshape(size, size) / n_u + (DECAY + 1e-6) * np.eye(size)
+        step = _step(w, gradient, hessian)
+        tried = np.array([w + part * step for part in SHRINK])
+        risks = _added(table, lambda x, known, tried=tried: losses(x, known, tried)).reshape(len(tried), 5)
+        if not np.isfinite(best):
+            best = sum(_risk(_at_zero(n_p, n_u), prior))
+        for candidate, sums in zip(tried, risks, strict=True):
+            positive, negative = _risk(sums, prior)
+            risk = positive + negative + DECAY / 2 * float(candidate @ candidate)
+            if negative >= 0 and risk < best:
+                break
+        else:
+            break
+        w, gain, best = candidate, best - risk, risk
+        if gain < CLOSE:
+            break
     return Model(mean, scale, w)
 
 
+def _at_zero(n_p: float, n_u: float) -> np.ndarray:
+    return np.array([math.log(2) * n_p, math.log(2) * n_p, math.log(2) * n_u, n_p, n_u])
+
+
 def features_column(text: Column) -> Column:
     @F.arrow_udf("array<double>")
     def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -147,12 +231,7 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _sample(keys: DataFrame, n: int) -> DataFrame:
-    """The n rows with the smallest hash of their key: a top-n of two numbers a row."""
-    return keys.orderBy(F.xxhash64("key"), "key").limit(n)
-
-
-def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def train(documents: DataFrame, labels: DataFrame) -> Model:
     """Fit on labels (doc_id, quality) of rows that are not held out and on documents without such a label."""
     label = pick(labels, key="doc_id", quality="quality").where(
         F.col("key").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("key"))
@@ -161,20 +240,12 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     if prior is None:
         return constant(0.5)
     docs = pick(documents, key="doc_id", text="text").where("key is not null")
-    positive = _sample(label.where("quality = 1").select("key").distinct(), sample)
-    unlabelled = _sample(docs.select("key").distinct().join(label.select("key"), "key", "left_anti"), sample)
-    # both lists are bounded by `sample`, so they may be sent to every task
-    chosen = positive.withColumn("known", F.lit(True)).union(unlabelled.withColumn("known", F.lit(False)))
-    rows = (
-        docs.join(F.broadcast(chosen), "key")
-        .select("key", "known", features_column(F.col("text")).alias("x"))
-        .dropDuplicates(["key"])
-        .orderBy("key")
-        .collect()
-    )
-    part = lambda known: np.array([r.x for r in rows if r.known == known]).reshape(-1, FEATURES)
-    u = part(False)
-    return fit(part(True), u if len(u) else part(True), prior)
+    rows = docs.select("key", features_column(F.col("text")).alias("x"))
+    told = label.groupBy("key").agg(F.max("quality").alias("quality"))
+    rows = rows.join(told, "key", "left").where("quality is null or quality = 1")
+    path = f"{shared_folder(documents.sparkSession)}/features"
+    rows.select(F.col("quality").isNotNull().alias("known"), "x").write.parquet(path)
+    return fit(documents.sparkSession.read.schema("known boolean, x array<double>").parquet(path), prior)
 
 
 def score_documents(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
