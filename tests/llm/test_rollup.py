@@ -55,3 +55,47 @@ def test_failed_commit_leaves_totals(spark):
     assert got(table) == {("a", "en", "v1"): (2, 6)}
     table.commit(3, good.limit(0))
     assert got(table) == {("a", "en", "v1"): (2, 6)}
+
+
+def test_late_batch_beside_a_snapshot(spark):
+    """Both orders of commit and compact give the same totals, and a batch that comes again changes nothing."""
+    one = lambda n: spark.createDataFrame([("insert", "a", "en", "v1", n, None)], SCHEMA)
+    early, late = (rollup.Rollup(spark, shared_folder(spark)) for _ in range(2))
+    for table, steps in ((early, (1, 2, 3, None)), (late, (1, 3, None, 2))):
+        for step in steps:
+            if step is None:
+                table.compact(3)
+            else:
+                assert table.commit(step, one(step))
+        assert got(table) == {("a", "en", "v1"): (3, 6)}
+        assert not table.commit(3, one(100)) and got(table) == {("a", "en", "v1"): (3, 6)}
+    late.compact(3)
+    assert not late.commit(2, one(100)) and got(late) == {("a", "en", "v1"): (3, 6)}
+
+
+def test_failed_recommit_keeps_the_batch(spark, monkeypatch):
+    table = rollup.Rollup(spark, shared_folder(spark))
+    good = spark.createDataFrame([("insert", "a", "en", "v1", 3, None)] * 40, SCHEMA).repartition(8)
+    table.commit(1, good)
+    # lost while files are written: some tasks succeed, one does not
+    bad = good.withColumn("n_tokens", F.when(F.spark_partition_id() == 5, F.raise_error(F.lit("lost")).cast("long")).otherwise(7))
+    with pytest.raises(Exception, match="lost"):
+        table.commit(1, bad)
+    assert got(table) == {("a", "en", "v1"): (40, 120)}
+    # lost between the files and the state
+    with monkeypatch.context() as patch, pytest.raises(InterruptedError):
+        patch.setattr(table.versions, "put", lambda *_: (_ for _ in ()).throw(InterruptedError()))
+        table.commit(1, good.limit(2))
+    assert got(table) == {("a", "en", "v1"): (40, 120)}
+    # another commit took the number in between
+    put, other = table.versions.put, rollup.Rollup(spark, table.path)
+
+    def late(number, state):
+        patch.undo()
+        other.commit(2, good.limit(1))
+        return put(number, state)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table.versions, "put", late)
+        table.commit(1, good.limit(2))
+    assert got(table) == {("a", "en", "v1"): (3, 9)}

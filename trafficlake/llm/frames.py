@@ -37,7 +37,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name under the one that the cluster shares (``spark.checkpoint.dir``).
+    """A new folder under the one that the cluster shares (``spark.checkpoint.dir``), gone when the driver ends.
 
     Only a local session without that setting gets a folder of this machine.
     """
@@ -46,7 +46,12 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = os.path.join(tempfile.gettempdir(), "trafficlake-llm")
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return folder
 
 
 def cut(df: DataFrame) -> DataFrame:

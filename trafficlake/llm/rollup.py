@@ -5,23 +5,30 @@ A batch of changes has one row per change of a document: ``insert`` adds a docum
 the old count. Changes are signed numbers, so totals are additive: a batch is summed on the map side, in parallel and
 in any order, however many rows share one group.
 
-A batch is committed by writing its sums to its own folder, ``batch=<id>``, replacing what is there. Spark publishes
-such a folder only when the job has succeeded, so a failed or repeated commit of the same batch leaves the totals as one
-commit does. Totals are the sums over batches; ``compact`` writes the sum of the older batches as one snapshot that
-names the highest batch in it, and reading skips batches a snapshot holds. Batch ids ascend.
+A batch is committed by writing its sums to a folder of its own, new for each attempt, and then publishing a state that names
+the folder. A commit that fails, at any point, leaves the totals as they were; repeating a commit replaces the batch. States
+are numbered versions, and a commit that finds its number taken starts again from the newer state, so batches may be
+committed at the same time and in any order.
+
+``compact`` writes the sum of the batches up to an id as one snapshot. The state lists the ids that the snapshot holds: a batch that
+comes late, with a smaller id, is counted beside it, and one that comes again is known and changes nothing.
 
 NULL sources, languages and versions are groups of their own; a NULL count is 0; an unknown or NULL change does nothing.
-Groups whose documents and tokens are all gone are left out of the totals.
+Groups whose documents and tokens are all gone are left out of the totals. Rows that repeat count as often as they are there, an
+empty batch adds nothing, and columns other than those named are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from trafficlake.sinks.release import Versions
 
 GROUP = ("source", "lang", "tokenizer")
-SUMS = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch long"
+SUMS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
 
 def deltas(changes: DataFrame) -> DataFrame:
@@ -40,43 +47,51 @@ class Rollup:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-
-    def commit(self, batch: int, changes: DataFrame) -> None:
-        """Publish a batch. Committing the same batch again replaces it."""
-        _write(deltas(changes), f"{self.path}/batches/batch={int(batch)}")
-
-    def _read(self, kind: str, column: str) -> DataFrame:
-        schema = SUMS.replace("batch", column)
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
-
-    def _parts(self, upto: int | None = None) -> DataFrame:
-        """The newest snapshot and the batches it does not hold."""
-        snapshots = self._read("snapshots", "upto")
-        newest = snapshots.agg(F.max("upto")).first()[0]
-        batches = self._read("batches", "batch")
-        if newest is not None:
-            batches = batches.where(F.col("batch") > newest)
-        if upto is not None:
-            batches = batches.where(F.col("batch") <= upto)
-        return snapshots.where(F.col("upto") == newest).drop("upto").unionByName(batches.drop("batch"))
+        self.versions = Versions(spark, f"{self.path}/states")
+
+    def _state(self) -> tuple[int, dict]:
+        number, state = self.versions.newest()
+        return number, state or {"snapshot": None, "held": [], "batches": {}}
+
+    def _write(self, sums: DataFrame) -> str:
+        folder = f"sums/{uuid.uuid4().hex}"
+        sums.write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def commit(self, batch: int, changes: DataFrame) -> bool:
+        """Publish a batch. Again, it replaces itself; False, and nothing changes, if a snapshot holds it."""
+        if batch in self._state()[1]["held"]:
+            return False
+        folder = self._write(deltas(changes))
+        while True:
+            number, state = self._state()
+            if batch in state["held"]:
+                return False
+            state["batches"][str(int(batch))] = folder
+            if self.versions.put(number + 1, state):
+                return True
+
+    def _read(self, folders: list[str | None]) -> DataFrame:
+        paths = [f"{self.path}/{f}" for f in folders if f]
+        return self.spark.read.schema(SUMS).parquet(*paths) if paths else self.spark.createDataFrame([], SUMS)
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) after all committed batches."""
-        return _summed(self._parts()).where("n_docs <> 0 or n_tokens <> 0")
+        _, state = self._state()
+        return _summed(self._read([state["snapshot"], *state["batches"].values()])).where("n_docs <> 0 or n_tokens <> 0")
 
     def compact(self, upto: int) -> None:
-        """Fold the batches up to this id into a snapshot. They may not be committed again afterwards."""
-        _write(_summed(self._parts(upto)), f"{self.path}/snapshots/upto={int(upto)}")
+        """Fold the committed batches up to this id into a snapshot."""
+        while True:
+            number, state = self._state()
+            folded = [b for b in state["batches"] if int(b) <= upto]
+            if not folded:
+                return
+            snapshot = self._write(_summed(self._read([state["snapshot"], *(state["batches"].pop(b) for b in folded)])))
+            held = sorted({*state["held"], *map(int, folded)})
+            if self.versions.put(number + 1, {"snapshot": snapshot, "held": held, "batches": state["batches"]}):
+                return
 
 
 def _summed(parts: DataFrame) -> DataFrame:
     return parts.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-
-
-def _write(sums: DataFrame, path: str) -> None:
-    sums.write.mode("overwrite").parquet(path)
