@@ -75,6 +75,19 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return first
 
 
+def demux(df: DataFrame, kind: str, wanted: Mapping[str, Sequence[str]], name: str = "target") -> DataFrame:
+    """Rows of the kinds that ``wanted`` lists, under their kind as ``name``, each with its own columns and NULL in the others.
+
+    What a union of one projection for each kind gives, in one pass over the rows.
+    """
+    columns = [*dict.fromkeys(c for own in wanted.values() for c in own)]
+    rows = df.where(q(kind).isin(*wanted))
+    return rows.select(
+        q(kind).alias(name),
+        *[F.when(q(kind).isin(*[k for k, own in wanted.items() if c in own]), q(c)).alias(c) for c in columns],
+    )
+
+
 def coalesce_present(df: DataFrame, *names: str) -> Column:
     """First non-NULL of those columns the frame has; none of them gives NULL text."""
     present = [q(c) for c in names if c in df.columns]

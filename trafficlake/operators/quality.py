@@ -101,6 +101,11 @@ def broken_rules(rules: Mapping[str, Column]) -> Column:
     return F.array_compact(F.array(*names))
 
 
+def judged(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """All rows with the names of the rules they break, from one look at each: none means accepted."""
+    return df.withColumn(VIOLATIONS, broken_rules(rules))
+
+
 def accepted(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Rows that keep all rules."""
     return df.where(all_hold(rules))

@@ -41,6 +41,26 @@ def value_shares(df: DataFrame, column: str, top: int | None = None) -> DataFram
     return shares_of(value_counts(df, column), top)
 
 
+def top_shares(df: DataFrame, column: str, top: int, covered: str | None = None) -> DataFrame:
+    """The ``top`` values as ``value_shares`` has them and, under the name ``covered``, the share they cover together.
+
+    One aggregate counts the values and, as its grand total, all rows; what follows sees ``top`` + 1 of its rows.
+    """
+    value = q(column)
+    counts = df.where(value.isNotNull()).rollup(value).agg(F.count(F.lit(1)).alias("n"), F.grouping(column).alias("all"))
+    first = counts.orderBy(F.col("all").desc(), F.col("n").desc(), value).limit(top + 1)
+    found = first.agg(
+        F.max(F.when(F.col("all") == 1, F.col("n"))).alias("total"),
+        F.sort_array(F.collect_list(F.when(F.col("all") == 0, F.struct((-F.col("n")).alias("k"), value.alias("v"))))).alias("rows"),
+    )
+    row = lambda v, n, share: F.struct(v.alias(column), n.cast("bigint").alias("n"), share.alias("share"))
+    rows = F.transform("rows", lambda r: row(r["v"], -r["k"], -r["k"] / F.col("total")))
+    if covered is not None:
+        together = -F.aggregate("rows", F.lit(0).cast("bigint"), lambda a, r: a + r["k"]) / F.col("total")
+        rows = F.concat(rows, F.array(row(F.lit(covered), F.lit(None), together)))
+    return found.select(F.inline(rows))
+
+
 def covered_share(shares: DataFrame) -> DataFrame:
     """Share of all counted rows that the given (top) values cover together."""
     return shares.agg(F.sum("share").alias("covered"))

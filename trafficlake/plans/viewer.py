@@ -126,7 +126,7 @@ def event_rows(records: DataFrame) -> DataFrame:
 
 def judged(raw: DataFrame) -> DataFrame:
     """All records with the rules they break: to be staged, so that a line is parsed once."""
-    return raw.withColumn(quality.VIOLATIONS, quality.broken_rules(record_rules()))
+    return quality.judged(raw, record_rules())
 
 
 def events_of(records: DataFrame) -> DataFrame:

@@ -22,16 +22,7 @@ def topk_value_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def topk_value_share(spark: SparkSession, d: str) -> DataFrame:
     """Top 3 event types with their share, and the share they cover together."""
-    events = read(spark, d, "events")
-    top = reports.value_shares(events, "event_type", 3)
-    covered = reports.covered_share(top)
-    rows = top.unionByName(
-        covered.select(
-            F.lit("(top 3)").alias("event_type"),
-            F.lit(None).cast("bigint").alias("n"),
-            F.col("covered").alias("share"),
-        )
-    )
+    rows = reports.top_shares(read(spark, d, "events"), "event_type", 3, "(top 3)")
     return rows.withColumn("share", F.round("share", 9))
 
 

@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlake.functions import times
+from trafficlake.operators import columns as C
 from trafficlake.plans import objectlog, repository, requests, snapshots, viewer
 from trafficlake.queries.bindings import ACCESS_LOG_SQL, access_log, read
 from trafficlake.queries.events import _ip_records
+from trafficlake.queries.scans import Scratch
+from trafficlake.schemas import FILTER_SLOTS, table
 from trafficlake.site import Site
 from trafficlake.sources import files
 
@@ -50,8 +53,8 @@ def object_log_build(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _viewer_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Viewer log records of all kinds, some of them broken, parsed from JSON lines."""
+def _viewer_lines(spark: SparkSession, d: str, all_kinds: bool = False) -> DataFrame:
+    """Viewer log records, some of them broken, parsed from JSON lines; ``all_kinds``: of all six tables."""
     event_id, kind = F.col("event_id"), F.col("event_type")
     at = F.date_format("ts", ISO)
     filters = F.transform(
@@ -73,11 +76,21 @@ def _viewer_lines(spark: SparkSession, d: str) -> DataFrame:
         F.when(kind == "view", "search").when(kind == "click", "hit")
         .when(kind == "purchase", "duckdb_preview").when(kind == "signup", "loading")
     )
+    if all_kinds:
+        name = F.when((kind == "purchase") & (event_id % 2 == 1), "duckdb_csv").when(
+            (kind == "signup") & (event_id % 2 == 0), "privacy-policy").otherwise(name)
+    user = F.col("user_id") % 10 > 0
     payload = F.struct(
         name.alias("event"),
         F.when(event_id % 50 > 0, at).otherwise("never").alias("timestamp"),
-        F.when(F.col("user_id") % 10 > 0, F.concat(F.lit("u"), F.col("user_id"))).alias("userId"),
+        F.when(user, F.concat(F.lit("u"), F.col("user_id"))).alias("userId"),
+        F.when(user, F.concat(F.lit("d"), F.col("user_id") % 5)).alias("userDomain"),
+        F.when(kind == "view", F.concat(F.lit("q "), event_id)).alias("query"),
+        F.when(kind != "click", F.concat(F.lit("/u/"), event_id)).alias("url"),
         F.when(kind == "click", F.col("value")).alias("score"),
+        F.when(kind == "click", F.concat(F.lit("n"), event_id)).alias("name"),
+        F.when(kind == "click", F.lit("a,b")).alias("tags"),
+        *[F.when(kind == "signup", event_id % n == 0).alias(c) for c, n in (("accepted", 3), ("newsletter", 4), ("outreach", 5))],
         F.when(kind == "purchase", params).alias("params"),
     )
     line = F.to_json(
@@ -111,36 +124,27 @@ def viewer_rejected(spark: SparkSession, d: str) -> DataFrame:
 
 def viewer_events_build(spark: SparkSession, d: str) -> DataFrame:
     """JSON log lines through validation, flattening, log-in marking and sessions."""
-    events = viewer.build_viewer_events(_viewer_lines(spark, d))
-    return events.select(
+    scratch = Scratch(spark)
+    events = viewer.events_of(scratch.keep(viewer.judged(_viewer_lines(spark, d))))
+    return scratch.finish(events.select(
         "insert_id", "event", "user_id", "score", "params_page", "params_filters_value",
         "params_filters_field_name_6", "params_filters", "log_in_query", "session_id",
-    )
+    ))
+
+
+def _zoneless(df: DataFrame) -> DataFrame:
+    """All columns, instants as wall-clock times."""
+    return df.select(*[times.without_zone(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name) for f in df.schema.fields])
 
 
 def viewer_tables_build(spark: SparkSession, d: str) -> DataFrame:
-    """Rows and users per event table and day, over flat events of all six kinds."""
-    kinds = {
-        "search": "view", "hit": "click", "duckdb_preview": "purchase", "duckdb_csv": "signup",
-    }
-    event = F.lit(None).cast("string")
-    for name, kind in kinds.items():
-        event = F.when(F.col("event_type") == kind, name).otherwise(event)
-    event = F.when(F.col("event_type") == "error", F.when(F.col("event_id") % 2 == 0, "log_in").otherwise("privacy-policy")).otherwise(event)
-    user = F.when(F.col("user_id") % 10 > 0, F.col("user_id").cast("string"))
-    events = read(spark, d, "events").select(
-        F.col("event_id").cast("string").alias("insert_id"), event.alias("event"), user.alias("user_id"),
-        F.col("ts").alias("timestamp"), F.date_format("ts", DAY).alias("partition_key"),
-    )
-    counts = [
-        df.groupBy("partition_key").agg(F.count("insert_id").alias("n"))
-        .withColumn("target", F.lit(name.removeprefix("core_viewer_")))
-        for name, df in viewer.build_event_tables(events).items()
-    ]
-    out = counts[0]
-    for one in counts[1:]:
-        out = out.unionByName(one)
-    return out
+    """All rows and columns of the six event tables, from one parse of the log that is staged by kind, as a load does it."""
+    scratch = Scratch(spark)
+    events = viewer.events_of(scratch.keep(viewer.judged(_viewer_lines(spark, d, all_kinds=True))))
+    events.write.partitionBy("event").parquet(f"{scratch.path}/events")
+    staged = spark.read.schema(events.schema).parquet(f"{scratch.path}/events")
+    frames = [df.withColumn("target", F.lit(name.removeprefix("core_viewer_"))) for name, df in viewer.build_event_tables(staged).items()]
+    return scratch.finish(_zoneless(C.union_all(*frames)))
 
 
 def _daily(spark: SparkSession, d: str, *keys: str) -> DataFrame:
@@ -173,25 +177,55 @@ def _json_rows(rows: DataFrame, record: Column, schema: str) -> DataFrame:
     return rows.select(F.from_json(F.to_json(record), schema).alias("r")).select("r.*")
 
 
+# Values of a record field by its stored type, in text that both engines read
+def _values(name: str, given: dict[str, str]) -> dict[str, str]:
+    """A value for each column of a table, ``given`` ones first."""
+    key, out = "c_custkey", {}
+    for i, field in enumerate(table(name).schema.fields):
+        by_type = {
+            "string": f"concat('{field.name} ', cast({key} as varchar(20)))",
+            "integer": f"cast(({key} * {i + 1}) % 1000 as int)",
+            "boolean": f"({key} + {i}) % 3 = 0",
+            "timestamp": f"'2024-05-{i % 28 + 1:02d}T10:00:00Z'",
+        }
+        out[field.name] = given.get(field.name, by_type[field.dataType.typeName()])
+    return out
+
+
+def _values_sql(name: str, values: dict[str, str], stored: dict[str, str]) -> str:
+    """What those values are stored as."""
+    times_of = {
+        f.name: f"cast(replace(replace({values[f.name]}, 'T', ' '), 'Z', '') as timestamp)"
+        for f in table(name).schema.fields if f.dataType.typeName() == "timestamp"
+    }
+    shown = {**values, **times_of, **stored}
+    return ", ".join(f"{v} as {c}" for c, v in shown.items())
+
+
+_STARGAZER = _values("core_github_stargazers", {"id": "cast(c_custkey as int)"})
+_FORK = _values("core_github_forks", {
+    "id": "cast(c_custkey as int)", "pushed_at": "cast(null as varchar(20))", "license": "cast(null as varchar(20))",
+})
+
+
 def stargazers_build(spark: SparkSession, d: str) -> DataFrame:
     user = F.struct(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("login"),
-        F.lit("x").alias("gravatar_id"), (F.col("c_nationkey") == 1).alias("site_admin"),
+        *[F.expr(v).alias(c) for c, v in _STARGAZER.items() if c != "starred_at"],
+        F.lit("x").alias("gravatar_id"), F.lit("y").alias("avatar_url"),
     )
-    record = F.struct(F.lit("2024-05-01T10:00:00Z").alias("starred_at"), user.alias("user"))
+    record = F.struct(F.expr(_STARGAZER["starred_at"]).alias("starred_at"), user.alias("user"))
     raw = _json_rows(read(spark, d, "customer"), record, files.STARGAZERS)
-    out = repository.build_stargazers(raw.select("user.*", "starred_at"))
-    return out.select("id", "login", "site_admin", times.without_zone(F.col("starred_at")).alias("starred_at"))
+    return _zoneless(repository.build_stargazers(raw.select("user.*", "starred_at")))
 
 
 def forks_build(spark: SparkSession, d: str) -> DataFrame:
+    nested_fields = {"owner": F.struct(F.col("c_name").alias("login")), "topics": F.array("c_mktsegment")}
+    plain = {("size" if c == "size_kb" else c): v for c, v in _FORK.items() if c not in nested_fields}
     record = F.struct(
-        F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("size"), F.lit(True).alias("fork"),
-        F.struct(F.col("c_name").alias("login")).alias("owner"), F.array("c_mktsegment").alias("topics"),
-        F.lit("u").alias("html_url"), F.lit("2024-05-01T10:00:00Z").alias("created_at"),
+        *[F.expr(v).alias(c) for c, v in plain.items()], *[v.alias(c) for c, v in nested_fields.items()],
+        F.lit(True).alias("fork"), F.lit("u").alias("html_url"), F.lit(1).alias("open_issues_count"),
     )
-    out = repository.build_forks(_json_rows(read(spark, d, "customer"), record, files.FORKS))
-    return out.select("id", "size_kb", "owner", "topics", "license", F.to_date("created_at").alias("created"))
+    return _zoneless(repository.build_forks(_json_rows(read(spark, d, "customer"), record, files.FORKS)))
 
 
 def dataset_snapshot_build(spark: SparkSession, d: str) -> DataFrame:
@@ -200,26 +234,24 @@ def dataset_snapshot_build(spark: SparkSession, d: str) -> DataFrame:
     day = F.date_add(F.lit("2000-01-01").cast("date"), key.cast("int")).cast("string")
     start = F.concat(F.lit('{"metrics_date": "'), day, F.lit('", '))
     nested_doc = F.concat(
-        start, F.lit('"info": {"totalViews": 0, "totalViewsNullable": '),
+        start, F.lit('"datasetSlug": "not here", "info": {"datasetSlug": "slug", "ownerUserNullable": "owner", "totalViews": 0, "totalViewsNullable": '),
         F.when(n > 5, n.cast("string")).otherwise("null"), F.lit(', "hasTotalViews": '),
         (n > 5).cast("string"), F.lit(', "titleNullable": "'), F.col("c_name"), F.lit('", "isPrivate": true}}'),
     )
     flat_doc = F.concat(
-        start, F.lit('"totalViews": '), n.cast("string"), F.lit(', "title": "'), F.col("c_name"), F.lit('"}')
+        start, F.lit('"usabilityRating": 0.75, "subtitle": "sub", "datasetId": 7, "totalVotes": 3, "totalViews": '),
+        n.cast("string"), F.lit(', "title": "'), F.col("c_name"), F.lit('"}')
     )
     dotted_doc = F.concat(
         start, F.lit('"info.totalViews": '), n.cast("string"), F.lit(', "info.title": "'),
-        F.col("c_name"), F.lit('", "info.keywords": ["k"]}'),
+        F.col("c_name"), F.lit('", "info.keywords": ["k"], "info.description": "text", "info.totalDownloads": '), n.cast("string"),
+        F.lit(', "info.licenses": [{"name": "l"}], "info.data": [], "info.collaborators": [{"username": "c"}]}'),
     )
     doc = F.when(key % 3 == 0, nested_doc).when(key % 3 == 1, flat_doc).otherwise(dotted_doc)
     raw = read(spark, d, "customer").select(
         F.from_json(doc, files.snapshot_schema()).alias("r"), day.alias("partition_key")
     )
-    out = snapshots.build_core_kaggle_logs(raw.select("r.*", "partition_key"))
-    return out.select(
-        F.to_date("metrics_date").alias("metrics_date"), "total_views", "title", "is_private", "keywords",
-        "partition_key",
-    )
+    return _zoneless(snapshots.build_core_kaggle_logs(raw.select("r.*", "partition_key")))
 
 
 def archive_stats_build(spark: SparkSession, d: str) -> DataFrame:
@@ -227,10 +259,19 @@ def archive_stats_build(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("p_partkey")
 
     def record(version: Column, swh: Column) -> Column:
+        stats = {
+            "downloads": 1, "unique_downloads": 2, "views": 3, "unique_views": 4,
+            "version_downloads": 5, "version_unique_downloads": 6, "version_views": 7, "version_unique_views": 8,
+        }
         return F.struct(
-            version.alias("id"), F.lit("4127026").alias("conceptrecid"), F.col("p_name").alias("title"),
-            F.struct(F.lit("2024-12-31").alias("publication_date"), F.col("p_brand").alias("version")).alias("metadata"),
-            F.struct(F.col("p_size").alias("downloads")).alias("stats"), swh.alias("swh"),
+            version.alias("id"), version.cast("string").alias("recid"), F.lit("4127026").alias("conceptrecid"), F.col("p_name").alias("title"),
+            F.struct(
+                F.lit("2024-12-31").alias("publication_date"), F.col("p_brand").alias("version"), F.col("p_type").alias("description")
+            ).alias("metadata"),
+            F.struct(*[(F.col("p_size") * n).alias(c) for c, n in stats.items()]).alias("stats"), swh.alias("swh"),
+            *[F.concat(F.lit(f"{c} "), version).alias(c) for c in ("doi", "conceptdoi", "doi_url", "status", "state")],
+            (version % 2 == 0).alias("submitted"),
+            *[F.lit(f"2025-01-0{i}T0{i}:00:00.500000+00:00").alias(c) for i, c in enumerate(("created", "modified", "updated"), 1)],
         )
 
     records = F.array(
@@ -242,11 +283,7 @@ def archive_stats_build(spark: SparkSession, d: str) -> DataFrame:
     docs = read(spark, d, "part").select(
         F.from_json(doc, files.ARCHIVE_STATS)["hits"].alias("hits"), day.alias("partition_key")
     )
-    out = snapshots.build_core_zenodo_logs(files.archive_records(docs, 2), Site())
-    return out.select(
-        "metrics_date", "version_id", "version", "version_title", "dataset_slug", "dataset_downloads",
-        "version_publication_date", "software_hash_id", "partition_key",
-    )
+    return _zoneless(snapshots.build_core_zenodo_logs(files.archive_records(docs, 2), Site()))
 
 
 def client_log_build(spark: SparkSession, d: str) -> DataFrame:
@@ -282,6 +319,54 @@ _IPS = """ips as (select '10.0.0.' || c_custkey as ip, 'AS' || c_custkey as asn,
   from customer left join nation on c_nationkey = n_nationkey
     left join region on n_regionkey = r_regionkey)"""
 
+def _slots_sql() -> str:
+    """The filter slots of a record with ``event_id % 9`` filters."""
+    out = []
+    for i in range(FILTER_SLOTS):
+        suffix = f"_{i}" if i else ""
+        for part, value in (("field_name", f"'f{i + 1}'"), ("field_type", "'number'"), ("operation", "'equals'"), ("value", f"cast(event_id + {i + 1} as varchar)")):
+            out.append(f"case when event_type = 'purchase' and event_id % 9 > {i} then {value} end as params_filters_{part}{suffix}")
+    return ",\n    ".join(out)
+
+
+_VIEWER_TABLES = f"""with kept as (select *, strftime(ts, '%Y-%m-%d') as partition_key,
+    (event_type = 'signup' and event_id % 2 = 1) or (event_type = 'purchase' and event_id % 7 = 0) as dropped from events),
+flat as (select event_id, ts as timestamp, partition_key, cast(event_id as varchar) as insert_id,
+    case event_type when 'view' then 'searches' when 'click' then 'hits'
+      when 'purchase' then case when event_id % 2 = 1 then 'downloads' else 'previews' end
+      when 'signup' then 'user_settings_updates' when 'error' then 'log_ins' end as target,
+    case when event_type <> 'error' and user_id % 10 > 0 then 'u' || user_id end as user_id,
+    case when event_type <> 'error' and user_id % 10 > 0 then 'd' || user_id % 5 end as user_domain,
+    case when event_type = 'view' then 'q ' || event_id end as query,
+    case when event_type in ('view', 'purchase') then '/u/' || event_id end as url,
+    case when event_type = 'click' then value end as score,
+    case when event_type = 'click' then 'n' || event_id end as name, case when event_type = 'click' then 'a,b' end as tags,
+    case when event_type = 'signup' then event_id % 3 = 0 end as accepted,
+    case when event_type = 'signup' then event_id % 4 = 0 end as newsletter,
+    case when event_type = 'signup' then event_id % 5 = 0 end as outreach,
+    case when event_type = 'purchase' then 't' end as params_name,
+    case when event_type = 'purchase' then cast(1 as int) end as params_page,
+    case when event_type = 'purchase' then cast(100 as int) end as params_per_page,
+    {_slots_sql()},
+    case when event_type = 'purchase' then '[' || array_to_string(list_transform(range(1, event_id % 9 + 1),
+      lambda i: '{{"fieldName":"f' || i || '","fieldType":"number","operation":"equals","value":' || (event_id + i) || '}}'),
+      ',') || ']' end as params_filters,
+    case when event_type = 'error' then '/callback?next=/search?q%3Dk+' || event_id end as text_payload,
+    case when event_type = 'error' then 'k ' || event_id end as log_in_query
+  from kept where not dropped
+    and (event_type = 'error' or (event_id % 50 > 0
+      and not (event_type = 'purchase' and event_id % 9 > 0 and event_id % 101 = 0)))),
+gaps as (select *, case when timestamp - lag(timestamp) over (partition by partition_key, user_id order by timestamp, event_id)
+    > interval 30 minute then 1 else 0 end as gap from flat),
+numbered as (select *, 1 + sum(gap) over (partition by partition_key, user_id order by timestamp, event_id
+    rows between unbounded preceding and current row) as number from gaps)
+select * exclude (event_id, gap, number, user_id, user_domain),
+  case when target not in ('hits', 'log_ins') then user_id end as user_id,
+  case when target not in ('hits', 'log_ins') then user_domain end as user_domain,
+  case when user_id is not null and target in ('searches', 'previews', 'downloads')
+    then partition_key || '-s' || cast(number as bigint) end as session_id
+from numbered where target <> 'user_settings_updates' or user_id is not null"""
+
 ORACLE = {
     "object_log_build": f"""with {ACCESS_LOG_SQL}, {_IPS},
 typed as (select 'R' || id || '_' || coalesce(operation, 'REST.HEAD.OBJECT') || '_' || key as id,
@@ -326,11 +411,7 @@ numbered as (select *, 1 + sum(gap) over (partition by pk, user_id order by ts,
 select cast(event_id as varchar) as insert_id, event, user_id, score, params_page, params_filters_value,
   params_filters_field_name_6, params_filters, log_in_query,
   case when user_id is not null then pk || '-s' || cast(number as bigint) end as session_id from numbered""",
-    "viewer_tables_build": """select strftime(ts, '%Y-%m-%d') as partition_key, count(*) as n,
-  case event_type when 'view' then 'searches' when 'click' then 'hits' when 'purchase' then 'previews'
-    when 'signup' then 'downloads' else case when event_id % 2 = 0 then 'log_ins' else 'user_settings_updates' end
-  end as target
-from events where not (event_type = 'error' and event_id % 2 = 1 and user_id % 10 = 0) group by all""",
+    "viewer_tables_build": _VIEWER_TABLES,
     "traffic_series_build": """select cast(ts as date) as metrics_date, cast(count(*) as integer) as total_views,
   cast(max(user_id) as integer) as unique_views,
   strftime(date_trunc('week', cast(ts as date)), '%Y-%m-%d') as partition_key
@@ -338,22 +419,34 @@ from events group by 1, 4""",
     "popular_build": """select cast(ts as date) as metrics_date, event_type as referrer,
   cast(count(*) as integer) as total_referrals, cast(max(user_id) as integer) as unique_referrals,
   strftime(cast(ts as date), '%Y-%m-%d') as partition_key from events group by 1, 2, 5""",
-    "stargazers_build": """select cast(c_custkey as integer) as id, c_name as login, c_nationkey = 1 as site_admin,
-  timestamp '2024-05-01 10:00:00' as starred_at from customer""",
-    "forks_build": """select cast(c_custkey as integer) as id, c_nationkey as size_kb,
-  '{"login":"' || c_name || '"}' as owner, '["' || c_mktsegment || '"]' as topics,
-  cast(null as varchar) as license, date '2024-05-01' as created from customer""",
-    "dataset_snapshot_build": """select date '2000-01-01' + cast(c_custkey as integer) as metrics_date,
-  case when c_custkey % 3 > 0 or c_nationkey > 5 then c_nationkey end as total_views, c_name as title,
-  case when c_custkey % 3 = 0 then 'True' end as is_private,
-  case when c_custkey % 3 = 2 then '["k"]' end as keywords,
+    "stargazers_build": f"select {_values_sql('core_github_stargazers', _STARGAZER, {})} from customer",
+    "forks_build": "select {} from customer".format(_values_sql("core_github_forks", _FORK, {
+        "owner": """'{"login":"' || c_name || '"}'""", "topics": """'["' || c_mktsegment || '"]'""",
+    })),
+    "dataset_snapshot_build": """select cast(date '2000-01-01' + cast(c_custkey as integer) as timestamp) as metrics_date,
+  case when c_custkey % 3 > 0 or c_nationkey > 5 then c_nationkey end as total_views,
+  case when c_custkey % 3 = 2 then c_nationkey end as total_downloads,
+  case when c_custkey % 3 = 1 then cast(3 as int) end as total_votes, case when c_custkey % 3 = 1 then cast(0.75 as double) end as usability_rating,
+  case when c_custkey % 3 = 0 then 'slug' end as dataset_name, case when c_custkey % 3 = 0 then 'owner' end as owner, c_name as title,
+  case when c_custkey % 3 = 1 then 'sub' end as subtitle, case when c_custkey % 3 = 2 then 'text' end as description,
+  case when c_custkey % 3 = 2 then '["k"]' end as keywords, case when c_custkey % 3 = 1 then '7' end as dataset_id,
+  case when c_custkey % 3 = 0 then 'True' end as is_private, case when c_custkey % 3 = 2 then '[{"name":"l"}]' end as licenses,
+  case when c_custkey % 3 = 2 then '[{"username":"c"}]' end as collaborators, case when c_custkey % 3 = 2 then '[]' end as data,
   strftime(date '2000-01-01' + cast(c_custkey as integer), '%Y-%m-%d') as partition_key from customer""",
-    "archive_stats_build": """select date '2024-01-01' + p_size as metrics_date,
-  cast(p_partkey * 2 + which as integer) as version_id, p_brand as version, p_name as version_title,
-  'eia860' as dataset_slug, p_size as dataset_downloads, date '2024-12-31' as version_publication_date,
-  case when which = 0 then 'old' when p_partkey % 2 = 0 then 'new' end as software_hash_id,
-  strftime(date '2024-01-01' + p_size - back, '%Y-%m-%d') as partition_key
-from part, (values (0), (1)) w(which), (values (0), (1)) b(back)""",
+    "archive_stats_build": """with r as (
+  select *, cast(p_partkey * 2 + which as integer) as v
+  from part, (values (0), (1)) w(which), (values (0), (1)) b(back))
+select date '2024-01-01' + p_size as metrics_date, p_brand as version, 'eia860' as dataset_slug, p_size as dataset_downloads,
+  p_size * 2 as dataset_unique_downloads, p_size * 3 as dataset_views, p_size * 4 as dataset_unique_views,
+  p_size * 5 as version_downloads, p_size * 6 as version_unique_downloads, p_size * 7 as version_views, p_size * 8 as version_unique_views,
+  p_name as version_title, v as version_id, v as version_record_id, 4127026 as concept_record_id,
+  timestamp '2025-01-01 01:00:00.5' as version_creation_date, timestamp '2025-01-02 02:00:00.5' as version_last_modified_date,
+  timestamp '2025-01-03 03:00:00.5' as version_last_updated_date, date '2024-12-31' as version_publication_date,
+  'doi ' || v as version_doi, 'conceptdoi ' || v as concept_record_doi, 'doi_url ' || v as version_doi_url,
+  'status ' || v as version_status, 'state ' || v as version_state, v % 2 = 0 as version_submitted, p_type as version_description,
+  strftime(date '2024-01-01' + p_size - back, '%Y-%m-%d') as partition_key,
+  case when which = 0 then 'old' when p_partkey % 2 = 0 then 'new' end as software_hash_id
+from r""",
     "client_log_build": f"""with {ACCESS_LOG_SQL}, {_IPS}
 select cast(id as varchar) as insert_id, time as timestamp,
   case when remote_ip <> '-' then remote_ip end as remote_ip, org as remote_ip_org, 200 as response_status,

@@ -43,7 +43,6 @@ def sessionize_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def event_demux(spark: SparkSession, d: str) -> DataFrame:
     """Five event tables, each with its own columns, put side by side under a tag."""
-    events = read(spark, d, "events").where(F.col("event_type").isNotNull())
     wanted = {
         "signup": ["event_id", "ts", "props"],
         "view": ["event_id", "user_id", "ts"],
@@ -51,11 +50,7 @@ def event_demux(spark: SparkSession, d: str) -> DataFrame:
         "purchase": ["event_id", "user_id", "ts", "value", "props"],
         "error": ["event_id", "user_id", "ts", "props"],
     }
-    frames = [
-        events.where(F.col("event_type") == kind).select(F.lit(kind).alias("target"), *columns)
-        for kind, columns in wanted.items()
-    ]
-    return C.union_all(*frames)
+    return C.demux(read(spark, d, "events"), "event_type", wanted)
 
 
 def mode_per_group(spark: SparkSession, d: str) -> DataFrame:
@@ -143,12 +138,9 @@ def _rules() -> dict:
 
 
 def validate_records(spark: SparkSession, d: str) -> DataFrame:
-    events = read(spark, d, "events")
-    good = quality.accepted(events, _rules()).select("event_id", F.lit("").alias("broken"))
-    bad = quality.quarantined(events, _rules()).select(
-        "event_id", F.array_join(quality.VIOLATIONS, ", ").alias("broken")
-    )
-    return good.unionByName(bad)
+    """Accepted and quarantined records, told apart by the rules they break, which are evaluated once a record."""
+    events = quality.judged(read(spark, d, "events"), _rules())
+    return events.select("event_id", F.array_join(quality.VIOLATIONS, ", ").alias("broken"))
 
 
 EVENT_TABLE = Table(

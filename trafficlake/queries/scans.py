@@ -102,6 +102,12 @@ class Scratch:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         self.path = f"{self.root.rstrip('/')}/query-{uuid.uuid4().hex}"
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` evaluated once and read back."""
+        path = f"{self.path}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def finish(self, result: DataFrame) -> DataFrame:
         context = self.spark.sparkContext
         if not context._jsc.sc().getCheckpointDir().isDefined():

@@ -5,8 +5,7 @@ are written, one manifest is published that names the folder of every table and
 one for whatever this one does not replace. Readers take the newest manifest, so they see all tables of a load or none,
 and a load that is killed in the middle leaves them what they had.
 
-The manifest is written under another name and renamed to its number, which fails if another load has taken that number. Such a
-load merges its days into the newer manifest and tries the next one.
+A load that finds its manifest's number taken merges its days into the newer manifest and tries the next number.
 """
 
 from __future__ import annotations
@@ -30,6 +29,52 @@ def _resolve(to: str | Table) -> Table:
     return table(to) if isinstance(to, str) else to
 
 
+class Versions:
+    """A state, a JSON value, in one numbered file a version; the newest is the current one.
+
+    A version is written under another name and renamed to its number, which fails if that number is taken: of two
+    writers that started from the same state one has to look again.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def system(self):
+        return self.path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def numbers(self) -> list[int]:
+        return sorted(int(name[:-5]) for name in file_names(self.spark, self.folder) if name.endswith(".json"))
+
+    def load(self, number: int):
+        text = self.spark.read.text(f"{self.folder}/{number:012d}.json", wholetext=True).first()[0]
+        return json.loads(text)
+
+    def newest(self) -> tuple[int, object]:
+        """(number, state); (0, None) if there is none."""
+        number = max(self.numbers(), default=0)
+        return (number, self.load(number)) if number else (0, None)
+
+    def put(self, number: int, state) -> bool:
+        """Make ``state`` the version of this number; False if there is one."""
+        system = self.system()
+        system.mkdirs(self.path(self.folder))
+        draft, target = self.path(f"{self.folder}/.draft-{uuid.uuid4().hex}"), self.path(f"{self.folder}/{number:012d}.json")
+        stream = system.create(draft, False)
+        stream.write(bytearray(json.dumps(state).encode()))
+        stream.close()
+        if not system.exists(target) and system.rename(draft, target):
+            return True
+        system.delete(draft, False)
+        return False
+
+    def drop(self, numbers: Sequence[int]) -> None:
+        for n in numbers:
+            self.system().delete(self.path(f"{self.folder}/{n:012d}.json"), False)
+
+
 class Manifest:
     """Which folder holds each part (day) of each table."""
 
@@ -46,36 +91,18 @@ class Tables:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
-        self.folder = f"{self.base}/{MANIFESTS}"
-
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _system(self):
-        return self._path(self.base).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        self.versions = Versions(spark, f"{self.base}/{MANIFESTS}")
 
     def newest(self) -> Manifest:
-        numbers = [int(name[:-5]) for name in file_names(self.spark, self.folder) if name.endswith(".json")]
-        if not numbers:
-            return Manifest()
-        path = f"{self.folder}/{max(numbers):012d}.json"
-        text = self.spark.read.text(path, wholetext=True).first()[0]
-        return Manifest(max(numbers), json.loads(text))
+        number, parts = self.versions.newest()
+        return Manifest(number, parts)
 
     def publish(self, parts: dict[str, dict[str, str]]) -> Manifest:
         """Make these parts the current ones, all at once."""
-        system = self._system()
-        system.mkdirs(self._path(self.folder))
         while True:
             manifest = self.newest().with_parts(parts)
-            draft = self._path(f"{self.folder}/.draft-{uuid.uuid4().hex}")
-            stream = system.create(draft, False)
-            stream.write(bytearray(json.dumps(manifest.parts).encode()))
-            stream.close()
-            target = self._path(f"{self.folder}/{manifest.number:012d}.json")
-            if not system.exists(target) and system.rename(draft, target):
+            if self.versions.put(manifest.number, manifest.parts):
                 return manifest
-            system.delete(draft, False)
 
     def read(self, to: str | Table, first: str | None = None, last: str | None = None, at: Manifest | None = None) -> DataFrame:
         """A published table, optionally from day ``first`` to ``last``; only the folders of those days are listed."""
@@ -106,20 +133,16 @@ class Tables:
 
         Not while a release is being written or an old one read.
         """
-        system, newest = self._system(), self.newest()
+        newest, system = self.newest(), self.versions.system()
         numbers = range(max(1, newest.number - keep + 1), newest.number + 1)
-        kept: set[str] = set()
-        for n in numbers:
-            text = self.spark.read.text(f"{self.folder}/{n:012d}.json", wholetext=True).first()[0]
-            kept |= {p for parts in json.loads(text).values() for p in parts.values()}
+        kept = {p for n in numbers for parts in self.versions.load(n).values() for p in parts.values()}
         gone = []
         for name in newest.parts:
             for release in file_names(self.spark, table_path(self.base, name)):
                 if not any(p == f"{name}/{release}" or p.startswith(f"{name}/{release}/") for p in kept):
                     gone.append(f"{name}/{release}")
-                    system.delete(self._path(f"{self.base}/{name}/{release}"), True)
-        for n in range(1, min(numbers, default=1)):
-            system.delete(self._path(f"{self.folder}/{n:012d}.json"), False)
+                    system.delete(self.versions.path(f"{self.base}/{name}/{release}"), True)
+        self.versions.drop([n for n in self.versions.numbers() if n < min(numbers, default=1)])
         return gone
 
 
