@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -58,9 +59,7 @@ def test_exact_and_edited_copies(spark):
     low = lambda t: "".join(c if c not in ",." else " " for c in t.lower()).split()
     for (d, i), score in list(got.items())[:40]:
         assert score == plain_alignment(low(texts[d]), low(tests[i]))
-    parts = dc.blocks(df, bench)
-    flagged = df.where(dc.worst_score(F.col("text"), parts) >= dc.THRESHOLD)
-    assert {r.doc_id for r in flagged.collect()} == {d for d, _ in want}
+    assert sorted(r.doc_id for r in dc.clean(df, bench).collect()) == sorted({d for d, _ in docs} - {d for d, _ in want})
 
 
 def test_strongly_edited_copies_like_full_alignment(spark):
@@ -81,13 +80,37 @@ def test_strongly_edited_copies_like_full_alignment(spark):
     assert {(r.doc_id, r.item_id): r.score for r in got.collect()} == want
 
 
-def test_blocks_of_items_change_nothing(spark, monkeypatch):
-    items, docs, want = frames(spark)
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    monkeypatch.setattr(dc, "WORDS_PER_BLOCK", 250)
-    assert len(dc.blocks(df, bench)) > 1
+def test_common_runs_are_seeds_only_of_items_that_have_few_others(spark):
+    """A phrase in every item and every document seeds nothing, but an item made of such phrases is found."""
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(5))
+    phrase, other = "this is what all of them say", "and this too is in all"
+    items = [(i, f"{' '.join(word() for _ in range(20))} {phrase} {other}") for i in range(dc.COMMON + 10)] + [(500, f"{phrase} {other}")]
+    docs = [(d, f"{word()} {phrase} {word()} {other}") for d in range(200)] + [(300, items[3][1]), (301, f"x {phrase} {other} y")]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    words = spark.createDataFrame([(i, [int(x) for x in dc.words_of(t).view(np.int64)]) for i, t in items], "uid long, words array<long>")
+    kept = {r.uid: r["count"] for r in dc.seeds_of(words).groupBy("uid").count().collect()}
+    assert kept[500] == 11 and kept[3] < len(items[3][1].split()) - 10
+    want = {(d, i) for d, t in docs for i, x in items if plain_alignment(t.split(), x.split()) >= dc.THRESHOLD}
     assert {(r.doc_id, r.item_id) for r in dc.contaminated(df, bench).collect()} == want
+    assert want == {(d, 500) for d, _ in docs} | {(300, 3)}
+
+
+def test_one_seed_in_a_third_of_all_rows(spark):
+    """Hot documents and hot seeds over many partitions, with joins forced to shuffle."""
+    item = "one two three four five six"
+    rows = [(k % 7, f"{item} " * 2 if k % 3 == 0 else f"word{k} and{k} more{k}") for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(13)
+    bench = spark.createDataFrame([(1, item), (2, "nothing of this kind here")], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = Counter(map(tuple, dc.contaminated(df, bench).collect()))
+        left = dc.clean(df, bench).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == Counter((d, 1, 1.0) for d, t in rows if t.startswith("one")) and sum(got.values()) == 300
+    assert Counter(map(tuple, left)) == Counter(r for r in rows if not r[1].startswith("one"))
 
 
 def test_edge_rows(spark):

@@ -7,7 +7,8 @@ than ``SHORT`` parts goes through a heap instead, which gives the same merges wi
 
 Words repeat, so each Python worker keeps the ids of words it has met, packed in bytes. That memory is bounded: it is
 emptied when full, which changes speed only. Whole texts are encoded; a NULL text counts as empty and has no ids. Rows repeat,
-tie or share ids freely: each row is encoded on its own, and there is no shuffle.
+tie or share ids freely: each row is encoded on its own, and there is no shuffle. An empty table gives an empty result; columns
+named as a result are replaced, others are kept.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ The share of equal bins, freed of the matches that so few bits make by chance, e
 shingle sets with a standard error of about 0.02.
 
 A text without words, NULL included, has the empty fingerprint, alike (1) to itself and unlike (0) all others. Equal
-texts have equal fingerprints, on every machine.
+texts have equal fingerprints, on every machine. An empty table gives an empty result, texts of any length are taken whole, and other columns
+are not read, whatever their names.
 
 ``with_next`` pairs each document with the one that follows by key (then by text hash; after the last comes the first)
 in a single shuffle of the texts: the ranges of keys are known beforehand from the keys alone, and the first document

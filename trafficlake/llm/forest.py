@@ -16,7 +16,8 @@ Two documents are linked if the Jaccard similarity of their sets of five-word sh
 
 Nothing is capped: the number of links of a document counts every other document it is linked to. A NULL text counts
 as empty; texts without words are alike (similarity 1) and unlike all others. Rows that repeat, or that share an id, are
-documents of their own.
+documents of their own. An empty table gives an empty result, texts of any length are taken whole, and other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations

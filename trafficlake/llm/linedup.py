@@ -8,7 +8,8 @@ lines are removed; the other lines stay in order.
 Windows of one document may repeat each other too: of ``a a a a a a`` the lines before the first later window stay.
 Lines are compared as they are, case and blanks included; lines of blanks alone count as empty. Documents of under three lines have no window and stay as
 they are, as do NULL and empty texts. Documents are ordered by their key, then by the hash of their text; rows with the
-same key and text are one document and get the same result. A NULL key sorts first.
+same key and text are one document and get the same result. A NULL key sorts first. An empty table gives an empty result;
+columns named as a result are replaced, others are kept.
 
 One shuffle carries the hashes of windows, one the windows that are repeated (a heavy window is split by the skew join,
 its minimum is combined before the shuffle), and one the texts.

@@ -11,7 +11,8 @@ Kinds and validation: ``card`` 13 to 19 digits with a valid Luhn digit; ``ssn``
 North American or international with +; ``ip`` dotted quads of octets; ``date`` yyyy-mm-dd, dd.mm.yyyy or mm/dd/yyyy from
 1900-01-01 to 2100-01-02; ``email`` letters and digits of the local part. What fails its validation stays as it is.
 
-NULL texts stay NULL; texts without values are not touched. Every row is worked on by itself, without a shuffle.
+NULL texts stay NULL; texts without values are not touched. Every row is worked on by itself, without a shuffle: repeated rows
+give equal results, an empty table an empty one. Texts of any length are read whole; other columns are kept as they are.
 """
 
 from __future__ import annotations
