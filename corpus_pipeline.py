@@ -16,7 +16,10 @@ from trafficlake.llm.queries import WORD_BPE
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learnt from the labels, takes as good."""
+    """Documents that the classifier, learnt from the labels, takes as good.
+
+    NULL and empty texts score as texts without any feature; repeated rows stay or go together; without labels all stay.
+    """
     model = quality.train(docs, read(spark, sf_dir, "labels"))
     return docs.where(quality.score_column(F.col("text"), model) >= 0.5)
 
@@ -27,18 +30,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest id."""
+    """One document of each class of near duplicates, the one with the smallest id. All texts without words are one class."""
     return forest.keep_one(docs)
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, edited or not."""
-    parts = decontaminate.blocks(docs, read(spark, sf_dir, "benchmark"))
-    return docs.where(decontaminate.worst_score(F.col("text"), parts) < decontaminate.THRESHOLD)
+    """Documents that hold no benchmark item, edited or not. NULL and empty texts hold none, and NULL or empty items are in none."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every kept document with its token ids, and a hash of what they decode to."""
+    """Every kept document with its token ids, and a hash of what they decode to. A NULL text has no ids and decodes to nothing.
+
+    Empty tables give empty results in all stages, and texts of any length are worked on whole.
+    """
     out = bpe.code_documents(docs, public_tokenizers.path(WORD_BPE))
     return out.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 

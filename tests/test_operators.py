@@ -2,6 +2,8 @@
 
 import datetime as dt
 import random
+import time
+import uuid
 
 import numpy as np
 import pytest
@@ -11,9 +13,9 @@ from pyspark.sql import types as T
 from trafficlake.functions import nested, numbers, text, times
 from trafficlake.operators import columns as C
 from trafficlake.operators import dedup, joins, quality, reports, sessions, summaries
-from trafficlake.operators.enrich import IP_RECORD, resolve_addresses
-from trafficlake.schemas import REGISTRY, Table, UnknownTableError
-from trafficlake.sinks.append import append_new
+from trafficlake.operators.enrich import IP_RECORD, resolve_addresses, resolve_durably
+from trafficlake.schemas import REGISTRY, Table, UnknownTableError, struct_of
+from trafficlake.sinks.append import append_new, new_rows
 from trafficlake.sinks.parquet import read_table, write_table
 from trafficlake.site import Site
 from trafficlake.sources.tables import read_jdbc_table
@@ -124,6 +126,10 @@ def test_access_log_time(spark):
     assert one(spark, at.alias("t")).t == dt.datetime(2019, 2, 6, 1, 30, 38)
     bad = times.access_log_time(F.lit("-"), F.lit("-"))
     assert one(spark, bad.alias("t")).t is None
+    assert one(spark, times.day_start(F.lit("2024-02-29")).alias("t")).t == dt.datetime(2024, 2, 29)
+    assert one(spark, times.day_start(F.lit(None).cast("string")).alias("t")).t is None
+    with pytest.raises(Exception, match="unreadable timestamp: 2024-02-30"):
+        one(spark, times.day_start(F.lit("2024-02-30")).alias("t"))
 
 
 def test_json_list(spark):
@@ -219,6 +225,49 @@ def test_resolve_distinct_addresses(spark):
     assert len(IP_RECORD.split(", ")) == 14
 
 
+def test_lookup_is_taken_up_where_it_failed(spark, tmp_path):
+    logs = spark.createDataFrame([(f"10.0.0.{i % 40}",) for i in range(200)] + [(None,)], "remote_ip string")
+    store, asked = str(tmp_path / "ips"), tmp_path / "asked"
+    asked.mkdir()
+
+    def lookup(batch, limit):
+        if len(list(asked.iterdir())) >= limit:
+            raise ConnectionError("quota")
+        (asked / uuid.uuid4().hex).write_text("\n".join(batch))
+        return [{"ip": ip, "org": f"AS1 {ip}"} for ip in batch]
+
+    def go(limit):
+        return resolve_durably(logs, lambda b: lookup(b, limit), store, call_size=8, tries=2, pause=0.01)
+
+    with pytest.raises(Exception, match="quota"):
+        go(3)
+    told = spark.read.parquet(store).count()
+    assert 0 < told < 40
+    assert go(100) == 40 - told and go(100) == 0
+    calls = [line for f in asked.iterdir() for line in f.read_text().split()]
+    assert sorted(calls) == sorted({f"10.0.0.{i}" for i in range(40)})  # each address asked once
+    assert {r.ip: r.org for r in spark.read.parquet(store).collect()} == {ip: f"AS1 {ip}" for ip in calls}
+    start = time.monotonic()
+    other = spark.createDataFrame([(f"11.0.0.{i}",) for i in range(3)], "remote_ip string")
+    assert resolve_durably(other, lambda b: lookup(b, 99), store, call_size=1, calls_per_second=2) == 3
+    assert time.monotonic() - start >= 1.0
+
+
+def test_append_of_fresh_keys_reads_no_stored_key(spark, tmp_path):
+    target = Table("fresh", struct_of("n BIGINT, v STRING"), ("n",))
+    frame = lambda *ids: spark.createDataFrame([(i, "x") for i in ids], "n long, v string")
+    assert append_new(frame(*range(100)), str(tmp_path), target) == 100
+    new = new_rows(frame(200, 300), str(tmp_path), target)
+    new.collect()
+    scans = [line for line in new._jdf.queryExecution().toString().splitlines() if "FileScan parquet" in line]
+    assert any("GreaterThanOrEqual(n,200)" in line and "LessThanOrEqual(n,300)" in line for line in scans)
+    assert append_new(frame(99, 100, 101), str(tmp_path), target) == 2
+    assert append_new(frame(5, 101), str(tmp_path), target) == 0 and append_new(frame(), str(tmp_path), target) == 0
+    with pytest.raises(Exception, match="fresh: key repeats"):
+        append_new(frame(500, 500), str(tmp_path), target)
+    assert spark.read.parquet(f"{tmp_path}/fresh").count() == 102
+
+
 # --- quality ------------------------------------------------------------------------
 
 
@@ -227,9 +276,14 @@ def test_unique_and_mapped(spark):
     quality.require_unique(df, ["k", "n"])
     with pytest.raises(quality.DataQualityError):
         quality.require_unique(df, ["k"])
-    assert quality.unique_or_fail(df, ["k", "n"]).count() == 3
-    with pytest.raises(Exception, match="key repeats.*a"):
-        quality.unique_or_fail(df, ["k"]).collect()
+    for check in (quality.unique_or_fail, quality.unique_by_counts):
+        assert check(df, ["k", "n"]).count() == 3
+        for use in (lambda d: d.collect(), lambda d: d.count(), lambda d: d.select("n").collect(), lambda d: d.select(F.lit(1)).collect()):
+            with pytest.raises(Exception, match="key repeats.*a"):
+                use(check(df, ["k"]))
+    quality.require_balance("x", 3, {"a": 1, "b": 2})
+    with pytest.raises(quality.DataQualityError, match="3 rows read"):
+        quality.require_balance("x", 3, {"a": 1, "b": 1})
     known = spark.createDataFrame([("a",)], "id string")
     assert [r.k for r in quality.unmapped(df, "k", known, "id").collect()] == [None]
     named = df.select(quality.mapped_or_fail(F.col("k"), joins.map_values(F.col("k"), {"a": "A"}), "k").alias("m"))
@@ -269,24 +323,28 @@ def test_quantiles_are_exact(spark, kind):
         low, high = ordered[int(at)], ordered[min(int(at) + 1, len(ordered) - 1)]
         want.append(low if at == int(at) else low + (high - low) * (at - int(at)))
     assert np.allclose(got, want, rtol=1e-12)
-    passes = []
-    numbers = df.where("v is not null and not isnan(v)").withColumn("image", reports._image(F.col("v")))
-    reports._kth_values(_Counted(numbers, passes), range(len(values)))
-    assert 1 <= len(passes) <= 4
-
 
-class _Counted:
-    """A frame that notes how often it is read for a pass."""
 
-    def __init__(self, df, passes):
-        self.df, self.passes = df, passes
-
-    def where(self, *a):
-        return _Counted(self.df.where(*a), self.passes)
-
-    def groupBy(self, *a):  # noqa: N802
-        self.passes.append(a)
-        return self.df.groupBy(*a)
+def test_quantiles_of_many_values_in_two_passes(spark, tmp_path, monkeypatch):
+    """Brackets, gaps between them and the search inside, with almost nothing allowed on the driver."""
+    for name, value in (("COLLECTED", 20), ("SPLITS", 4), ("SKETCH", 50)):
+        monkeypatch.setattr(reports, name, value)
+    rng = np.random.default_rng(8)
+    values = np.concatenate((rng.normal(size=3000), np.full(2500, 0.25), [np.inf, -np.inf], np.exp(9 * rng.normal(size=800))))
+    rng.shuffle(values)
+    spark.createDataFrame([(float(v),) for v in values], "v double").write.parquet(str(tmp_path / "v"))
+    df = spark.read.parquet(str(tmp_path / "v"))
+    read = df.sparkSession.sparkContext.accumulator(0)
+    counted = df.mapInPandas(lambda batches: (b for b in batches if read.add(len(b)) is None), "v double")
+    probabilities = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
+    got = reports.quantiles(counted, "v", probabilities)
+    ordered = np.sort(values)
+    for p, found in zip(probabilities, got, strict=True):
+        at = p * (len(ordered) - 1)
+        low, high = ordered[int(at)], ordered[min(int(at) + 1, len(ordered) - 1)]
+        assert found == low if at == int(at) else np.isclose(found, low + (high - low) * (at - int(at)), rtol=1e-12)
+    assert read.value == 2 * len(values)
+    assert reports.quantiles(df.limit(0), "v") == [None] * 3
 
 
 def test_resample_fills_gaps(spark):

@@ -1,5 +1,7 @@
 """Tables of a load appear together, or not at all."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 from test_sources import SITE, ips, object_log  # noqa: F401
@@ -76,3 +78,27 @@ def test_whole_load(spark, tmp_path, object_log, ips):  # noqa: F811
         stored = loads.read_table(spark, plain, name)
         assert sorted(map(str, tables.read(name).collect())) == sorted(map(str, stored.collect()))
     assert load.written["core_s3_logs"] == tables.read("core_s3_logs").count() == 14
+
+
+def test_sources_at_the_same_time(spark, tmp_path, monkeypatch):
+    meet = threading.Barrier(2, timeout=60)
+
+    def source(name, fails=False):
+        def load(part):
+            meet.wait()  # comes back only if another source runs at the same time
+            if fails:
+                raise ValueError("no data")
+            part.write({name: spark.createDataFrame([("1",)], "id string")})
+            return [name]
+
+        return load
+
+    sources = {"a": source("core_github_forks"), "b": source("core_github_stargazers", fails=True)}
+    monkeypatch.setattr(loads, "DAILY", sources)
+    monkeypatch.setattr(loads, "FULL_HISTORY", {})
+    load = loads.Load(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    with pytest.raises(loads.LoadsFailedError, match="b: no data") as failed:
+        loads.run_together(load, publish=True, at_once=2)
+    assert failed.value.done == {"a": ["core_github_forks"]} and set(failed.value.errors) == {"b"}
+    tables = Tables(spark, load.target)
+    assert tables.read("core_github_forks").count() == 1 and tables.read("core_github_stargazers").count() == 0

@@ -76,6 +76,14 @@ def by(df, key="request_id"):
     return {r[key]: r for r in df.collect()}
 
 
+def test_unreadable_time_fails_the_load(spark, tmp_path, ips):
+    for time in ("06-Feb-2019:00:00:38", "-"):
+        root = str(tmp_path / f"log{time[0]}")
+        put(f"{root}/2026-02-25-00-10", line() + line("R2", time=time))
+        with pytest.raises(PySparkException, match="unreadable timestamp"):
+            objectlog.build_core_s3_logs(files.object_log(spark, root), ips).collect()
+
+
 def test_object_log_to_typed_rows(spark, object_log, ips):
     raw = files.object_log(spark, object_log)
     assert raw.count() == 17

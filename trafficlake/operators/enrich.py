@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +13,8 @@ from trafficlake.functions import text
 from trafficlake.operators import columns as C
 from trafficlake.operators.dedup import distinct_values
 from trafficlake.operators.joins import many_to_one, new_by_key
+from trafficlake.session import Metrics, Staging
+from trafficlake.sinks.append import path_exists
 
 # Fields of an IP record that are looked up but not kept.
 UNUSED_IP_FIELDS = (
@@ -79,3 +82,54 @@ def resolve_addresses(
             yield pd.DataFrame(found, columns=fields, dtype=object)
 
     return addresses.mapInPandas(resolve, IP_RECORD)
+
+
+def resolve_durably(
+    logs: DataFrame,
+    lookup: Callable[[list[str]], list[dict]],
+    store: str,
+    column: str = "remote_ip",
+    call_size: int = 500,
+    calls_per_second: float | None = None,
+    tries: int = 5,
+    pause: float = 1.0,
+) -> int:
+    """Look up the addresses in ``logs`` that the dimension stored at ``store`` lacks, and add them to it; returns how many.
+
+    For services where each call counts. Addresses go in buckets of about ``call_size`` by their hash. A bucket is one call, made
+    by one task, and its answers are stored before the next bucket is asked, at ``calls_per_second`` at most. So a load
+    that fails has stored all it was told, and the next one asks only for the rest. A failed call is repeated up to ``tries``
+    times, after pauses that double. (A task whose executor is lost between answer and commit asks again.)
+    """
+    spark = logs.sparkSession
+    addresses = distinct_values(logs, column).withColumnRenamed(column, "ip")
+    if path_exists(spark, store):
+        addresses = new_by_key(addresses, spark.read.schema(IP_RECORD).parquet(store), ["ip"])
+    fields = [part.split()[0] for part in IP_RECORD.split(", ")]
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked = [ip for batch in batches for ip in batch["ip"]]
+        for attempt in range(tries) if asked else ():
+            try:
+                yield pd.DataFrame(lookup(asked), columns=fields, dtype=object)
+                return
+            except Exception:  # noqa: BLE001
+                if attempt + 1 == tries:
+                    raise
+                time.sleep(pause * 2**attempt)
+
+    added, asked_at = 0, 0.0
+    with Staging(spark) as stage:
+        wanted = stage.keep(addresses)
+        buckets = -(-wanted.count() // call_size)
+        if buckets:
+            wanted = stage.keep(wanted.withColumn("bucket", F.pmod(F.xxhash64("ip"), F.lit(buckets)).cast("int")), "bucket")
+        for k in range(buckets):
+            if calls_per_second:
+                time.sleep(max(0.0, asked_at + 1 / calls_per_second - time.monotonic()))
+            asked_at = time.monotonic()
+            part = wanted.where(F.col("bucket") == k).select("ip")
+            counted = Metrics(n=F.count(F.lit(1)))
+            counted.watch(part.coalesce(1).mapInPandas(ask, IP_RECORD)).write.mode("append").parquet(store)
+            added += counted["n"] or 0
+    return added

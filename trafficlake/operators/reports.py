@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trafficlake.functions import times
 from trafficlake.operators.columns import q
+from trafficlake.session import Staging
 
-RADIX_BITS = 16
+SKETCH = 10_000  # accuracy of the quantile sketch: one row in so many
+SPLITS = 256
+COLLECTED = 50_000  # counted values that may come to the driver
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
@@ -138,45 +142,85 @@ def load_report(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def _image(v: Column) -> Column:
-    """A double's 64 bits as a number in the same order; both zeros are one value."""
-    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), v + F.lit(0.0)).cast("bigint")
-    return F.when(bits < 0, F.bitwise_not(bits).bitwiseXOR(F.lit(-(2**63)))).otherwise(bits)
-
+def _bracket(wanted: float) -> tuple[float, float]:
+    """Shares at which a sketch's values, off by one in ``SKETCH`` rows at most, lie on either side of the wanted place."""
+    return max(0.0, wanted - 2 / SKETCH), min(1.0, wanted + 2 / SKETCH)
+
+
+def _kth(counts: DataFrame, rank: int) -> float:
+    """The value at a 0-based rank of a staged table of values (v) and how often they occur (n)."""
+    while True:
+        head = counts.orderBy("v").limit(COLLECTED + 1).collect()
+        if len(head) <= COLLECTED:
+            for row in head:
+                if rank < row["n"]:
+                    return row["v"]
+                rank -= row["n"]
+            raise ValueError("rank beyond the values")
+        # split where a sketch puts equal numbers of values, count the parts exactly, go on in one of them
+        shares = F.array(*[F.lit(k / SPLITS) for k in range(1, SPLITS)])
+        cuts = sorted(set(counts.agg(F.percentile_approx("v", shares, SKETCH)).first()[0]))
+        part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("v")))
+        sizes = {r["part"]: r["n"] for r in counts.groupBy(part.alias("part")).agg(F.sum("n").alias("n")).collect()}
+        for k in sorted(sizes):
+            if rank < sizes[k]:
+                counts = counts.where(part == k)
+                break
+            rank -= sizes[k]
+
+
+def _summary(numbers: DataFrame, probabilities: Sequence[float]) -> tuple[Row, list[float | None]]:
+    """(n, mean, min and max; the quantiles) of a column v, in two passes over it.
+
+    The first pass keeps a mergeable quantile sketch, which brackets each wanted rank between two values. The second counts
+    exactly how many rows lie in each gap between the brackets and how often each value inside them occurs; those counts,
+    a small share of the values, are staged and searched. No task ever holds all values.
+    """
+    shares = [x for p in probabilities for x in _bracket(p)]
+    first = numbers.agg(
+        F.count("v").alias("n"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"),
+        F.percentile_approx("v", F.array(*map(F.lit, shares)), SKETCH).alias("sketch"),
+    ).first()
+    n = first["n"]
+    if not n:
+        return first, [None] * len(probabilities)
+    bounds = [(first["sketch"][2 * i], first["sketch"][2 * i + 1]) for i in range(len(probabilities))]
+    if n <= COLLECTED:  # so few rows that a bracket could be narrower than the place between two of them
+        bounds = [(first["min"], first["max"])]
+    merged: list[list[float]] = []
+    for low, high in sorted(bounds):
+        if merged and low <= merged[-1][1]:
+            merged[-1][1] = max(high, merged[-1][1])
+        else:
+            merged.append([low, high])
+    inside = functools.reduce(operator.or_, [F.col("v").between(low, high) for low, high in merged])
+    # part 2k is the gap below bracket k, part 2k + 1 the bracket itself
+    part = functools.reduce(operator.add, [(F.col("v") >= low).cast("int") + (F.col("v") > high).cast("int") for low, high in merged])
+    with Staging(numbers.sparkSession) as stage:
+        counts = stage.keep(numbers.groupBy(part.alias("part"), F.when(inside, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n")), "part")
+        sizes = {int(r["part"]): r["n"] for r in counts.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+
+        def at(rank: int) -> float:
+            for k in range(2 * len(merged) + 1):
+                if rank < sizes.get(k, 0):
+                    if k % 2 == 0:
+                        raise ValueError("the sketch missed a rank")  # its error bound rules this out
+                    return _kth(counts.where(F.col("part") == k).select("v", "n"), rank)
+                rank -= sizes.get(k, 0)
+            raise ValueError("rank beyond the values")
+
+        positions = [p * (n - 1) for p in probabilities]
+        found = {r: at(r) for r in sorted({int(x) for x in positions} | {min(int(x) + 1, n - 1) for x in positions})}
+    out = []
+    for x in positions:
+        below, above = found[int(x)], found[min(int(x) + 1, n - 1)]
+        share = x - int(x)
+        out.append(below if share == 0 or below == above else below + (above - below) * share)
+    return first, out
 
-def _kth_values(numbers: DataFrame, ranks: Sequence[int]) -> dict[int, float]:
-    """Values at the wanted 0-based ranks of a frame (v, image).
 
-    Each pass counts the rows by the next ``RADIX_BITS`` bits below each prefix that holds a
-    wanted rank, so there are at most four passes, whatever the values. A pass brings back
-    at most 2^16 counts for each such prefix. A bucket of one value ends its ranks early.
-    """
-    found: dict[int, float] = {}
-    open_parts: dict[int | None, dict[int, int]] = {None: {r: r for r in ranks}}
-    shift = 64
-    while open_parts:
-        above, shift = shift, shift - RADIX_BITS
-        rows = numbers
-        if None not in open_parts:
-            rows = rows.where(F.shiftright("image", above).isin(*open_parts))
-        counted = (
-            rows.groupBy(F.shiftright("image", shift).alias("slot"))
-            .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-            .collect()
-        )
-        narrowed: dict[int | None, dict[int, int]] = {}
-        for prefix, wanted in open_parts.items():
-            before = 0
-            inside = [r for r in counted if prefix is None or r["slot"] >> RADIX_BITS == prefix]
-            for row in sorted(inside, key=lambda r: r["slot"]):
-                here = {k: at - before for k, at in wanted.items() if before <= at < before + row["n"]}
-                if here and row["low"] == row["high"]:
-                    found.update(dict.fromkeys(here, row["low"]))
-                elif here:
-                    narrowed[row["slot"]] = here
-                before += row["n"]
-        open_parts = narrowed
-    return found
+def _numbers(df: DataFrame, column: str) -> DataFrame:
+    return df.select(q(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
 
 
 def quantiles(
@@ -184,38 +228,18 @@ def quantiles(
 ) -> list[float | None]:
     """Exact quantiles, linear between neighbours, of a column with any number of rows.
 
-    The built-in exact percentile keeps every distinct value in one task; here the ranks are
-    found by counting, in at most four passes, the same way at every size. NULL and NaN
-    are left out; infinities are values like others.
+    NULL and NaN are left out; infinities are values like others.
     """
-    numbers = df.select(q(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
-    numbers = numbers.withColumn("image", _image(F.col("v")))
-    n = numbers.count()
-    if n == 0:
-        return [None] * len(probabilities)
-    positions = [p * (n - 1) for p in probabilities]
-    wanted = {int(x) for x in positions} | {min(int(x) + 1, n - 1) for x in positions}
-    at = _kth_values(numbers, sorted(wanted))
-    out = []
-    for x in positions:
-        below, above = at[int(x)], at[min(int(x) + 1, n - 1)]
-        part = x - int(x)
-        out.append(below if part == 0 or below == above else below + (above - below) * part)
-    return out
+    return _summary(_numbers(df, column), probabilities)[1]
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, min, quartiles and max of a numeric column, as one row."""
-    base = df.select(q(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
-    measures = [
-        F.count("v").alias("n"),
-        F.avg("v").alias("mean"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    ]
-    values = quantiles(df, column, [p for p, _ in _QUARTILES])
-    quarter = [F.lit(v).cast(T.DoubleType()).alias(n) for v, (_, n) in zip(values, _QUARTILES, strict=True)]
-    return base.agg(*measures).select("*", *quarter).select("n", "mean", "min", *[n for _, n in _QUARTILES], "max")
+    """Count, mean, min, quartiles and max of a numeric column, as one row; two passes over the input."""
+    first, values = _summary(_numbers(df, column), [p for p, _ in _QUARTILES])
+    row = (first["n"], first["mean"], first["min"], *values, first["max"])
+    names = ["n", "mean", "min", *[name for _, name in _QUARTILES], "max"]
+    schema = ", ".join(f"{name} {'bigint' if name == 'n' else 'double'}" for name in names)
+    return df.sparkSession.createDataFrame([row], schema)
 
 
 _QUARTILES = ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))

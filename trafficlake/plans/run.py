@@ -9,18 +9,20 @@ import argparse
 import importlib
 import logging
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlake.functions import times
-from trafficlake.operators.enrich import IP_RECORD, resolve_addresses
+from trafficlake.operators.enrich import IP_RECORD, resolve_durably
 from trafficlake.operators.quality import DataQualityError, require_balance, require_unique
 from trafficlake.operators.summaries import summaries_at_once, usage_cube
 from trafficlake.plans import objectlog, report, repository, requests, snapshots, viewer
 from trafficlake.schemas import FIRST_PARTITION, PARTITION_KEY, table
-from trafficlake.session import Staging, tune
+from trafficlake.session import Metrics, Staging, tune
 from trafficlake.sinks.append import append_new, path_exists
 from trafficlake.sinks.parquet import read_table, write_table
 from trafficlake.sinks.release import Release, Tables
@@ -43,6 +45,7 @@ class Load:
     strict: bool = False
     # looks up addresses that the stored dimension does not hold yet (see resolve_addresses)
     resolver: Callable[[list[str]], list[dict]] | None = None
+    calls_per_second: float | None = None
     # set by ``published``: tables go there and appear together at the end
     release: Release | None = None
     # rows written by table, as the writing jobs counted them
@@ -51,13 +54,13 @@ class Load:
     def write(self, frames: dict[str, DataFrame]) -> list[str]:
         for name, df in frames.items():
             days = self.days if table(name).partitioned else None
-            counted = Observation()
-            rows = df.observe(counted, F.count(F.lit(1)).alias("n"))
+            counted = Metrics(n=F.count(F.lit(1)))
+            rows = counted.watch(df)
             if self.release is not None:
                 self.release.write(rows, name, days)
             else:
                 write_table(rows, self.target, name, days)
-            self.written[name] = counted.get["n"]
+            self.written[name] = counted["n"] or 0
             log.info("%s: %s rows", name, self.written[name])
         return list(frames)
 
@@ -83,12 +86,7 @@ def grow_ip_dimension(load: Load, logs: DataFrame) -> int:
     """Append records of addresses in ``logs`` that are not stored yet; returns how many."""
     if load.resolver is None:
         return 0
-    with Staging(load.spark) as stage:
-        new = stage.keep(resolve_addresses(logs, load.resolver, ip_records(load)))
-        count = new.count()
-        if count:
-            new.write.mode("append").parquet(f"{load.source}/ip_dimension")
-    return count
+    return resolve_durably(logs, load.resolver, f"{load.source}/ip_dimension", calls_per_second=load.calls_per_second)
 
 
 def load_object_log(load: Load) -> list[str]:
@@ -118,25 +116,23 @@ def load_viewer(load: Load) -> list[str]:
     reads its own folder. ``strict`` fails the load before anything is written.
     """
     raw = files.viewer_log(load.spark, f"{load.source}/viewer_log", load.days)
-    judged, kept = Observation(), Observation()
+    broken = F.size("violations") > 0
+    judged = Metrics(
+        read=F.count(F.lit(1)), rejected=F.count_if(broken), dropped=F.count_if(~broken & viewer.without_event())
+    )
+    kept = Metrics(n=F.count(F.lit(1)))
     with Staging(load.spark) as stage:
-        broken = F.size("violations") > 0
-        counts = [
-            F.count(F.lit(1)).alias("read"),
-            F.count_if(broken).alias("rejected"),
-            F.count_if(~broken & viewer.without_event()).alias("dropped"),
-        ]
-        records = stage.keep(viewer.judged(raw).observe(judged, *counts))
+        records = stage.keep(judged.watch(viewer.judged(raw)))
         rejected = viewer.quarantine_of(records)
-        read, bad = judged.get["read"], judged.get["rejected"]
+        read, bad = judged["read"] or 0, judged["rejected"] or 0
         log.info("viewer log: %s records, %s break rules", read, bad)
         if load.strict and bad:
             raise DataQualityError(f"{bad} records break rules, e.g. {rejected.first().rules}")
-        events = stage.keep(viewer.events_of(records).observe(kept, F.count(F.lit(1)).alias("n")), "event")
+        events = stage.keep(kept.watch(viewer.events_of(records)), "event")
         require_unique(events, ["insert_id", PARTITION_KEY], "viewer events")
         done = load.write({"core_viewer_quarantine": rejected, **viewer.build_event_tables(events)})
         require_balance("viewer log", read, {
-            "accepted": kept.get["n"], "rejected": load.written["core_viewer_quarantine"], "dropped": judged.get["dropped"],
+            "accepted": kept["n"] or 0, "rejected": load.written["core_viewer_quarantine"], "dropped": judged["dropped"] or 0,
         })
         return done
 
@@ -211,18 +207,59 @@ FULL_HISTORY: dict[str, Callable[[Load], list[str]]] = {
 }
 
 
-def run(load: Load, only: str | None = None) -> list[str]:
-    """One source by name, or all daily sources followed by all full-history ones."""
+def check_days(load: Load) -> None:
     tune(load.spark)
     for day in load.days or ():
         if day < FIRST_PARTITION or day != times.window_days(day, 1)[0]:
             raise ValueError(f"{day} is not a partition (first is {FIRST_PARTITION})")
+
+
+def run(load: Load, only: str | None = None) -> list[str]:
+    """One source by name, or all daily sources followed by all full-history ones."""
+    check_days(load)
     sources = {**DAILY, **FULL_HISTORY}
     if only is not None:
         return sources[only](load)
     return [name for source in sources.values() for name in source(load)]
 
 
+class LoadsFailedError(RuntimeError):
+    """Some sources failed; ``done`` has the tables of the others, ``errors`` what each failed with."""
+
+    def __init__(self, done: dict[str, list[str]], errors: dict[str, Exception]):
+        self.done, self.errors = done, errors
+        super().__init__("; ".join(f"{name}: {e}" for name, e in errors.items()))
+
+
+def run_together(load: Load, publish: bool = False, at_once: int = 4) -> dict[str, list[str]]:
+    """All sources, up to ``at_once`` at the same time, each in a scheduler pool of its own; tables by source.
+
+    With ``spark.scheduler.mode`` FAIR a long source does not hold up the short ones. Sources are independent: one that fails
+    leaves the others to finish (with ``publish`` each publishes its own tables), and then fails the whole.
+    """
+    check_days(load)
+    sources = {**DAILY, **FULL_HISTORY}
+    context = load.spark.sparkContext
+
+    def one(name: str) -> list[str]:
+        context.setLocalProperty("spark.scheduler.pool", name)
+        return (published if publish else run)(load, name)
+
+    done: dict[str, list[str]] = {}
+    errors: dict[str, Exception] = {}
+    with ThreadPoolExecutor(at_once) as threads:
+        running = {name: threads.submit(inheritable_thread_target(load.spark)(one), name) for name in sources}
+        for name, result in running.items():
+            try:
+                done[name] = result.result()
+            except Exception as e:  # noqa: BLE001
+                log.error("%s failed: %s", name, e)
+                errors[name] = e
+    if errors:
+        raise LoadsFailedError(done, errors) from next(iter(errors.values()))
+    return done
+
+
 def published(load: Load, only: str | None = None) -> list[str]:
     """As ``run``, with all tables of the load appearing at once when the last one is written.
 
@@ -246,6 +283,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--resolver", help="module:function that looks addresses up (object log)")
     parser.add_argument("--window-days", type=int, default=7)
     parser.add_argument("--publish", action="store_true", help="all tables of the load appear at once (sinks/release.py)")
+    parser.add_argument("--together", action="store_true", help="independent sources at the same time")
     parser.add_argument("--strict", action="store_true", help="fail on records that break a rule")
     args = parser.parse_args(argv)
     logging.basicConfig(level="INFO")
@@ -263,6 +301,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         load_request_log(load, spark.read.parquet(args.requests), args.partition)
     elif args.only == "report":
         write_report(load)
+    elif args.together and args.only is None:
+        run_together(load, args.publish)
     elif args.publish:
         published(load, args.only)
     else:

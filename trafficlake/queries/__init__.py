@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("logs", "scans", "shapes", "events", "analysis", "builds")
+MODULES = ("logs", "scans", "readers", "shapes", "events", "analysis", "builds")
 
 
 def _modules():

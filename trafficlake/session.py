@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Runtime settings, safe to apply to a session somebody else started.
 RUNTIME_SETTINGS = {
@@ -47,6 +48,28 @@ def local_session(cores: int | str = "*", app: str = "trafficlake", **extra: str
     return builder.getOrCreate()
 
 
+class Metrics:
+    """What a job counts about the rows that pass one point of it, without a pass of its own.
+
+        counted = Metrics(n=F.count(F.lit(1)))
+        counted.watch(df).write.parquet(path)
+        counted["n"]
+    """
+
+    def __init__(self, **measures: Column):
+        self.measures, self.observation = measures, Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.observation, *[c.alias(name) for name, c in self.measures.items()])
+
+    def __getitem__(self, name: str):
+        """A measure of the first job that ran; None if the rows were known to be none and so never looked at."""
+        try:
+            return self.observation.get[name]
+        except Py4JJavaError:  # such a plan is optimised to one without the observed node
+            return None
+
+
 def checkpoint_folder(spark: SparkSession) -> str | None:
     """The shared checkpoint folder, or None on a cluster that names none.
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trafficlake.operators.columns import conform
 from trafficlake.schemas import PARTITION_KEY, Table, table
+from trafficlake.session import Metrics
 
 
 def table_path(base: str, name: str) -> str:
@@ -47,9 +48,9 @@ def write_table(
     if not target.partitioned:
         rows.write.mode("overwrite").parquet(path)
         return
-    found = Observation()
+    found = Metrics(days=F.collect_set(PARTITION_KEY))
     if days:  # which of these days have rows is told by the job that writes them
-        rows = rows.observe(found, F.collect_set(PARTITION_KEY).alias("days"))
+        rows = found.watch(rows)
     (
         rows.hint("rebalance", PARTITION_KEY)
         .write.mode("overwrite")
@@ -58,7 +59,7 @@ def write_table(
         .parquet(path)
     )
     schema = T.StructType([f for f in target.schema.fields if f.name != PARTITION_KEY])
-    for day in sorted(set(days) - set(found.get["days"])) if days else ():
+    for day in sorted(set(days) - set(found["days"] or ())) if days else ():
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{PARTITION_KEY}={day}")
 
 
