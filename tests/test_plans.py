@@ -21,6 +21,30 @@ def test_no_cross_joins_and_no_python(spark, name):
         assert bad not in text
 
 
+@pytest.mark.parametrize("name", ["popular", "traffic_series", "stargazers", "forks", "dataset_snapshot", "archive_stats"])
+def test_sources_are_evaluated_once(spark, name):
+    """The key check of a source plan is in the same scan as its rows, whatever is asked of them."""
+    df = QUERIES[f"{name}_build"](spark, SF_DIR)
+    for asked in (df, df.select(F.lit(1)), df.groupBy().count()):
+        text = plan(asked)
+        assert text.count("FileScan parquet") == 1 and "raise_error" in text
+
+
+def test_summaries_from_one_scan_of_the_log(spark):
+    text = plan(QUERIES["daily_summaries_at_once"](spark, SF_DIR))
+    assert text.count("FileScan parquet") == 2 and "Expand" in text  # the log and the dimension
+    for name in ("event_demux", "validate_records", "topk_value_share"):
+        assert plan(QUERIES[name](spark, SF_DIR)).count("FileScan parquet") == 1, name
+
+
+def test_stored_dimension_is_sent_before_any_shuffle(spark, tmp_path):
+    spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").write.parquet(str(tmp_path / "dim"))
+    spark.range(1000).selectExpr("cast(id % 3 as string) as k").write.parquet(str(tmp_path / "rows"))
+    rows, dim = (spark.read.parquet(str(tmp_path / n)) for n in ("rows", "dim"))
+    text = plan(joins.many_to_one(rows, dim, ["k"]))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning(k" not in text.split("Subquery")[0]
+
+
 def test_filters_reach_the_scan(spark):
     for name, column in (("scan_partition", "ts"), ("scan_week_window", "ts"), ("scan_time_range", "o_orderdate")):
         text = plan(QUERIES[name](spark, SF_DIR))

@@ -23,7 +23,7 @@ def build_request_report(logs: DataFrame, top: int = 20) -> dict[str, DataFrame]
     weekly = reports.resample_weekly(
         logs, "timestamp", size.alias("bytes"), F.count("insert_id").alias("requests")
     )
-    paths = reports.value_shares(logs, "request_url_path", top)
+    paths = reports.top_shares(logs, "request_url_path", top)
     return {
         "monthly_egress": monthly.select("period", numbers.gigabytes(F.col("bytes")).alias("gigabytes")),
         "weekly_egress": weekly.select("period", numbers.megabytes(F.col("bytes")).alias("megabytes")),

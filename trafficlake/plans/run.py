@@ -43,7 +43,7 @@ class Load:
     days: Sequence[str] | None = None
     window_days: int = 7
     strict: bool = False
-    # looks up addresses that the stored dimension does not hold yet (see resolve_addresses)
+    # looks up addresses that the stored dimension does not hold yet (see resolve_durably)
     resolver: Callable[[list[str]], list[dict]] | None = None
     calls_per_second: float | None = None
     # set by ``published``: tables go there and appear together at the end

@@ -19,6 +19,13 @@ DAY = "yyyy-MM-dd"
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+# Fields of the log that are stored as they are
+_LOG_TEXTS = (
+    "error_code", "user_agent", "version_id", "host_id", "signature_version", "cipher_suite", "authentication_type",
+    "host_header", "tls_version", "access_point_arn", "acl_required",
+)
+
+
 def object_log_build(spark: SparkSession, d: str) -> DataFrame:
     """Access log lines, each delivered twice, to the typed log with address details."""
     dash = F.lit("-")
@@ -39,18 +46,14 @@ def object_log_build(spark: SparkSession, d: str) -> DataFrame:
         (F.col("id") % 1000).cast("string").alias("total_time"),
         dash.alias("turn_around_time"),
         "referer",
+        *[F.lit(f"{c} x").alias(c) for c in _LOG_TEXTS],
         F.date_format("time", DAY).alias("partition_key"),
     )
     again = log.withColumn("aws_region", F.lit("us-west-2"))
     core = objectlog.build_core_s3_logs(
         log.unionByName(again, allowMissingColumns=True), _ip_records(spark, d)
     )
-    return core.select(
-        "id", times.without_zone(F.col("time")).alias("time"), "megabytes_sent", "http_status",
-        F.round("normalized_file_downloads", 6).alias("normalized_file_downloads"), "object_size",
-        "total_time", "turn_around_time", "remote_ip", "remote_ip_asn", "remote_ip_org",
-        "remote_ip_full_location", "partition_key",
-    )
+    return _zoneless(core).withColumn("normalized_file_downloads", F.round("normalized_file_downloads", 6))
 
 
 def _viewer_lines(spark: SparkSession, d: str, all_kinds: bool = False) -> DataFrame:
@@ -299,10 +302,7 @@ def client_log_build(spark: SparkSession, d: str) -> DataFrame:
         F.col("key").alias("cs_object"),
     )
     out = requests.build_intake_logs(log, _ip_records(spark, d), "2024-01-01")
-    return out.select(
-        "insert_id", times.without_zone(F.col("timestamp")).alias("timestamp"), "remote_ip",
-        "remote_ip_org", "response_status", "tag", "object_path", "partition_key",
-    )
+    return _zoneless(out)
 
 
 QUERIES = {
@@ -315,6 +315,7 @@ QUERIES = {
 }
 
 _IPS = """ips as (select '10.0.0.' || c_custkey as ip, 'AS' || c_custkey as asn, replace(c_name, '#', ' ') as org,
+    n_name as city, r_name as region, case when n_nationkey <> 3 then c_mktsegment end as country,
     n_name || ', ' || r_name || ', ' || case when n_nationkey <> 3 then c_mktsegment end as location
   from customer left join nation on c_nationkey = n_nationkey
     left join region on n_regionkey = r_regionkey)"""
@@ -367,19 +368,37 @@ select * exclude (event_id, gap, number, user_id, user_domain),
     then partition_key || '-s' || cast(number as bigint) end as session_id
 from numbered where target <> 'user_settings_updates' or user_id is not null"""
 
+_IP_COLUMNS = {
+    "remote_ip_city": "city", "remote_ip_region": "region", "remote_ip_country": "country", "remote_ip_asn": "asn",
+    "remote_ip_org": "org", "remote_ip_full_location": "location",
+}
+
+
+def _stored_sql(name: str, given: dict[str, str]) -> str:
+    """All columns of a table: those given, the others typed NULLs."""
+    kinds = {"string": "varchar", "int": "integer"}
+    return ", ".join(
+        f"{given[f.name]} as {f.name}" if f.name in given else f"cast(null as {kinds.get(f.dataType.simpleString(), f.dataType.simpleString())}) as {f.name}"
+        for f in table(name).schema.fields
+    )
+
+
 ORACLE = {
     "object_log_build": f"""with {ACCESS_LOG_SQL}, {_IPS},
-typed as (select 'R' || id || '_' || coalesce(operation, 'REST.HEAD.OBJECT') || '_' || key as id,
+typed as (select 'R' || id || '_' || coalesce(operation, 'REST.HEAD.OBJECT') || '_' || key as id, 'R' || id as request,
+    coalesce(operation, 'REST.HEAD.OBJECT') as asked, key, requester, referer,
     date_trunc('second', time) as time,
     cast(case when bytes_sent = '-' then '0' else bytes_sent end as double) as sent,
     try_cast(object_size as double) as object_size,
     case when id % 4 > 0 then 200 end as http_status, id % 1000 as total_time,
     case when remote_ip <> '-' then remote_ip end as remote_ip, strftime(time, '%Y-%m-%d') as partition_key
   from access_log where operation is distinct from 'S3.TRANSITION_INT.OBJECT')
-select id, time, sent / 1e6 as megabytes_sent, http_status,
-  case when object_size <> 0 then round(sent / object_size, 6) end as normalized_file_downloads,
-  object_size, total_time, cast(null as double) as turn_around_time, remote_ip,
-  asn as remote_ip_asn, org as remote_ip_org, location as remote_ip_full_location, partition_key
+select {_stored_sql("core_s3_logs", {
+    **{c: f"typed.{c}" for c in ("id", "time", "key", "requester", "referer", "http_status", "object_size", "total_time", "remote_ip", "partition_key")},
+    **_IP_COLUMNS, **{c: f"'{c} x'" for c in _LOG_TEXTS},
+    "request_uri": "'GET /' || typed.key", "operation": "asked", "bucket": "'bucket'", "bucket_owner": "'owner'", "request_id": "request",
+    "megabytes_sent": "sent / 1e6", "normalized_file_downloads": "case when object_size <> 0 then round(sent / object_size, 6) end",
+})}
 from typed left join ips on remote_ip = ip""",
     "viewer_rejected": """with judged as (select strftime(ts, '%Y-%m-%d') as partition_key,
     event_type not in ('error', 'signup') and not (event_type = 'purchase' and event_id % 7 = 0)
@@ -448,10 +467,13 @@ select date '2024-01-01' + p_size as metrics_date, p_brand as version, 'eia860'
   case when which = 0 then 'old' when p_partkey % 2 = 0 then 'new' end as software_hash_id
 from r""",
     "client_log_build": f"""with {ACCESS_LOG_SQL}, {_IPS}
-select cast(id as varchar) as insert_id, time as timestamp,
-  case when remote_ip <> '-' then remote_ip end as remote_ip, org as remote_ip_org, 200 as response_status,
-  case when strpos(key, '/') > 0 then nullif(split_part(key, '/', 1), '') end as tag,
-  case when strpos(key, '/') > 0 then nullif(substr(key, strpos(key, '/') + 1), '') end as object_path,
-  '2024-01-01' as partition_key
+select {_stored_sql("intake_logs", {
+    **_IP_COLUMNS, "insert_id": "cast(id as varchar)", "timestamp": "time",
+    "remote_ip": "case when remote_ip <> '-' then remote_ip end", "remote_ip_type": "'1'", "request_method": "'GET'",
+    "response_status": "cast(200 as integer)", "request_user_agent": "'Python-urllib/3.9'", "request_operation": "'storage.objects.get'",
+    "request_object": "key", "partition_key": "'2024-01-01'",
+    "tag": "case when strpos(key, '/') > 0 then nullif(split_part(key, '/', 1), '') end",
+    "object_path": "case when strpos(key, '/') > 0 then nullif(substr(key, strpos(key, '/') + 1), '') end",
+})}
 from access_log left join ips on remote_ip = ip where id % 3 > 0 and operation = 'REST.GET.OBJECT'""",
 }

@@ -156,7 +156,7 @@ def json_array_to_wide(spark: SparkSession, d: str) -> DataFrame:
     wide = nested.widen(F.col("list"), FILTER_FIELD_NAMES, FILTER_SLOTS, filter_column)
     return parsed.withColumns(wide).select(
         "l_orderkey", "l_linenumber", F.size("list").alias("filters_total"),
-        F.to_json("list").alias("params_filters"), *wide,
+        F.col("filters").alias("params_filters"), *wide,
     )
 
 
