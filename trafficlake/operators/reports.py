@@ -147,26 +147,28 @@ def _bracket(wanted: float) -> tuple[float, float]:
     return max(0.0, wanted - 2 / SKETCH), min(1.0, wanted + 2 / SKETCH)
 
 
-def _kth(counts: DataFrame, rank: int) -> float:
-    """The value at a 0-based rank of a staged table of values (v) and how often they occur (n)."""
-    while True:
-        head = counts.orderBy("v").limit(COLLECTED + 1).collect()
-        if len(head) <= COLLECTED:
-            for row in head:
-                if rank < row["n"]:
-                    return row["v"]
-                rank -= row["n"]
-            raise ValueError("rank beyond the values")
-        # split where a sketch puts equal numbers of values, count the parts exactly, go on in one of them
-        shares = F.array(*[F.lit(k / SPLITS) for k in range(1, SPLITS)])
-        cuts = sorted(set(counts.agg(F.percentile_approx("v", shares, SKETCH)).first()[0]))
-        part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("v")))
-        sizes = {r["part"]: r["n"] for r in counts.groupBy(part.alias("part")).agg(F.sum("n").alias("n")).collect()}
-        for k in sorted(sizes):
-            if rank < sizes[k]:
-                counts = counts.where(part == k)
-                break
-            rank -= sizes[k]
+def _values_at(counts: DataFrame, ranks: Sequence[int]) -> dict[int, float]:
+    """The values at 0-based ranks of a staged table of values (v) and how often they occur (n)."""
+    found, before = {}, 0
+    head = counts.orderBy("v").limit(COLLECTED + 1).collect()
+    if len(head) <= COLLECTED:
+        wanted = sorted(ranks)
+        for row in head:
+            before += row["n"]
+            while wanted and wanted[0] < before:
+                found[wanted.pop(0)] = row["v"]
+        return found
+    # split where a sketch puts equal numbers of values, count the parts exactly, go on in those that hold a rank
+    shares = F.array(*[F.lit(k / SPLITS) for k in range(1, SPLITS)])
+    cuts = sorted(set(counts.agg(F.percentile_approx("v", shares, SKETCH)).first()[0]))
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("v")))
+    sizes = counts.groupBy(part.alias("part")).agg(F.sum("n").alias("n")).collect()
+    for row in sorted(sizes, key=lambda r: r["part"]):
+        inside = [r - before for r in ranks if before <= r < before + row["n"]]
+        if inside:
+            found |= {r + before: v for r, v in _values_at(counts.where(part == row["part"]), inside).items()}
+        before += row["n"]
+    return found
 
 
 def _summary(numbers: DataFrame, probabilities: Sequence[float]) -> tuple[Row, list[float | None]]:
@@ -197,20 +199,21 @@ def _summary(numbers: DataFrame, probabilities: Sequence[float]) -> tuple[Row, l
     # part 2k is the gap below bracket k, part 2k + 1 the bracket itself
     part = functools.reduce(operator.add, [(F.col("v") >= low).cast("int") + (F.col("v") > high).cast("int") for low, high in merged])
     with Staging(numbers.sparkSession) as stage:
-        counts = stage.keep(numbers.groupBy(part.alias("part"), F.when(inside, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n")), "part")
+        counts = stage.keep(numbers.groupBy(part.alias("part"), F.when(inside, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n")))
         sizes = {int(r["part"]): r["n"] for r in counts.groupBy("part").agg(F.sum("n").alias("n")).collect()}
 
-        def at(rank: int) -> float:
-            for k in range(2 * len(merged) + 1):
-                if rank < sizes.get(k, 0):
-                    if k % 2 == 0:
-                        raise ValueError("the sketch missed a rank")  # its error bound rules this out
-                    return _kth(counts.where(F.col("part") == k).select("v", "n"), rank)
-                rank -= sizes.get(k, 0)
-            raise ValueError("rank beyond the values")
-
         positions = [p * (n - 1) for p in probabilities]
-        found = {r: at(r) for r in sorted({int(x) for x in positions} | {min(int(x) + 1, n - 1) for x in positions})}
+        ranks = {int(x) for x in positions} | {min(int(x) + 1, n - 1) for x in positions}
+        found, before = {}, 0
+        for k in range(1, 2 * len(merged), 2):
+            before += sizes.get(k - 1, 0)
+            inside = [r - before for r in ranks if before <= r < before + sizes.get(k, 0)]
+            if inside:
+                values = _values_at(counts.where(F.col("part") == k).select("v", "n"), inside)
+                found |= {r + before: v for r, v in values.items()}
+            before += sizes.get(k, 0)
+        if found.keys() != ranks:
+            raise ValueError("the sketch missed a rank")  # its error bound rules this out
     out = []
     for x in positions:
         below, above = found[int(x)], found[min(int(x) + 1, n - 1)]
