@@ -140,6 +140,50 @@ def test_whole_host_like_one_array(spark):
     assert got[1600] == got[600] and sum(passage[3] in t for t in got.values()) == 112
 
 
+def article_rows(many, few, passage, choose):
+    """Articles of one host with their own words, the passage on ``many`` of them; ``choose`` says by page number which may hold it."""
+    rows, k = [], 0
+    while many or few:
+        own, held = f"own words {k} here {k * 7} and {k * 11} of page {k * 13}", bool(many)
+        k += 1
+        lines = [own, passage] if held else [own]
+        if held and not choose(pages._number(b"a.example\n" + pages._page_words(lines).tobytes()) / 2**64 + 0.5):
+            continue
+        many, few = (many - 1, few) if held else (many, few - 1)
+        rows.append((k, f"http://a.example/{k}", "<article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article>", own, held))
+    return rows
+
+
+def test_common_passage_on_no_page_of_a_sample(spark):
+    """A passage on more than half of the articles goes wherever their page numbers lie, one on just half stays."""
+    passage = "please sign up for our weekly letter about everything today"
+    for low in (False, True):
+        rows = article_rows(101, 99, passage, lambda x: (x < 0.6) if low else (x >= 0.4))  # noqa: B023
+        assert run(spark, [r[:3] for r in rows]) == {k: own for k, _, _, own, _ in rows}
+    rows = article_rows(100, 100, passage, lambda x: x >= 0.4)
+    assert run(spark, [r[:3] for r in rows]) == {k: f"{own}\n{passage}" if held else own for k, _, _, own, held in rows}
+
+
+def test_slots_leave_no_window_out(spark, monkeypatch):
+    """Copies of a page, pages of very unlike length, few slots and small pieces give what one array gives."""
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abcdefghijkl") for _ in range(5))
+    passage = [" ".join(word() for _ in range(10)) for _ in range(3)]
+    rows, texts = [], []
+    for k in range(40):
+        held = [passage[0]] * (k < 21) + [passage[1]] * (k < 20) + [passage[2]] * (k % 2 or k == 30)
+        lines = [" ".join(word() for _ in range(3000 if k == 5 else draw.randrange(1, 30))), *held, word()]
+        texts.append(lines)
+        rows += [(k + 100 * c, f"http://h.example/{k}", "<main>" + "".join(f"<p>{x}</p>" for x in lines) + "</main>") for c in range(60 if k == 39 else 1)]
+    covered = pages.boilerplate([pages.byte_hashes("\n".join(x).encode()) for x in texts], [True] * len(texts))
+    want = [pages.unique_runs(x, c) for x, c in zip(texts, covered, strict=True)]
+    assert sum(passage[0] in t for t in want) == 0 and sum(passage[1] in t for t in want) == 20 and sum(passage[2] in t for t in want) == 0
+    for slots, held in ((4, 1 << 21), (1 / 64, 1 << 21), (4, 0)):
+        monkeypatch.setattr(pages, "PAGES", slots)
+        monkeypatch.setattr(pages, "HELD", held, raising=False)
+        assert run(spark, rows) == {k: want[k % 100] for k, _, _ in rows}
+
+
 def test_edge_rows(spark):
     rows = [(None, None, None), (1, "", ""), (2, "no url", "<p>" + "word " * 200_000), (2, "no url", "<p>" + "word " * 200_000), (3, "http://x/", "plain")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("h")).withColumn("text", F.lit(0))

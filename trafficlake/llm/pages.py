@@ -15,9 +15,10 @@ pages inside a marked article, where passages that a few articles share belong t
 one page here. ``boilerplate`` states the same for pages in memory, by a suffix array.
 
 Windows go as hashes. On hosts with pages that mark no article all are counted by a shuffle, and the repeated ones are
-joined back to their pages. Of a host's pages about ``PAGES`` are taken by hash; a window on more than half of all
-stands on two or more of these (but for one case in 2^41), so inside articles only such windows are counted, over all
-pages of the host. The parsed pages are staged once in the shared folder; no task holds a host.
+joined back to their pages. Inside articles two passes over all pages of the host spare that shuffle: a host has as many
+slots as ``PAGES`` of its mean pages have windows, each window falls in one of them by its hash, and the pages of each
+slot are counted. A window is on no more pages than its slot, so only windows in slots on more than half of the pages are
+then counted themselves. The parsed pages are staged once in the shared folder; no task holds a host.
 
 A NULL or empty html gives an empty text, a NULL or odd url the host ''. Repeated rows each get their text. An empty table
 gives an empty result, pages of any length are read whole, and other columns are not read, whatever their names.
@@ -42,7 +43,8 @@ from trafficlake.llm.shingles import byte_hashes, mix, runs_of
 
 RUN = 8
 LOOSE_PAGES, MARKED_SHARE, MARKED_PAGES = 2, 0.5, 8
-PAGES = 64
+PAGES = 4
+HELD = 1 << 21
 ROWS_PER_BATCH = 128
 
 RAW = frozenset("script style noscript template textarea title iframe svg math object select option canvas".split())
@@ -314,15 +316,51 @@ def _windows(lines: list[str], host: str) -> np.ndarray:
     return mix(runs_of(words, RUN) + own).view(np.int64)
 
 
+def _slots(windows: np.ndarray, slots: int) -> np.ndarray:
+    return (windows.view(np.uint64) % np.uint64(slots)).view(np.int64)
+
+
+def _page_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, slot, n): on how many pages a window in that slot of the host stands.
+
+    A page may be counted more than once, never less: its copies are one page only where they are held together. Pages are
+    held until they fill about ``HELD`` slots.
+    """
+    held: dict[int, tuple[str, np.ndarray]] = {}
+    size = 0
+
+    def counts() -> pa.RecordBatch:
+        hosts: dict[str, list[np.ndarray]] = {}
+        for host, found in held.values():
+            hosts.setdefault(host, []).append(found)
+        made = [np.unique(np.concatenate(x), return_counts=True) for x in hosts.values()]
+        at = pa.array(np.repeat(np.arange(len(made)), [len(s) for s, _ in made]), pa.int64())
+        slot = pa.array(np.concatenate([np.empty(0, np.int64), *[s for s, _ in made]]), pa.int64())
+        n = pa.array(np.concatenate([np.empty(0, np.int64), *[c for _, c in made]]), pa.int64())
+        return pa.record_batch([pa.array(list(hosts), pa.string()).take(at), slot, n], ["host", "slot", "n"])
+
+    for batch in batches:
+        columns = [batch[c].to_pylist() for c in ("host", "page", "lines", "slots")]
+        for host, page, lines, slots in zip(*columns, strict=True):
+            if page in held:
+                continue
+            held[page] = host, np.unique(_slots(_windows(lines, host), slots))
+            size += len(held[page][1]) + 32  # a page without windows takes room too
+            if size > HELD:
+                yield counts()
+                held, size = {}, 0
+    yield counts()
+
+
 def _page_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, page, win) of each page's distinct windows; only of those in ``wanted`` where there is such a column."""
+    """(host, page, win) of each page's distinct windows; only of those in ``wanted`` slots where there is such a column."""
     for batch in batches:
         hosts, lines = batch["host"].to_pylist(), batch["lines"].to_pylist()
-        wanted = batch["wanted"] if "wanted" in batch.schema.names else None
+        some = "wanted" in batch.schema.names
         found = []
         for k, (host, x) in enumerate(zip(hosts, lines, strict=True)):
             w = np.unique(_windows(x, host))
-            found.append(w if wanted is None else w[np.isin(w, wanted[k].values.to_numpy())])
+            found.append(w[np.isin(_slots(w, batch["slots"][k].as_py()), batch["wanted"][k].values.to_numpy())] if some else w)
         at = pa.array(np.repeat(np.arange(len(found)), [len(w) for w in found]), pa.int64())
         wins = pa.array(np.concatenate([np.empty(0, np.int64), *found]), pa.int64())
         yield pa.record_batch([batch["host"].take(at), batch["page"].take(at), wins], ["host", "page", "win"])
@@ -357,25 +395,29 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str =
         for batch in batches:
             made = [blocks(h.as_py()) for h in batch["html"]]
             hosts = [h.encode("utf-8", "surrogatepass") for h in batch["host"].to_pylist()]
-            page = [_number(h + b"\n" + _page_words(x).tobytes()) for h, (x, _) in zip(hosts, made, strict=True)]
+            words = [_page_words(x) for x, _ in made]
+            page = pa.array([_number(h + b"\n" + w.tobytes()) for h, w in zip(hosts, words, strict=True)], pa.int64())
+            size = pa.array([len(w) for w in words], pa.int64())
             lines = pa.array([x for x, _ in made], pa.list_(pa.string()))
-            columns = [batch["key"], batch["url"], batch["host"], pa.array(page, pa.int64()), pa.array([m for _, m in made], pa.bool_()), lines]
-            yield pa.record_batch(columns, ["key", "url", "host", "page", "marked", "lines"])
+            columns = [batch["key"], batch["url"], batch["host"], page, size, pa.array([m for _, m in made], pa.bool_()), lines]
+            yield pa.record_batch(columns, ["key", "url", "host", "page", "size", "marked", "lines"])
 
-    parsed = staged(pages.mapInArrow(parse, f"key {kind}, url string, host string, page long, marked boolean, lines array<string>"), "parsed")
-    each = parsed.groupBy("host", "page").agg(F.max("marked").alias("marked"), F.max(~F.col("marked")).alias("loose"))
-    totals = F.count(F.lit(1)).alias("total"), F.max("marked").alias("marked"), F.max("loose").alias("loose")
+    parsed = staged(pages.mapInArrow(parse, f"key {kind}, url string, host string, page long, size long, marked boolean, lines array<string>"), "parsed")
+    each = parsed.groupBy("host", "page").agg(F.max("size").alias("size"), F.max("marked").alias("marked"), F.max(~F.col("marked")).alias("loose"))
+    slots = F.ceil(PAGES * F.sum("size") / F.count(F.lit(1))) + 1
+    totals = F.count(F.lit(1)).alias("total"), slots.alias("slots"), F.max("marked").alias("marked"), F.max("loose").alias("loose")
     hosts = staged(each.groupBy("host").agg(*totals), "hosts")
 
     # inside articles: windows of more than half of the host's pages
-    known = hosts.where(F.col("marked") & (F.col("total") >= MARKED_PAGES)).select("host", "total")
-    taken = F.col("page") / 2.0**64 + 0.5 < PAGES / F.col("total")  # page numbers are hashes
-    drawn = parsed.select("host", "page", "lines").join(known, "host").where(taken).select("host", "page", "lines")
-    count = lambda frame: frame.distinct().groupBy("host", "win").agg(F.count(F.lit(1)).alias("n"))
-    seen = count(drawn.mapInArrow(_page_windows, PAGE_WINDOWS)).where("n > 1")
-    wanted = staged(seen.groupBy("host").agg(F.collect_list("win").alias("wanted")), "wanted")
-    met = parsed.select("host", "page", "lines").join(wanted, "host").select("host", "page", "lines", "wanted")
-    often = count(met.mapInArrow(_page_windows, PAGE_WINDOWS)).join(known, "host").where(F.col("n") > MARKED_SHARE * F.col("total"))
+    known = hosts.where(F.col("marked") & (F.col("total") >= MARKED_PAGES)).select("host", "total", "slots")
+    most = F.col("n") > MARKED_SHARE * F.col("total")
+    listed = parsed.select("host", "page", "lines").join(known, "host").select("host", "page", "lines", "slots")
+    filled = listed.mapInArrow(_page_slots, "host string, slot long, n long").groupBy("host", "slot").agg(F.sum("n").alias("n"))
+    full = filled.join(known, "host").where(most)
+    wanted = staged(full.groupBy("host", "slots").agg(F.collect_list("slot").alias("wanted")), "wanted")
+    met = parsed.select("host", "page", "lines").join(wanted, "host").select("host", "page", "lines", "slots", "wanted")
+    count = met.mapInArrow(_page_windows, PAGE_WINDOWS).distinct().groupBy("host", "win").agg(F.count(F.lit(1)).alias("n"))
+    often = count.join(known, "host").where(most)
     common = staged(often.groupBy("host").agg(F.collect_list("win").alias("common")), "common")
 
     # elsewhere: windows of LOOSE_PAGES pages of the host
